@@ -71,7 +71,8 @@ def ngrams(words: Column, low: int, high: int) -> Column:
             if n == 1:
                 return bound
             heads = F.slice(bound, F.lit(1), F.greatest(F.size(bound) - (n - 1), F.lit(0)))
-            return F.transform(heads, lambda _, i: F.array_join(F.slice(bound, i + 1, F.lit(n)), " "))
+            # Element access, as slice() copies its whole input at every call.
+            return F.transform(heads, lambda w, i: F.concat_ws(" ", w, *[F.get(bound, i + k) for k in range(1, n)]))
 
         return F.concat(*[of_size(n) for n in range(low, high + 1)])
 

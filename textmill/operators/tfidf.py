@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from textmill.functions import text as tx
-from textmill.plans import global_rank, lookup_join, range_bounds, running_sum, spread
+from textmill.plans import block_of, global_rank, lookup_join, range_bounds, running_sum, spread
 
 MAX_WORDS = 3
 
@@ -49,7 +49,8 @@ def term_frequency(docs: DataFrame, doc: str = "doc_id", text: str = "text") ->
 def document_frequency(corpus: DataFrame, text: str = "text") -> DataFrame:
     """``(term, df)``: number of texts holding each term."""
     terms = spread(corpus.select(text)).select(F.explode(F.array_distinct(fit_terms(F.col(text)))).alias("term"))
-    return terms.groupBy("term").agg(F.count("*").alias("df"))
+    # The explicit test lets both branches of lookup_join share one shuffle.
+    return terms.where(F.col("term").isNotNull()).groupBy("term").agg(F.count("*").alias("df"))
 
 
 def idf(corpus: DataFrame, text: str = "text") -> DataFrame:
@@ -169,18 +170,18 @@ def tfidf_expanding(
     """
     bounds = range_bounds(docs, doc)
     ranks = global_rank(docs.select(doc), doc, "_n", bounds=bounds)
-    rows = spread(docs.select(doc, text), doc)
+    rows = spread(docs.select(doc, text, block_of(F.col(doc), bounds).alias("_block")), doc)
     as_row = lambda fit: lambda t: F.struct(t.alias("term"), F.lit(fit).cast("long").alias("fit"))
     both = F.concat(
         F.transform(F.array_distinct(fit_terms(F.col(text))), as_row(1)),
         F.transform(scoring_terms(F.col(text)), as_row(0)),
     )
     terms = (
-        rows.select(doc, F.explode(both).alias("r"))
-        .groupBy(doc, F.col("r.term").alias("term"))
+        rows.select(doc, "_block", F.explode(both).alias("r"))
+        .groupBy(doc, "_block", F.col("r.term").alias("term"))
         .agg(F.sum("r.fit").alias("fit"), F.sum(1 - F.col("r.fit")).alias("tf"))
     )
-    seen = running_sum(terms, F.col("fit"), doc, "df", partition=["term"], bounds=bounds)
+    seen = running_sum(terms, F.col("fit"), doc, "df", partition=["term"], bounds=bounds, block="_block")
     known = seen.where((F.col("tf") > 0) & (F.col("df") > 0)).join(ranks, doc)
     weighted = known.withColumn("_w", F.col("tf") * idf_of(F.col("df"), F.col("_n")))
     return _normalised(weighted, doc).where(F.col("score") > min_score).select(doc, "term", "score")

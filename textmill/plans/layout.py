@@ -15,9 +15,11 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     With ``keys`` the rows are hash-placed on them in any case, so that a later
     aggregation on ``keys`` plus anything else needs no further shuffle.
     """
+    spark = df.sparkSession
     if keys:
-        return df.repartition(*keys)
-    wanted = df.sparkSession.sparkContext.defaultParallelism
+        # A stated number: texts grow tenfold when exploded, so small ones must not be merged.
+        return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys)
+    wanted = spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= wanted:
         return df
     return df.repartition(wanted)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 MAX_BLOCKS = 512
 PROBES_PER_BLOCK = 16
+GROUP = 16
 
 
 def range_bounds(df: DataFrame, order: str, blocks: int = MAX_BLOCKS) -> list:
@@ -34,11 +35,20 @@ def range_bounds(df: DataFrame, order: str, blocks: int = MAX_BLOCKS) -> list:
 
 
 def block_of(order: Column, bounds: list) -> Column:
-    """Number of the range block an order value falls into."""
+    """Number of the range block an order value falls into, found in two short searches."""
     if not bounds:
         return F.lit(0)
-    cuts = F.array(*[F.lit(b) for b in bounds])
-    return F.size(F.filter(cuts, lambda cut: cut <= order))
+    groups = [bounds[i : i + GROUP] for i in range(0, len(bounds), GROUP)]
+    heads = F.array(*[F.lit(g[0]) for g in groups])
+    cuts = F.array(*[F.array(*[F.lit(b) for b in g]) for g in groups])
+    group = F.size(F.filter(heads, lambda cut: cut <= order)) - 1
+    return F.get(
+        F.transform(
+            F.array(group),
+            lambda g: F.when(g < 0, 0).otherwise(g * GROUP + F.size(F.filter(F.get(cuts, g), lambda c: c <= order))),
+        ),
+        F.lit(0),
+    )
 
 
 def running_sum(
@@ -48,21 +58,24 @@ def running_sum(
     out: str,
     partition: list[str] | None = None,
     bounds: list | None = None,
+    block: str | None = None,
 ) -> DataFrame:
     """Add ``out``: sum of ``value`` up to and including the row, in ``order``, per ``partition``.
 
-    ``order`` must be unique within a partition.
+    ``order`` must be unique within a partition. ``block`` names a column that already
+    holds ``block_of(order, bounds)``.
     """
     keys = list(partition or [])
     bounds = range_bounds(df, order) if bounds is None else bounds
-    rows = df.withColumn("_val", value).withColumn("_blk", block_of(F.col(order), bounds))
+    number = F.col(block) if block else block_of(F.col(order), bounds)
+    rows = df.withColumn("_val", value).withColumn("_blk", number)
     within = W.partitionBy(*keys, "_blk").orderBy(order).rowsBetween(W.unboundedPreceding, 0)
     rows = rows.withColumn(out, F.coalesce(F.sum("_val").over(within), F.lit(0)))
     if not bounds:
         return rows.drop("_val", "_blk")
 
     totals = (
-        df.select(*keys, value.alias("_val"), block_of(F.col(order), bounds).alias("_blk"))
+        df.select(*keys, value.alias("_val"), number.alias("_blk"))
         .groupBy(*keys, "_blk")
         .agg(F.sum("_val").alias("_sum"))
     )
