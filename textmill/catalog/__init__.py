@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-MODULES = ("phrases",)
+MODULES = ("phrases", "columns")
 
 
 def _load(attribute: str) -> dict:

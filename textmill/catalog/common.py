@@ -35,13 +35,47 @@ def sql_fused(text: str) -> str:
     return f"replace(lower({text}), chr(10), '')"
 
 
-def sql_ngrams(words: str, low: int, high: int) -> str:
-    """Array of n-grams of a word array held in a column."""
-    parts = [
-        f"list_transform(range(1, len({words}) - {n - 1} + 1), lambda i: array_to_string({words}[i:i+{n - 1}], ' '))"
-        for n in range(low, high + 1)
-    ]
-    joined = parts[0]
-    for part in parts[1:]:
-        joined = f"list_concat({joined}, {part})"
-    return joined
+def sql_grams(source: str, low: int, high: int, key: str = "doc_id") -> str:
+    """Subquery of ``(key, gram)`` rows from a relation with ``key`` and a word array ``w``."""
+    grams = []
+    for n in range(low, high + 1):
+        rest = "".join(f" || ' ' || lead(w, {k}) over o" for k in range(1, n))
+        grams.append(f"w{rest}")
+    return f"""(select {key}, gram from (
+        select {key}, unnest([{', '.join(grams)}]) as gram
+        from (select {key}, unnest(w) as w, generate_subscripts(w, 1) as p from {source})
+        window o as (partition by {key} order by p)) where gram is not null)"""
+
+
+def sql_lines(source: str = "documents", text: str = "text", keys: str = "doc_id") -> str:
+    """Subquery of ``(keys, pos, line)`` rows; ``pos`` counts from 0."""
+    parts = f"string_split({text}, chr(10))"
+    return f"(select {keys}, unnest({parts}) as line, generate_subscripts({parts}, 1) - 1 as pos from {source})"
+
+
+def lines(spark: SparkSession, folder: str) -> DataFrame:
+    """``(seq, line)`` of every line of ``documents``."""
+    docs = table(spark, folder, "documents").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
+    return docs.select((F.shiftleft("doc_id", 32) + F.col("pos")).alias("seq"), "line")
+
+
+LINES = f"(select doc_id * 4294967296 + pos as seq, line from {sql_lines()})"
+
+
+def generations(spark: SparkSession, folder: str) -> DataFrame:
+    """``(gen, prompt, text)``: each assistant turn that follows a user turn.
+
+    Turns meet through an equi-join on conversation and turn, so a long conversation is
+    spread over many tasks.
+    """
+    talk = table(spark, folder, "conversations")
+    asked = talk.where("role = 'user'").select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("prompt"))
+    told = talk.where("role = 'assistant'").select("conv_id", "turn", "text")
+    return told.join(asked, ["conv_id", "turn"]).select(
+        (F.shiftleft("conv_id", 20) + F.col("turn")).alias("gen"), "prompt", "text"
+    )
+
+
+GENERATIONS = """(select a.conv_id * 1048576 + a.turn as gen, u.text as prompt, a.text as text
+    from conversations a join conversations u on u.conv_id = a.conv_id and u.turn + 1 = a.turn
+    where a.role = 'assistant' and u.role = 'user')"""

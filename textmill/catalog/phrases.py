@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from textmill.catalog.common import r6, sql_fused, sql_ngrams, sql_tokens, sql_words, table
+from textmill.catalog.common import r6, sql_fused, sql_grams, sql_tokens, sql_words, table
 from textmill.functions import text as tx
 from textmill.operators import tfidf
 
@@ -67,11 +67,9 @@ def _scored_sql(text: str = "text") -> str:
     return f"""
     docs as (select doc_id, {text} as text from documents),
     ft as (select doc_id, {sql_tokens('text')} as w from docs),
-    df as (select term, count(*) as df from (
-             select doc_id, unnest(list_distinct({sql_ngrams('w', 1, 3)})) as term from ft) group by term),
+    df as (select gram as term, count(distinct doc_id) as df from {sql_grams('ft', 1, 3)} group by gram),
     st as (select doc_id, {sql_tokens(sql_fused('text'))} as w from docs),
-    tf as (select doc_id, term, count(*) as tf from (
-             select doc_id, unnest({sql_ngrams('w', 1, 3)}) as term from st) group by all),
+    tf as (select doc_id, gram as term, count(*) as tf from {sql_grams('st', 1, 3)} group by all),
     w as (select doc_id, term, tf * (ln((1.0 + (select count(*) from docs)) / (1.0 + df)) + 1) as w
           from tf join df using (term)),
     sc as (select doc_id, term, w / sqrt(sum(w * w) over (partition by doc_id)) as score from w)"""
@@ -81,7 +79,7 @@ def _ranked_sql(text: str, low: int, high: int, minimum: float, top: int | None
     return f"""
     with {_scored_sql(text)},
     cw as (select doc_id, {sql_words(sql_fused('text'))} as w from docs),
-    cand as (select doc_id, unnest(list_distinct({sql_ngrams('w', low, high)})) as ngram from cw),
+    cand as (select distinct doc_id, gram as ngram from {sql_grams('cw', low, high)}),
     joined as (select c.doc_id, ngram, coalesce(case when score > {minimum} then score end, 0.0) as score,
                       count(*) over (partition by c.doc_id) as n
                from cand c left join sc on sc.doc_id = c.doc_id and sc.term = c.ngram),
@@ -98,12 +96,10 @@ ORACLE = {
         from (select doc_id, unnest({sql_tokens('text')}) as token from documents) group by token""",
     "term_frequency": f"""
         with ft as (select doc_id, {sql_tokens('text')} as w from documents)
-        select doc_id, term, count(*) as tf
-        from (select doc_id, unnest({sql_ngrams('w', 1, 3)}) as term from ft) group by all""",
+        select doc_id, gram as term, count(*) as tf from {sql_grams('ft', 1, 3)} group by all""",
     "document_frequency": f"""
         with ft as (select doc_id, {sql_tokens('text')} as w from documents)
-        select term, count(*) as df
-        from (select unnest(list_distinct({sql_ngrams('w', 1, 3)})) as term from ft) group by term""",
+        select gram as term, count(distinct doc_id) as df from {sql_grams('ft', 1, 3)} group by gram""",
     "idf": f"""
         with {_scored_sql()}
         select df, count(*) as n_terms,
@@ -113,7 +109,7 @@ ORACLE = {
         with cw as (select doc_id, {sql_words(sql_fused('text'))} as w from documents)
         select doc_id, count(*) as n_phrases, cast(sum(len(ngram)) as bigint) as n_chars,
                min(ngram) as first_phrase, max(ngram) as last_phrase
-        from (select doc_id, unnest(list_distinct({sql_ngrams('w', 2, 10)})) as ngram from cw) group by doc_id""",
+        from (select distinct doc_id, gram as ngram from {sql_grams('cw', 2, 10)}) group by doc_id""",
     "tfidf_scores": f"""
         with {_scored_sql()} select doc_id, term, round(score, 6) as score from sc where score > 0.2""",
     "top_terms": f"""
@@ -124,10 +120,9 @@ ORACLE = {
     "top_phrases": _ranked_sql(r"regexp_replace(text, '\n+', chr(10), 'g')", 1, 6, 0.01, 10),
     "tfidf_expanding": f"""
         with ft as (select doc_id, {sql_tokens('text')} as w from documents),
-        ev as (select doc_id, unnest(list_distinct({sql_ngrams('w', 1, 3)})) as term from ft),
+        ev as (select distinct doc_id, gram as term from {sql_grams('ft', 1, 3)}),
         st as (select doc_id, {sql_tokens(sql_fused('text'))} as w from documents),
-        tf as (select doc_id, term, count(*) as tf from (
-                 select doc_id, unnest({sql_ngrams('w', 1, 3)}) as term from st) group by all),
+        tf as (select doc_id, gram as term, count(*) as tf from {sql_grams('st', 1, 3)} group by all),
         allrows as (select coalesce(ev.doc_id, tf.doc_id) as doc_id, coalesce(ev.term, tf.term) as term,
                            case when ev.doc_id is null then 0 else 1 end as fit, coalesce(tf.tf, 0) as tf
                     from ev full join tf on ev.doc_id = tf.doc_id and ev.term = tf.term),
