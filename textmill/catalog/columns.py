@@ -20,7 +20,7 @@ def _text(expression, base=None):
     """A query giving ``doc_id`` and a digest and length of a text column."""
 
     def run(spark, folder):
-        docs = _docs(spark, folder).withColumn("text", F.col("text") if base is None else base)
+        docs = _docs(spark, folder).withColumn("text", F.col("text") if base is None else base())
         changed = docs.select("doc_id", expression(F.col("text")).alias("t"))
         return changed.select("doc_id", F.md5("t").alias("digest"), F.length("t").cast("long").alias("n"))
 
@@ -188,10 +188,10 @@ def _examples(spark, folder):
 
 
 QUERIES = {
-    "sanitize": _text(tx.sanitize, F.regexp_replace("text", r"\. ", ".\n\n")),
+    "sanitize": _text(tx.sanitize, lambda: F.regexp_replace("text", r"\. ", ".\n\n")),
     "remove_literals": _text(lambda t: tx.remove_literals(t, LITERALS)),
-    "strip_think": _text(tx.strip_think, _tag("a<think>x\ny</think>", "<think>")),
-    "strip_special_tokens": _text(tx.strip_special_tokens, _tag("<|im\nstart|>", "<|end|>")),
+    "strip_think": _text(tx.strip_think, lambda: _tag("a<think>x\ny</think>", "<think>")),
+    "strip_special_tokens": _text(tx.strip_special_tokens, lambda: _tag("<|im\nstart|>", "<|end|>")),
     "remove_prompt": lambda s, d: table(s, d, "conversations").select(
         "conv_id",
         "turn",
