@@ -72,5 +72,5 @@ def salted_join(
     is_hot = F.xxhash64(*keys).isin(hot)
     salted = rows.withColumn("_salt", F.when(is_hot, F.pmod(F.xxhash64(spread_by), F.lit(SALTS))).otherwise(0))
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    copied = other.withColumn("_salt", F.explode(copies).cast("long"))
+    copied = other.withColumn("_salt", F.explode(copies.cast("array<long>")))
     return salted.join(copied, [*keys, "_salt"], how).drop("_salt")
