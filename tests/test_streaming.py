@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ def folder(tmp_path):
     (tmp_path / "in").mkdir()
     for i, lines in enumerate(BATCHES):
         (tmp_path / "in" / f"{i}.txt").write_text("\n".join(lines) + "\n")
+        os.utime(tmp_path / "in" / f"{i}.txt", (1_700_000_000 + i, 1_700_000_000 + i))  # arrival order
     return tmp_path
 
 

@@ -13,6 +13,7 @@ from textmill.functions.filetype import is_text_nul
 from textmill.operators.dedupe import dedupe_bloom, dedupe_exact, dedupe_md5
 from textmill.operators.store import ARCHIVE, archive_rows, filter_min_tokens, insert_or_ignore, running_tokens
 from textmill.plans import materialize
+from textmill.sources.tables import read_if_there
 
 
 def ingest_lines(
@@ -59,10 +60,6 @@ def content_addressed(files: DataFrame, existing: DataFrame | None = None, order
 
 def write_content_addressed(files: DataFrame, path: str, order: str = "path") -> None:
     """Add new text files to the table of ``(name, content)`` at ``path``."""
-    spark = files.sparkSession
-    try:
-        existing = spark.read.schema("name string, content binary").parquet(path)
-    except Exception:  # noqa: BLE001 - no table yet
-        existing = None
+    existing = read_if_there(files.sparkSession, path, "name string, content binary")
     added = content_addressed(files, existing, order).select("name", "content")
     added.write.mode("append").parquet(path)

@@ -15,6 +15,7 @@ from textmill import schemas
 from textmill.functions.text import strip, token_count
 from textmill.operators import dedupe, language, store
 from textmill.plans import materialize
+from textmill.sources.tables import read_if_there
 
 # First level of assembling a response; a group holds at most this many pieces.
 PIECES = 4096
@@ -66,13 +67,6 @@ def running_totals(rows: DataFrame) -> DataFrame:
     return store.tokens_by_root(rows)
 
 
-def _table(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except Exception:  # noqa: BLE001 - not written yet
-        return None
-
-
 def insert_sink(path: str, keys: tuple[str, ...] = ("data",)) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function: add the rows of a batch that the store does not hold yet."""
 
@@ -81,8 +75,7 @@ def insert_sink(path: str, keys: tuple[str, ...] = ("data",)) -> Callable[[DataF
         rows = materialize(
             store._shaped(batch).withColumn("_order", F.monotonically_increasing_id()), "batch"
         )
-        there = _table(spark, path, schemas.TEXTS.simpleString().removeprefix("struct<").removesuffix(">"))
-        there = rows.limit(0) if there is None else there
+        there = read_if_there(spark, path, schemas.TEXTS)
         fresh = store.insert_or_ignore(there, rows, list(keys), "_order", long_keys=True)
         fresh.drop("_order").write.mode("append").parquet(path)
 
@@ -94,7 +87,7 @@ def bloom_sink(
 ) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function: append the lines a Bloom filter lets through.
 
-    ``bits`` holds ``(batch, idx, first)`` and stays within the filter's size. Lines and bits
+    ``bits`` holds ``(batch, idx)`` and stays within the filter's size. Lines and bits
     are written under their batch number, and a batch ignores bits of its own number, so
     running it again gives the same lines in the same place.
     """
@@ -104,12 +97,10 @@ def bloom_sink(
         rows = materialize(
             batch.select(line).withColumn("_order", F.monotonically_increasing_id()), "bloom-batch"
         )
-        old = _table(spark, bits, "idx long, batch long")
+        old = read_if_there(spark, bits, "idx long, batch long").where(F.col("batch") != number)
         probes = rows.select("_order", F.explode(dedupe.bloom_indexes(F.col(line), **filter_args)).alias("idx"))
         earliest = probes.groupBy("idx").agg(F.min("_order").alias("_first"))
-        if old is not None:
-            earliest = earliest.join(old.where(F.col("batch") != number).select("idx"), "idx", "left_anti")
-        fresh = materialize(earliest, "bloom-bits")
+        fresh = materialize(earliest.join(old.select("idx"), "idx", "left_anti"), "bloom-bits")
         kept = rows.join(fresh.select("_first").distinct(), F.col("_order") == F.col("_first"), "left_semi")
         kept.select(line).write.mode("overwrite").parquet(f"{path}/batch={number}")
         fresh.select("idx").write.mode("overwrite").parquet(f"{bits}/batch={number}")
