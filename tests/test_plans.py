@@ -20,7 +20,7 @@ def test_running_sum_and_rank(spark, monkeypatch, kind):
     for seq, word, tok in sorted(rows, key=lambda r: r[0]):
         totals[word] = totals.get(word, 0) + tok
         wanted[seq] = totals[word]
-    assert {r.seq: r.s for r in running_sum(df, F.col("tok"), "seq", "s", ["word"]).collect()} == wanted
+    assert {r.seq: r.s for r in running_sum(df, "tok", "seq", "s", ["word"]).collect()} == wanted
     ranks = {r.seq: r.n for r in global_rank(df, "seq", "n").collect()}
     assert ranks == {r[0]: i + 1 for i, r in enumerate(sorted(rows, key=lambda r: r[0]))}
 

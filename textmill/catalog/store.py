@@ -8,6 +8,7 @@ from textmill.catalog.common import GENERATIONS, LINES, generations, lines, r6,
 from textmill.functions import text as tx
 from textmill.functions.codec import compress
 from textmill.operators import store
+from textmill.plans import materialize, spread
 
 
 def _store(spark, folder):
@@ -77,7 +78,7 @@ def _prompt_log(spark, folder):
 
 
 def _migrate(spark, folder):
-    source = _packed(_store(spark, folder))
+    source = materialize(_packed(spread(_store(spark, folder))), "source")
     done = _labelled(spark, folder).select(
         "text", F.when(F.col("lang") == "en", F.lit("zstd")).otherwise(F.lit("zlib")).alias("compression_algo")
     )

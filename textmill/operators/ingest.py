@@ -12,7 +12,7 @@ from textmill.functions.codec import compress
 from textmill.functions.filetype import is_text_nul
 from textmill.operators.dedupe import dedupe_bloom, dedupe_exact, dedupe_md5
 from textmill.operators.store import ARCHIVE, archive_rows, filter_min_tokens, insert_or_ignore, running_tokens
-from textmill.plans import materialize
+from textmill.plans import materialize, spread
 from textmill.sources.tables import read_if_there
 
 
@@ -20,7 +20,7 @@ def ingest_lines(
     lines: DataFrame, store: DataFrame, line: str = "line", order: str = "seq", tokens: str = "whitespace"
 ) -> DataFrame:
     """Rows to add for stripped, distinct lines: ``(order, word, data, tok)``."""
-    stripped = lines.select(order, tx.strip(F.col(line)).alias(line))
+    stripped = spread(lines.select(order, tx.strip(F.col(line)).alias(line)))
     ready = materialize(archive_rows(stripped, line, order, tokens), "lines")  # compress once
     return insert_or_ignore(store, ready, ["data"], order, long_keys=True)
 
@@ -37,7 +37,7 @@ def ingest_files(
 ) -> DataFrame:
     """Rows to add for whole files. Repeats and tokens are judged before cleaning."""
     raw = dedupe_bloom(files, "text", order, **bloom) if bloom is not None else dedupe_exact(files, "text", order)
-    counted = filter_min_tokens(raw.withColumn("tok", tx.token_count(F.col("text"), tokens)), minimum)
+    counted = filter_min_tokens(spread(raw).withColumn("tok", tx.token_count(F.col("text"), tokens)), minimum)
     cleaned = tx.remove_literals(F.col("text"), literals, keep_newline)
     ready = counted.select(order, F.lit(ARCHIVE).alias("word"), compress(cleaned, 9).alias("data"), "tok")
     return insert_or_ignore(store, materialize(ready, "files"), ["data"], order, long_keys=True)
@@ -45,7 +45,7 @@ def ingest_files(
 
 def count_tokens(files: DataFrame, order: str = "path", tokens: str = "whitespace") -> DataFrame:
     """``(order, tok, running_tokens)`` of each file; the last running total is the corpus total."""
-    counted = files.select(order, tx.token_count(F.col("text"), tokens).alias("tok"))
+    counted = spread(files.select(order, "text")).select(order, tx.token_count(F.col("text"), tokens).alias("tok"))
     return running_tokens(materialize(counted, "tokens"), order)
 
 

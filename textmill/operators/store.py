@@ -10,7 +10,7 @@ from textmill import schemas
 from textmill.functions.codec import compress, decompress
 from textmill.functions.text import strip, token_count
 from textmill.operators.dedupe import dedupe_bloom, digest, distinct_texts
-from textmill.plans import bounded_broadcast, global_rank, hot_values, materialize, running_sum, salted_join
+from textmill.plans import bounded_broadcast, global_rank, hot_values, materialize, running_sum, salted_join, spread
 
 ARCHIVE = "archive"
 
@@ -157,16 +157,21 @@ def migrate_archive(
 
     ``bloom``: filter arguments to let a Bloom filter decide what has been seen.
     """
-    rows = filter_nonempty(filter_not_archive(source)).withColumn(
-        "text", decompress(F.col("data"), F.col("compression_algo"))
+    rows = filter_nonempty(filter_not_archive(source))
+    texts = spread(rows.select("id", "data", "compression_algo")).select(
+        "id", decompress(F.col("data"), F.col("compression_algo")).alias("text")
     )
+    counted = texts.withColumn("tok", token_count(F.col("text"), tokens))
     if bloom is not None:
-        kept = dedupe_bloom(rows, "text", "id", **bloom)
+        counted = materialize(counted, "migrate")
+        first = dedupe_bloom(counted, "text", "id", **bloom).select(F.col("id").alias("_first"), "tok")
     else:
-        first = rows.groupBy(digest(F.col("text")).alias("_d")).agg(F.min("id").alias("_first"))
-        kept = rows.join(first.select("_first"), F.col("id") == F.col("_first"), "left_semi")
-    ready = kept.select(
-        "id", F.lit(ARCHIVE).alias("word"), "data", token_count(F.col("text"), tokens).alias("tok"), "compression_algo"
+        # Equal texts have equal counts, so blobs are unpacked once and texts are not shuffled.
+        first = counted.groupBy(digest(F.col("text")).alias("_d")).agg(
+            F.min("id").alias("_first"), F.min("tok").alias("tok")
+        ).drop("_d")
+    ready = rows.drop("tok").join(first, F.col("id") == F.col("_first")).select(
+        "id", F.lit(ARCHIVE).alias("word"), "data", "tok", "compression_algo"
     )
     return insert_or_ignore(target, ready, ["data"], "id", long_keys=True)
 
@@ -205,7 +210,7 @@ def compression_ratio(rows: DataFrame, text: str = "text") -> DataFrame:
 
 
 def running_tokens(rows: DataFrame, order: str, partition: list[str] | None = None) -> DataFrame:
-    return running_sum(rows, F.col("tok").cast("long"), order, "running_tokens", partition)
+    return running_sum(rows, "tok", order, "running_tokens", partition)
 
 
 def progress_points(rows: DataFrame, order: str, every: int = 10) -> DataFrame:

@@ -119,25 +119,25 @@ def rank_phrases(
     everything = phrase_array(F.col(text), min_ngrams, max_ngrams)
     # Sizes differ, so a text of 2 * min_ngrams words or more has at least min_ngrams phrases
     # once the size range allows it; only other texts need their phrases counted.
-    plenty = F.lit(max_ngrams >= 2 * min_ngrams) & (F.size(F.col("_words")) >= 2 * min_ngrams)
+    n_words = F.size(tx.whitespace_words(tx.normalize_for_scoring(F.col(text))))
+    plenty = F.lit(max_ngrams >= 2 * min_ngrams) & (n_words >= 2 * min_ngrams)
     few = F.when(plenty, False).otherwise(F.size(everything) < min_ngrams)
-    chosen = F.when(F.col("_few") | F.lit(min_score <= 0), everything).otherwise(scorable)
 
-    rows = (
-        spread(docs.select(doc, text), doc)
-        .withColumn("_words", tx.whitespace_words(tx.normalize_for_scoring(F.col(text))))
-        .select(doc, text, few.alias("_few"))
+    rows = spread(docs.select(doc, text), doc).select(
+        doc, text, few.alias("_few"), scoring_terms(F.col(text)).alias("_terms")
     )
-    as_row = lambda tf, phrase: lambda t: F.struct(
-        t.alias("term"), F.lit(tf).cast("long").alias("tf"), F.lit(phrase).alias("phrase")
-    )
-    both = F.concat(
-        F.transform(scoring_terms(F.col(text)), as_row(1, False)), F.transform(chosen, as_row(0, True))
+    # Phrases without a score are wanted only where everything is kept.
+    phrases = F.when(F.col("_few") | F.lit(min_score <= 0), everything).otherwise(
+        F.array_intersect(scorable, F.col("_terms"))
     )
     terms = (
-        rows.select(doc, "_few", F.explode(both).alias("r"))
-        .groupBy(doc, F.col("r.term").alias("term"))
-        .agg(F.sum("r.tf").alias("tf"), F.max("r.phrase").alias("phrase"), F.max("_few").alias("_few"))
+        rows.select(doc, "_few", F.size("_terms").alias("_n"), F.posexplode(F.concat("_terms", phrases)).alias("_pos", "term"))
+        .groupBy(doc, "term")
+        .agg(
+            F.sum(F.when(F.col("_pos") < F.col("_n"), 1).otherwise(0)).alias("tf"),
+            F.max(F.col("_pos") >= F.col("_n")).alias("phrase"),
+            F.max("_few").alias("_few"),
+        )
     )
     model = idf(corpus, corpus_text)
     found = lookup_join(terms, model, key="term", weight="df", spread_by=doc, how="left")
@@ -171,17 +171,22 @@ def tfidf_expanding(
     bounds = range_bounds(docs, doc)
     ranks = global_rank(docs.select(doc), doc, "_n", bounds=bounds)
     rows = spread(docs.select(doc, text, block_of(F.col(doc), bounds).alias("_block")), doc)
-    as_row = lambda fit: lambda t: F.struct(t.alias("term"), F.lit(fit).cast("long").alias("fit"))
-    both = F.concat(
-        F.transform(F.array_distinct(fit_terms(F.col(text))), as_row(1)),
-        F.transform(scoring_terms(F.col(text)), as_row(0)),
-    )
+    fitted = F.array_distinct(fit_terms(F.col(text)))
     terms = (
-        rows.select(doc, "_block", F.explode(both).alias("r"))
-        .groupBy(doc, "_block", F.col("r.term").alias("term"))
-        .agg(F.sum("r.fit").alias("fit"), F.sum(1 - F.col("r.fit")).alias("tf"))
+        rows.select(doc, "_block", fitted.alias("_fit"), scoring_terms(F.col(text)).alias("_score"))
+        .select(
+            doc, "_block", F.size("_fit").alias("_m"), F.posexplode(F.concat("_fit", "_score")).alias("_pos", "term")
+        )
+        .groupBy(doc, "_block", "term")
+        .agg(
+            F.sum(F.when(F.col("_pos") < F.col("_m"), 1).otherwise(0)).alias("fit"),
+            F.sum(F.when(F.col("_pos") < F.col("_m"), 0).otherwise(1)).alias("tf"),
+        )
+    )
+    counted = rows.select("_block", F.explode(fitted).alias("term"), F.lit(1).cast("long").alias("fit"))
+    seen = running_sum(
+        terms, "fit", doc, "df", partition=["term"], bounds=bounds, block="_block", counted=counted
     )
-    seen = running_sum(terms, F.col("fit"), doc, "df", partition=["term"], bounds=bounds, block="_block")
     known = seen.where((F.col("tf") > 0) & (F.col("df") > 0)).join(ranks, doc)
     weighted = known.withColumn("_w", F.col("tf") * idf_of(F.col("df"), F.col("_n")))
     return _normalised(weighted, doc).where(F.col("score") > min_score).select(doc, "term", "score")

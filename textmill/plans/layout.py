@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 # Rows of a lookup that every executor may hold; beyond it the join is shuffled.
 BROADCAST_ROWS = 1_000_000
+# An input below this size per core has fewer splits than cores.
+SPLIT_BYTES = 128 << 20
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
@@ -19,10 +21,10 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     if keys:
         # A stated number: texts grow tenfold when exploded, so small ones must not be merged.
         return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys)
-    wanted = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= wanted:
-        return df
-    return df.repartition(wanted)
+    # Judged by the planner's size estimate, which costs no job.
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if size < cores * SPLIT_BYTES else df
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:

@@ -53,49 +53,52 @@ def block_of(order: Column, bounds: list) -> Column:
 
 def running_sum(
     df: DataFrame,
-    value: Column,
+    value: str,
     order: str,
     out: str,
     partition: list[str] | None = None,
     bounds: list | None = None,
     block: str | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``out``: sum of ``value`` up to and including the row, in ``order``, per ``partition``.
 
     ``order`` must be unique within a partition. ``block`` names a column that already
-    holds ``block_of(order, bounds)``.
+    holds ``block_of(order, bounds)``. ``counted``: cheaper rows with the same totals of
+    ``value`` per partition and ``block``.
     """
     keys = list(partition or [])
     bounds = range_bounds(df, order) if bounds is None else bounds
-    number = F.col(block) if block else block_of(F.col(order), bounds)
-    rows = df.withColumn("_val", value).withColumn("_blk", number)
-    within = W.partitionBy(*keys, "_blk").orderBy(order).rowsBetween(W.unboundedPreceding, 0)
-    rows = rows.withColumn(out, F.coalesce(F.sum("_val").over(within), F.lit(0)))
+    # A number before the keys spares comparing texts when rows are sorted.
+    place = [F.xxhash64(*keys).alias("_place")] if keys else []
+    spot = ["_place", *keys] if keys else []
+
+    def numbered(rows: DataFrame, columns: list[str]) -> DataFrame:
+        number = F.col(block) if block else block_of(F.col(order), bounds)
+        return rows.select(*columns, *place, number.alias("_blk"))
+
+    within = W.partitionBy(*spot, "_blk").orderBy(order).rowsBetween(W.unboundedPreceding, 0)
+    rows = numbered(df, df.columns).withColumn(out, F.coalesce(F.sum(value).over(within), F.lit(0)))
     if not bounds:
-        return rows.drop("_val", "_blk")
+        return rows.select(*df.columns, out)
 
-    totals = (
-        df.select(*keys, value.alias("_val"), number.alias("_blk"))
-        .groupBy(*keys, "_blk")
-        .agg(F.sum("_val").alias("_sum"))
-    )
-    before = W.partitionBy(*keys).orderBy("_blk").rowsBetween(W.unboundedPreceding, -1)
-    offsets = totals.select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+    totals = numbered(df if counted is None else counted, [*keys, value]).groupBy(*spot, "_blk")
+    before = W.partitionBy(*spot).orderBy("_blk").rowsBetween(W.unboundedPreceding, -1)
+    offsets = totals.agg(F.sum(value).alias("_sum")).select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(spot)],
         F.col("_blk").alias("_b"),
         F.sum("_sum").over(before).alias("_before"),
     )
     if not keys:
         offsets = F.broadcast(offsets)  # one row per block: at most MAX_BLOCKS
     match = F.col("_blk") == F.col("_b")
-    for i, k in enumerate(keys):
+    for i, k in enumerate(spot):
         match = match & F.col(k).eqNullSafe(F.col(f"_k{i}"))
     joined = rows.join(offsets, match, "left")
-    total = F.col(out) + F.coalesce("_before", F.lit(0))
-    helpers = ["_val", "_blk", "_b", "_before", *[f"_k{i}" for i in range(len(keys))]]
-    return joined.withColumn(out, total).drop(*helpers)
+    return joined.select(*df.columns, (F.col(out) + F.coalesce("_before", F.lit(0))).alias(out))
 
 
 def global_rank(df: DataFrame, order: str, out: str, bounds: list | None = None) -> DataFrame:
     """Add ``out``: 1-based position of the row in ``order`` over the whole table."""
-    return running_sum(df, F.lit(1).cast("long"), order, out, bounds=bounds)
+    ones = df.withColumn("_one", F.lit(1).cast("long"))
+    return running_sum(ones, "_one", order, out, bounds=bounds).drop("_one")

@@ -23,28 +23,31 @@ def lookup_join(
     """Join ``rows`` with ``lookup`` (unique on ``key``; ``weight`` = its rows in ``rows``, about).
 
     The ``HOT_KEYS`` heaviest lookup rows, a fixed number, are broadcast. Rows they serve
-    get a key of their own made from ``spread_by``, so they are spread evenly instead of
-    meeting in one task; all other keys take the shuffled join.
+    are placed by ``spread_by`` too, so they are spread evenly instead of meeting in one
+    task; all other rows are placed by a hash of the key. Both sides are sorted by that
+    number before the key, which spares comparing texts.
     """
     values = [c for c in lookup.columns if c not in (key, weight)]
-    slim = lookup.select(key, weight, *values)
-    hot = slim.orderBy(F.desc(weight), key).limit(HOT_KEYS).select(
-        F.col(key).alias("_hot"), *[F.col(v).alias(f"_hot_{v}") for v in values]
+    hot = lookup.orderBy(F.desc(weight), key).limit(HOT_KEYS).select(
+        F.col(key).alias("_hot"), F.lit(True).alias("_is_hot"), *[F.col(v).alias(f"_hot_{v}") for v in values]
     )
-    cold = slim.select(F.col(key).alias("_cold"), *[F.col(v).alias(f"_cold_{v}") for v in values])
-    tagged = rows.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left").withColumn(
-        "_meet",
-        F.when(F.col("_hot").isNull(), F.col(key)).otherwise(
-            F.concat(F.lit("\x00"), F.xxhash64(spread_by, key).cast("string"))
-        ),
+    cold = lookup.select(
+        F.xxhash64(key).alias("_place"), F.col(key), F.lit(True).alias("_is_cold"), *[F.col(v).alias(f"_cold_{v}") for v in values]
     )
-    joined = tagged.join(cold, F.col("_meet") == F.col("_cold"), "left")
+    tagged = rows.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left").drop("_hot")
+    # A hot row whose place happens to be that of its key finds the same values twice.
+    placed = tagged.withColumn(
+        "_place", F.when(F.col("_is_hot"), F.xxhash64(spread_by, key)).otherwise(F.xxhash64(key))
+    )
+    joined = placed.join(cold, ["_place", key], "left")
     if how == "inner":
-        joined = joined.where(F.col("_hot").isNotNull() | F.col("_cold").isNotNull())
-    is_hot = F.col("_hot").isNotNull()
+        joined = joined.where(F.col("_is_hot") | F.col("_is_cold"))
     return joined.select(
         *rows.columns,
-        *[F.when(is_hot, F.col(f"_hot_{v}")).otherwise(F.col(f"_cold_{v}")).alias(v) for v in values],
+        *[
+            F.when(F.col("_is_hot"), F.col(f"_hot_{v}")).otherwise(F.col(f"_cold_{v}")).alias(v)
+            for v in values
+        ],
     )
 
 
