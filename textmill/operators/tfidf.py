@@ -5,8 +5,9 @@ Terms are 1- to 3-word phrases of clean words. Weights are ``tf * idf`` with
 knows. Fitting splits lines normally; scoring first deletes newlines, which joins the
 words on both sides.
 
-Shuffles: one of the raw texts by id (counts, norms and ranks then stay with the text),
-one aggregation of document frequencies combined before the shuffle, one join by term.
+Counts of a text are taken inside its row, so texts are not shuffled. What moves: document
+frequencies (combined per task first), one ``(text id, term, tf)`` row per distinct term for
+the join by term, and the same rows once more to norm and rank them by text.
 """
 
 from __future__ import annotations
@@ -38,12 +39,50 @@ def idf_of(df: Column, n: Column) -> Column:
     return F.log((1 + n) / (1 + df)) + 1
 
 
+def term_runs(terms: Column, marked: Column | None = None) -> Column:
+    """Array of ``(term, tf, mark)``: each distinct term of a row with its count.
+
+    Sorts the row's terms and counts runs. ``marked`` holds distinct terms to flag; those
+    that do not occur get a count of 0. A marked term is sorted in as the term plus a NUL,
+    its direct successor, so it follows its own run.
+    """
+    nul = F.lit("\x00")
+    stock = terms if marked is None else F.concat(terms, F.transform(marked, lambda m: F.concat(m, nul)))
+
+    def starts(run: Column) -> Column:
+        first = F.transform(run, lambda t, i: F.when((i == 0) | (t != F.get(run, i - 1)), i))
+        return F.filter(first, lambda i: i.isNotNull())
+
+    def count(run: Column) -> Column:
+        def rows(at: Column) -> Column:
+            def row(i: Column, j: Column) -> Column:
+                term, following = F.get(run, i), F.get(at, j + 1)
+                length = (F.coalesce(following, F.size(run)) - i).cast("long")
+                if marked is None:
+                    return F.struct(term.alias("term"), length.alias("tf"), F.lit(False).alias("mark"))
+                flagged = F.coalesce(F.get(run, following) == F.concat(term, nul), F.lit(False))
+                plain = F.struct(term.alias("term"), length.alias("tf"), flagged.alias("mark"))
+                absent = F.struct(
+                    F.substring(term, F.lit(1), F.length(term) - 1).alias("term"),
+                    F.lit(0).cast("long").alias("tf"),
+                    F.lit(True).alias("mark"),
+                )
+                before = F.when(j > 0, F.get(run, F.get(at, j - 1)))
+                follows = F.coalesce(F.concat(before, nul) == term, F.lit(False))
+                return F.when(~F.endswith(term, nul), plain).when(~follows, absent)
+
+            return F.transform(at, row)
+
+        return tx.let(starts(run), rows)
+
+    found = tx.let(F.array_sort(stock), count)
+    return found if marked is None else F.filter(found, lambda r: r.isNotNull())
+
+
 def term_frequency(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """``(doc, term, tf)`` of the texts as fitted."""
-    rows = spread(docs.select(doc, text), doc)
-    return rows.select(doc, F.explode(fit_terms(F.col(text))).alias("term")).groupBy(doc, "term").agg(
-        F.count("*").alias("tf")
-    )
+    rows = spread(docs.select(doc, text)).select(doc, F.explode(term_runs(fit_terms(F.col(text)))).alias("r"))
+    return rows.select(doc, "r.term", "r.tf")
 
 
 def document_frequency(corpus: DataFrame, text: str = "text") -> DataFrame:
@@ -81,10 +120,8 @@ def tfidf_scores(
     corpus_text: str = "text",
 ) -> DataFrame:
     """``(doc, term, score)`` with ``score > min_score``."""
-    rows = spread(docs.select(doc, text), doc)
-    counts = rows.select(doc, F.explode(scoring_terms(F.col(text))).alias("term")).groupBy(doc, "term").agg(
-        F.count("*").alias("tf")
-    )
+    rows = spread(docs.select(doc, text)).select(doc, F.explode(term_runs(scoring_terms(F.col(text)))).alias("r"))
+    counts = rows.select(doc, "r.term", "r.tf")
     scored = _weights(counts, idf(corpus, corpus_text), doc)
     return scored.where(F.col("score") > min_score).select(doc, "term", "score")
 
@@ -123,21 +160,15 @@ def rank_phrases(
     plenty = F.lit(max_ngrams >= 2 * min_ngrams) & (n_words >= 2 * min_ngrams)
     few = F.when(plenty, False).otherwise(F.size(everything) < min_ngrams)
 
-    rows = spread(docs.select(doc, text), doc).select(
+    rows = spread(docs.select(doc, text)).select(
         doc, text, few.alias("_few"), scoring_terms(F.col(text)).alias("_terms")
     )
     # Phrases without a score are wanted only where everything is kept.
     phrases = F.when(F.col("_few") | F.lit(min_score <= 0), everything).otherwise(
         F.array_intersect(scorable, F.col("_terms"))
     )
-    terms = (
-        rows.select(doc, "_few", F.size("_terms").alias("_n"), F.posexplode(F.concat("_terms", phrases)).alias("_pos", "term"))
-        .groupBy(doc, "term")
-        .agg(
-            F.sum(F.when(F.col("_pos") < F.col("_n"), 1).otherwise(0)).alias("tf"),
-            F.max(F.col("_pos") >= F.col("_n")).alias("phrase"),
-            F.max("_few").alias("_few"),
-        )
+    terms = rows.select(doc, "_few", F.explode(term_runs(F.col("_terms"), phrases)).alias("r")).select(
+        doc, "_few", "r.term", "r.tf", F.col("r.mark").alias("phrase")
     )
     model = idf(corpus, corpus_text)
     found = lookup_join(terms, model, key="term", weight="df", spread_by=doc, how="left")
@@ -170,18 +201,10 @@ def tfidf_expanding(
     """
     bounds = range_bounds(docs, doc)
     ranks = global_rank(docs.select(doc), doc, "_n", bounds=bounds)
-    rows = spread(docs.select(doc, text, block_of(F.col(doc), bounds).alias("_block")), doc)
+    rows = spread(docs.select(doc, text, block_of(F.col(doc), bounds).alias("_block")))
     fitted = F.array_distinct(fit_terms(F.col(text)))
-    terms = (
-        rows.select(doc, "_block", fitted.alias("_fit"), scoring_terms(F.col(text)).alias("_score"))
-        .select(
-            doc, "_block", F.size("_fit").alias("_m"), F.posexplode(F.concat("_fit", "_score")).alias("_pos", "term")
-        )
-        .groupBy(doc, "_block", "term")
-        .agg(
-            F.sum(F.when(F.col("_pos") < F.col("_m"), 1).otherwise(0)).alias("fit"),
-            F.sum(F.when(F.col("_pos") < F.col("_m"), 0).otherwise(1)).alias("tf"),
-        )
+    terms = rows.select(doc, "_block", F.explode(term_runs(scoring_terms(F.col(text)), fitted)).alias("r")).select(
+        doc, "_block", "r.term", "r.tf", F.col("r.mark").cast("long").alias("fit")
     )
     counted = rows.select("_block", F.explode(fitted).alias("term"), F.lit(1).cast("long").alias("fit"))
     seen = running_sum(
