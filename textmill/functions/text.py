@@ -58,7 +58,12 @@ def whitespace_words(text: Column) -> Column:
 
 def word_tokens(text: Column) -> Column:
     """Lower-cased runs of two or more letters, digits or underscores."""
-    return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}_]{2,}"), F.lit(0))
+    return lowered_tokens(F.lower(text))
+
+
+def lowered_tokens(text: Column) -> Column:
+    """``word_tokens`` of a text that is in lower case."""
+    return F.regexp_extract_all(text, F.lit(r"[\p{L}\p{N}_]{2,}"), F.lit(0))
 
 
 def ngrams(words: Column, low: int, high: int) -> Column:

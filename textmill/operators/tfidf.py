@@ -27,7 +27,7 @@ def fit_terms(text: Column) -> Column:
 
 
 def scoring_terms(text: Column) -> Column:
-    return tx.ngrams(tx.word_tokens(tx.normalize_for_scoring(text)), 1, MAX_WORDS)
+    return tx.ngrams(tx.lowered_tokens(tx.normalize_for_scoring(text)), 1, MAX_WORDS)
 
 
 def phrase_array(text: Column, low: int, high: int) -> Column:
@@ -75,7 +75,7 @@ def term_runs(terms: Column, marked: Column | None = None) -> Column:
 
         return tx.let(starts(run), rows)
 
-    found = tx.let(F.array_sort(stock), count)
+    found = tx.let(F.sort_array(stock), count)
     return found if marked is None else F.filter(found, lambda r: r.isNotNull())
 
 
@@ -152,17 +152,23 @@ def rank_phrases(
     """
     if min_ngrams < 1:
         raise ValueError("min_ngrams must be at least 1")
-    scorable = phrase_array(F.col(text), min_ngrams, min(max_ngrams, MAX_WORDS))
-    everything = phrase_array(F.col(text), min_ngrams, max_ngrams)
+    # Each projection is used several times by the next, so it is evaluated once.
+    rows = (
+        spread(docs.select(doc, text))
+        .select(doc, tx.normalize_for_scoring(F.col(text)).alias("_norm"))
+        .select(
+            doc,
+            tx.whitespace_words(F.col("_norm")).alias("_words"),
+            tx.ngrams(tx.lowered_tokens(F.col("_norm")), 1, MAX_WORDS).alias("_terms"),
+        )
+    )
+    words = F.col("_words")
+    scorable = tx.ngrams(words, min_ngrams, min(max_ngrams, MAX_WORDS))
+    everything = F.array_distinct(tx.ngrams(words, min_ngrams, max_ngrams))
     # Sizes differ, so a text of 2 * min_ngrams words or more has at least min_ngrams phrases
     # once the size range allows it; only other texts need their phrases counted.
-    n_words = F.size(tx.whitespace_words(tx.normalize_for_scoring(F.col(text))))
-    plenty = F.lit(max_ngrams >= 2 * min_ngrams) & (n_words >= 2 * min_ngrams)
-    few = F.when(plenty, False).otherwise(F.size(everything) < min_ngrams)
-
-    rows = spread(docs.select(doc, text)).select(
-        doc, text, few.alias("_few"), scoring_terms(F.col(text)).alias("_terms")
-    )
+    plenty = F.lit(max_ngrams >= 2 * min_ngrams) & (F.size(words) >= 2 * min_ngrams)
+    rows = rows.withColumn("_few", F.when(plenty, False).otherwise(F.size(everything) < min_ngrams))
     # Phrases without a score are wanted only where everything is kept.
     phrases = F.when(F.col("_few") | F.lit(min_score <= 0), everything).otherwise(
         F.array_intersect(scorable, F.col("_terms"))
