@@ -57,6 +57,14 @@ def test_insert_single_key_with_nulls(spark):
     assert sorted(r.seq for r in found.collect()) == [2, 4, 5]
 
 
+def test_composite_key(spark):
+    frame = lambda data: spark.createDataFrame(data, "seq long, seed int, word string, data binary")
+    there = frame([(0, 1, "w", bytearray(b"x"))])
+    rows = [(1, 1, "w", bytearray(b"x")), (2, 1, "v", bytearray(b"x")), (3, 1, "v", bytearray(b"x")), (4, None, "w", bytearray(b"x")), (5, None, "w", bytearray(b"x"))]
+    found = store.insert_or_ignore(there, frame(rows), [("seed", "word", "data")], "seq", long_keys=True)
+    assert sorted(r.seq for r in found.collect()) == [2, 4, 5]
+
+
 def test_append_and_read(spark, tmp_path):
     path = str(tmp_path / "store")
     rows = spark.createDataFrame([("root", "hello there", 2)], "word string, text string, tok int")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-MODULES = ("phrases", "columns", "repeats", "store", "frontier", "loading", "scoring")
+MODULES = ("phrases", "columns", "repeats", "store", "frontier", "loading", "scoring", "streams")
 
 
 def _load(attribute: str) -> dict:

@@ -48,15 +48,15 @@ def _route(spark, folder):
     )
 
 
-def _chunks(spark, folder):
+def pieces_of(talk):
     """Conversation texts as streamed responses: pieces of 20 characters, every fifth followed by a NULL piece."""
-    talk = table(spark, folder, "conversations").select(
+    pieces = talk.select(
         (F.shiftleft("conv_id", 20) + F.col("turn")).alias("response_id"),
         F.posexplode(F.regexp_extract_all("text", F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))).alias("seq", "delta"),
     )
-    gaps = talk.where("seq % 5 = 4").select("response_id", "seq", F.lit(None).cast("string").alias("delta"))
-    return talk.select("response_id", (F.col("seq") * 2).alias("seq"), "delta").unionByName(
-        gaps.select("response_id", (F.col("seq") * 2 + 1).alias("seq"), "delta")
+    with_gaps = F.when(F.col("seq") % 5 == 4, F.array("delta", F.lit(None).cast("string"))).otherwise(F.array("delta"))
+    return pieces.select("response_id", "seq", F.posexplode(with_gaps).alias("part", "delta")).select(
+        "response_id", (F.col("seq") * 2 + F.col("part")).alias("seq"), "delta"
     )
 
 
@@ -71,7 +71,7 @@ QUERIES = {
     ),
     "detect_language": _detect,
     "lines_by_language": _route,
-    "assemble_chunks": lambda s, d: assemble_chunks(_chunks(s, d)).select(
+    "assemble_chunks": lambda s, d: assemble_chunks(pieces_of(table(s, d, "conversations"))).select(
         "response_id", "text", F.col("tok").cast("long").alias("tok")
     ),
 }

@@ -68,7 +68,7 @@ QUERIES = {
 }
 
 
-def _bits_sql(source: str, item: str, args: dict, keep: str = "") -> str:
+def bits_sql(source: str, item: str, args: dict, keep: str = "") -> str:
     found = ", ".join(sql_sliced(item, args["power2"], args["k"]))
     return f"(select {keep} unnest([{found}]) as idx from {source})"
 
@@ -81,20 +81,20 @@ ORACLE = {
     "dedupe_md5": "select min(doc_id) as doc_id, md5(text) as md5 from documents group by md5(text)",
     # A row is seen when every one of its positions was set by an earlier row.
     "dedupe_bloom": f"""
-        with bits as {_bits_sql(LINES, 'line', DEDUPE_FILTER, 'seq,')},
+        with bits as {bits_sql(LINES, 'line', DEDUPE_FILTER, 'seq,')},
         firsts as (select seq, min(seq) over (partition by idx) as first from bits),
         passed as (select seq from firsts group by seq having max(first) >= seq)
         select seq, line from {LINES} join passed using (seq)""",
     "dedupe_bloom_resumed": f"""
         with allrows as (select seq, line from {LINES} union all select -1 as seq, line from {TALK_LINES}),
-        bits as {_bits_sql('allrows', 'line', DEDUPE_FILTER, 'seq,')},
+        bits as {bits_sql('allrows', 'line', DEDUPE_FILTER, 'seq,')},
         firsts as (select seq, min(seq) over (partition by idx) as first from bits),
         passed as (select seq from firsts where seq >= 0 group by seq having max(first) >= seq)
         select seq, line from {LINES} join passed using (seq)""",
-    "bloom_bits": f"select distinct idx from {_bits_sql('documents', 'text', BITS_FILTER)}",
+    "bloom_bits": f"select distinct idx from {bits_sql('documents', 'text', BITS_FILTER)}",
     "bloom_contains": f"""
-        with bits as (select distinct idx from {_bits_sql(TALK_LINES, 'line', PROBE_FILTER)}),
-        probes as {_bits_sql(LINES, 'line', PROBE_FILTER, 'seq,')}
+        with bits as (select distinct idx from {bits_sql(TALK_LINES, 'line', PROBE_FILTER)}),
+        probes as {bits_sql(LINES, 'line', PROBE_FILTER, 'seq,')}
         select seq, bool_and(bits.idx is not null) as seen from probes left join bits using (idx) group by seq""",
     "novel_prompts": f"""
         select line as prompt, min(seq) as ordinal from {LINES}

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -50,17 +53,27 @@ def write_text(rows: DataFrame, path: str, text: str = "text") -> None:
 
 
 def insert_or_ignore(
-    existing: DataFrame, incoming: DataFrame, keys: list[str], order: str, long_keys: bool = False
+    existing: DataFrame,
+    incoming: DataFrame,
+    keys: Sequence[str | tuple[str, ...]],
+    order: str,
+    long_keys: bool = False,
 ) -> DataFrame:
     """Incoming rows that may be added: no unique key of theirs is taken.
 
-    Each name in ``keys`` is a unique key of its own; a NULL key never clashes. Among the
-    incoming rows the lower ``order`` (unique) wins. ``long_keys`` compares digests, which
+    Each entry of ``keys``, a column or a tuple of columns, is a unique key of its own; a key
+    holding a NULL never clashes. Among the incoming rows the lower ``order`` (unique) wins. ``long_keys`` compares digests, which
     keeps blobs and texts out of the key shuffles. Whole rows move once.
     """
 
-    def key_of(name: str) -> Column:
-        return F.unhex(F.sha2(F.col(name), 256)) if long_keys else F.col(name)
+    def part_of(name: str) -> Column:
+        return digest(F.col(name)) if long_keys and _is_long(incoming, name) else F.col(name)
+
+    def key_of(key: str | tuple[str, ...]) -> Column:
+        if isinstance(key, str):
+            return part_of(key)
+        complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in key])
+        return F.when(complete, F.struct(*[part_of(c).alias(c) for c in key]))
 
     names = [f"_k{i}" for i in range(len(keys))]
     rows = incoming.select(F.col(order).alias("_at"), *[key_of(k).alias(n) for k, n in zip(keys, names)])
@@ -69,6 +82,10 @@ def insert_or_ignore(
     return incoming.join(accepted, F.col(order) == F.col("_at"), "left_semi")
 
 
+def _is_long(df: DataFrame, name: str) -> bool:
+    return df.schema[name].dataType.typeName() in ("binary", "string")
+
+
 def _accept_one_key(rows: DataFrame, taken: DataFrame) -> DataFrame:
     # Copies collapse before the join with the store, so a frequent key meets it once.
     first = rows.where("_k0 is not null").groupBy("_k0").agg(F.min("_at").alias("_at"))
@@ -125,15 +142,14 @@ def merge_stores(base: DataFrame, other: DataFrame, keys: tuple[str, ...] = ("id
         survivors = survivors.join(base.select(column), f"_m_{key}", "left_anti")
     added = other.join(survivors.select("_id"), F.col("id") == F.col("_id"), "left_semi")
     if "id" not in keys:
-        top = base.agg(F.coalesce(F.max("id"), F.lit(0)).alias("_top"))  # one row
-        ranked = global_rank(added, "id", "_rank").crossJoin(F.broadcast(top))
-        added = ranked.withColumn("id", F.col("_top") + F.col("_rank")).drop("_top", "_rank")
+        top = base.agg(F.coalesce(F.max("id"), F.lit(0))).scalar()
+        added = global_rank(added, "id", "_rank").withColumn("id", F.col("_rank") + top).drop("_rank")
     return base.unionByName(added.select(*base.columns))
 
 
 def _merge_keys(df: DataFrame, keys: tuple[str, ...]) -> list[Column]:
     return [
-        (digest(F.col(k)) if df.schema[k].dataType.typeName() == "binary" else F.col(k)).alias(f"_m_{k}") for k in keys
+        (digest(F.col(k)) if _is_long(df, k) else F.col(k)).alias(f"_m_{k}") for k in keys
     ]
 
 

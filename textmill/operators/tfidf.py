@@ -94,10 +94,8 @@ def document_frequency(corpus: DataFrame, text: str = "text") -> DataFrame:
 
 def idf(corpus: DataFrame, text: str = "text") -> DataFrame:
     """``(term, df, idf)`` of a corpus."""
-    size = corpus.agg(F.count("*").alias("_n"))
-    return document_frequency(corpus, text).crossJoin(F.broadcast(size)).select(  # one row
-        "term", "df", idf_of(F.col("df"), F.col("_n")).alias("idf")
-    )
+    n = corpus.agg(F.count("*")).scalar()
+    return document_frequency(corpus, text).select("term", "df", idf_of(F.col("df"), n).alias("idf"))
 
 
 def _normalised(weighted: DataFrame, doc: str) -> DataFrame:

@@ -11,19 +11,11 @@ BROADCAST_ROWS = 1_000_000
 SPLIT_BYTES = 128 << 20
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Use every core on an input with few splits; leave wide inputs alone.
-
-    With ``keys`` the rows are hash-placed on them in any case, so that a later
-    aggregation on ``keys`` plus anything else needs no further shuffle.
-    """
-    spark = df.sparkSession
-    if keys:
-        # A stated number: texts grow tenfold when exploded, so small ones must not be merged.
-        return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys)
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core on an input with few splits; leave wide inputs alone, without a shuffle."""
     # Judged by the planner's size estimate, which costs no job.
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    cores = spark.sparkContext.defaultParallelism
+    cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if size < cores * SPLIT_BYTES else df
 
 

@@ -83,19 +83,20 @@ def insert_sink(path: str, keys: tuple[str, ...] = ("data",)) -> Callable[[DataF
 
 
 def bloom_sink(
-    path: str, bits: str, line: str = "line", **filter_args
+    path: str, bits: str, line: str = "line", order: str | None = None, **filter_args
 ) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function: append the lines a Bloom filter lets through.
 
     ``bits`` holds ``(batch, idx)`` and stays within the filter's size. Lines and bits
     are written under their batch number, and a batch ignores bits of its own number, so
-    running it again gives the same lines in the same place.
+    running it again gives the same lines in the same place. ``order`` ranks the lines of a
+    batch; without it they go as they arrive.
     """
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         rows = materialize(
-            batch.select(line).withColumn("_order", F.monotonically_increasing_id()), "bloom-batch"
+            batch.select(line, (F.col(order) if order else F.monotonically_increasing_id()).alias("_order")), "bloom-batch"
         )
         old = read_if_there(spark, bits, "idx long, batch long").where(F.col("batch") != number)
         probes = rows.select("_order", F.explode(dedupe.bloom_indexes(F.col(line), **filter_args)).alias("idx"))
