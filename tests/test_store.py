@@ -119,3 +119,9 @@ def test_sqlite_source(spark, tmp_path):
     assert prompts.collect() == [(1, " a ")]
     with pytest.raises(Exception, match="unknown table"):
         spark.read.format("texts_sqlite").option("table", "x").load(str(tmp_path)).collect()
+
+
+def test_compression_ratio_counts_characters(spark):
+    text = "é" * 50 + "abc"
+    rows = spark.createDataFrame([(text,)], "text string").select("text", codec.compress(F.col("text"), 6).alias("data"))
+    assert store.compression_ratio(rows).first().ratio == len(text) / len(zlib.compress(text.encode(), 6))
