@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("prefix_tokens",)
+MODULES = ("prefix_tokens", "toxicity")
 
 
 def collected(name: str) -> dict:
