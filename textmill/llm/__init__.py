@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("prefix_tokens", "toxicity")
+MODULES = ("prefix_tokens", "toxicity", "quality_gam")
 
 
 def collected(name: str) -> dict:
