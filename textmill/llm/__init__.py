@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("prefix_tokens", "toxicity", "quality_gam")
+MODULES = ("prefix_tokens", "toxicity", "quality_gam", "pieces")
 
 
 def collected(name: str) -> dict:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 SLICE_BYTES = 1 << 21  # text bytes handled at once
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+POWERS: list[np.ndarray] = []
 
 
 def tables(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -91,14 +91,14 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """At least the first ``n`` powers of the multiplier and of its inverse."""
     size = 1 << max(16, int(n).bit_length())
-    if size not in POWERS:
-        POWERS.clear()
-        POWERS[size] = tuple(
+    if not POWERS or len(POWERS[0]) < size:
+        POWERS[:] = [
             np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(size - 1, m, np.uint64), dtype=np.uint64)])
             for m in (MULTIPLIER, INVERSE)
-        )
-    return POWERS[size]
+        ]
+    return POWERS[0], POWERS[1]
 
 
 def span_hashes(symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
