@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("prefix_tokens", "toxicity", "quality_gam", "pieces", "html_density")
+MODULES = ("prefix_tokens", "toxicity", "quality_gam", "pieces", "html_density", "secrets")
 
 
 def collected(name: str) -> dict:
