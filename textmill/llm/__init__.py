@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("prefix_tokens", "toxicity", "quality_gam", "pieces", "html_density", "secrets", "unit_dedup", "decontaminate")
+MODULES = ("prefix_tokens", "toxicity", "quality_gam", "pieces", "html_density", "secrets", "unit_dedup", "decontaminate", "vafile")
 
 
 def collected(name: str) -> dict:
