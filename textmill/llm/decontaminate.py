@@ -255,7 +255,7 @@ def find_items(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> Dat
     return reduce(DataFrame.unionAll, found) if found else docs.sparkSession.createDataFrame([], SCHEMA)
 
 
-def held_by(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFrame:
+def without_items(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFrame:
     """``docs`` without the rows whose text holds an item within its budget, tested inside each row (no join)."""
     for block in blocks(benchmark):
         sent = docs.sparkSession.sparkContext.broadcast(block)

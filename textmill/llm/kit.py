@@ -46,6 +46,15 @@ def remove(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def keep_only(spark: SparkSession, folder: str, names: tuple[str, ...]) -> None:
+    """Delete all tables of a scratch folder but those named."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in files.listStatus(path):
+        if status.getPath().getName() not in names:
+            files.delete(status.getPath(), True)
+
+
 def fold(id_column: Column, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``."""
     return F.crc32(id_column.cast("string")) % parts
