@@ -251,8 +251,13 @@ def node_filter(nodes: DataFrame, bits: int) -> np.ndarray:
     return table
 
 
-def sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, n, grams) of the given distinct nodes. A broadcast bit table of bounded size spares most other sets the shuffle."""
+def ends_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("u").alias("node")).unionAll(pairs.select("v")).distinct()
+
+
+def sets_of(docs: DataFrame, nodes: DataFrame, folder: str, name: str) -> DataFrame:
+    """(node, grams) of the given distinct nodes. A broadcast bit table of bounded size spares most other sets the shuffle."""
+    nodes = kit.written(nodes, folder, name)
     count = nodes.count()
     bits = min(MOST_BITS, max(16, (16 * count).bit_length()))
     spark = docs.sparkSession
@@ -293,39 +298,32 @@ def near_components(docs: DataFrame) -> DataFrame:
 
     signs = docs.mapInArrow(per_slice(signed), "sig long, salt int, salted boolean, node long, n int").repartition("sig", "salt")
     within = Window.partitionBy("sig", "salt")
-    lists = signs.dropDuplicates(["sig", "salt", "node"]).withColumn("leader", F.min("node").over(within)).withColumn("members", F.count(F.lit(1)).over(within))
-    lists = kit.written(lists.where((F.col("members") > 1) | F.col("salted")).drop("members"), folder, "lists")
+    lists = signs.dropDuplicates(["sig", "salt", "node"]).withColumn("lead", F.min(F.struct("node", "n")).over(within)).withColumn("members", F.count(F.lit(1)).over(within))
+    lists = lists.where((F.col("members") > 1) | F.col("salted")).select("sig", "salted", "node", "n", "lead")
+    lists = kit.written(lists, folder, "lists")
     # leaders of a salted list meet under the smallest of them
-    tops = lists.where("salted").groupBy("sig").agg(F.min("leader").alias("top"))
-    over = lists.where("salted").select("sig", "leader").distinct().join(tops, "sig").where(F.col("leader") != F.col("top"))
-    stars = lists.select(F.col("leader").alias("u"), F.col("node").alias("v")).unionAll(over.select(F.col("top").alias("u"), F.col("leader").alias("v")))
-    stars = kit.written(stars.where(F.col("u") != F.col("v")).distinct(), folder, "stars")
-    nodes = kit.written(lists.select("node").distinct(), folder, "nodes")
-    sets = kit.written(sets_of(docs, nodes), folder, "sets")
-    size = F.length("grams") / 8
-    sized = sets.select("node", size.cast("int").alias("n"))
-    near = lambda a, b: (F.least(a, b) * DENOMINATOR) >= (F.greatest(a, b) * NUMERATOR)
-
-    def fitting(pairs: DataFrame) -> DataFrame:
-        out = pairs.join(sized.select(F.col("node").alias("u"), F.col("n").alias("nu")), "u").join(sized.select(F.col("node").alias("v"), F.col("n").alias("nv")), "v")
-        return out.where(near(F.col("nu"), F.col("nv"))).select("u", "v")
-
-    links = kit.written(verified(fitting(stars), sets), folder, "links")
-    parts = kit.written(components(links, folder, "parts"), folder, "parts")
+    salted = lists.where("salted").groupBy("sig", "lead").agg().select("sig", "lead")
+    over = salted.join(salted.groupBy("sig").agg(F.min("lead").alias("top")), "sig").select(F.col("top").alias("a"), F.col("lead").alias("b"))
+    stars = lists.select(F.col("lead").alias("a"), F.struct("node", "n").alias("b")).unionAll(over)
+    stars = stars.select(F.col("a.node").alias("u"), F.col("b.node").alias("v"), F.col("a.n").alias("nu"), F.col("b.n").alias("nv"))
+    near = F.least("nu", "nv") * DENOMINATOR >= F.greatest("nu", "nv") * NUMERATOR
+    stars = kit.written(stars.where((F.col("u") != F.col("v")) & near).select("u", "v").distinct(), folder, "stars")
+    sets = kit.written(sets_of(docs, ends_of(stars), folder, "sets-nodes"), folder, "sets")
+    parts = kit.written(components(kit.written(verified(stars, sets), folder, "links"), folder, "parts"), folder, "parts")
 
     # lists whose nodes lie in several components
-    placed = lists.select("sig", "node", "leader", "salted", "n").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    placed = kit.written(placed, folder, "placed")
+    placed = lists.select("sig", "node", "n").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = placed.groupBy("sig").agg(F.count(F.lit(1)).alias("members"), F.min("component").alias("low"), F.max("component").alias("high"))
-    mixed = kit.written(mixed.where((F.col("low") != F.col("high")) & (F.col("members") > 2)).select("sig", "members"), folder, "mixed")
-    short = placed.join(mixed.where(F.col("members") <= SHORT), "sig")
+    mixed = mixed.where((F.col("low") != F.col("high")) & (F.col("members") > 2)).select("sig", "members")
+    placed = kit.written(placed.join(mixed, "sig"), folder, "placed")
+    short, long = placed.where(F.col("members") <= SHORT), placed.where(F.col("members") > SHORT)
     a = short.select("sig", F.col("node").alias("u"), F.col("component").alias("cu"), F.col("n").alias("nu"))
     b = short.select("sig", F.col("node").alias("v"), F.col("component").alias("cv"), F.col("n").alias("nv"))
-    across = a.join(b, "sig").where((F.col("u") < F.col("v")) & (F.col("cu") != F.col("cv")) & near(F.col("nu"), F.col("nv")))
-    across = across.select("u", "v").distinct().join(stars, ["u", "v"], "left_anti")
-    more = verified(across, sets)
-    long = placed.join(mixed.where(F.col("members") > SHORT).select("sig"), "sig", "left_semi")
-    long = kit.written(long.select("sig", "node", "leader", "component", "salted").distinct(), folder, "long")
+    across = a.join(b, "sig").where((F.col("u") < F.col("v")) & (F.col("cu") != F.col("cv")) & near).select("u", "v").distinct()
+    across = kit.written(across.join(stars, ["u", "v"], "left_anti"), folder, "across")
+    late = ends_of(across).unionAll(long.select("node")).distinct()
+    more_sets = kit.written(sets_of(docs, late, folder, "more-nodes"), folder, "more-sets")
+    more = verified(across, more_sets)
     if not long.isEmpty():
         heads = long.groupBy("sig").agg(F.min("node").alias("head"))
         canopy_edges = long.join(heads, "sig").where(F.col("node") != F.col("head")).select(F.col("node").alias("u"), F.col("head").alias("v")).distinct()
@@ -337,7 +335,7 @@ def near_components(docs: DataFrame) -> DataFrame:
         dealt = dealt.select("*", other.alias("other")).select(
             "canopy", F.least("tile", "other").alias("a"), F.greatest("tile", "other").alias("b"), "node", "component"
         )
-        found = dealt.join(sets, "node").groupBy("canopy", "a", "b").applyInPandas(tile_links, "u long, v long")
+        found = dealt.join(more_sets, "node").groupBy("canopy", "a", "b").applyInPandas(tile_links, "u long, v long")
         more = more.unionAll(found)
     more = kit.written(more, folder, "more")
     label = parts.select(F.col("node").alias("u"), F.col("component").alias("cu"))
