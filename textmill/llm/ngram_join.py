@@ -302,7 +302,7 @@ def near_components(docs: DataFrame) -> DataFrame:
     lists = lists.where((F.col("members") > 1) | F.col("salted")).select("sig", "salted", "node", "n", "lead")
     lists = kit.written(lists, folder, "lists")
     # leaders of a salted list meet under the smallest of them
-    salted = lists.where("salted").groupBy("sig", "lead").agg().select("sig", "lead")
+    salted = lists.where("salted").select("sig", "lead").distinct()
     over = salted.join(salted.groupBy("sig").agg(F.min("lead").alias("top")), "sig").select(F.col("top").alias("a"), F.col("lead").alias("b"))
     stars = lists.select(F.col("lead").alias("a"), F.struct("node", "n").alias("b")).unionAll(over)
     stars = stars.select(F.col("a.node").alias("u"), F.col("b.node").alias("v"), F.col("a.n").alias("nu"), F.col("b.n").alias("nv"))
