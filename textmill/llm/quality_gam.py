@@ -262,7 +262,7 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column) -> dict:
         yield pd.DataFrame({"model": [pickle.dumps({"model": model, "rate": float(y.mean())})]})
 
     # one task: at most TRAIN_ROWS rows of fixed width
-    return pickle.loads(rows.coalesce(1).mapInPandas(task, "model binary").first()["model"])
+    return pickle.loads(rows.repartition(1).mapInPandas(task, "model binary").first()["model"])
 
 
 def score(docs: DataFrame, model: dict) -> DataFrame:

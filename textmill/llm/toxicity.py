@@ -238,7 +238,7 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column) -> dict:
         yield pd.DataFrame({"model": [pickle.dumps(fit_model(pd.concat(parts) if parts else empty))]})
 
     # one task: the sample is bounded by TRAIN_ROWS and TRAIN_WORDS
-    return pickle.loads(numbers.coalesce(1).mapInPandas(task, "model binary").first()["model"])
+    return pickle.loads(numbers.repartition(1).mapInPandas(task, "model binary").first()["model"])
 
 
 def score(docs: DataFrame, model: dict) -> DataFrame:
