@@ -206,7 +206,7 @@ class Page:
             c, lc, t, lt = chars[node], linked[node], max(tags[node], 1), max(link_tags[node], 1)
             if c and not self.out[node]:
                 base = math.log(c / max(c - lc, 1) * lc + share * c + math.e)
-                density[node] = c / t * math.log(1 + c / max(lc, 1) * t / lt) / math.log(base)
+                density[node] = c / t * math.log(1 + c / max(lc, 1) * t / lt) / math.log(max(base, 1.001))  # without any link the base is the same everywhere
         for node in range(count - 1, 0, -1):
             total[self.parent[node]] += density[node]
             inner[self.parent[node]] = True
