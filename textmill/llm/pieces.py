@@ -155,7 +155,7 @@ def encode_slice(vocab: Vocabulary, texts: list[str], keys: np.ndarray, alpha: f
     bounds = np.searchsorted(unit_of[order], np.arange(len(first) + 1))
     for size in np.unique(lengths):
         units = np.flatnonzero(lengths == size)
-        step = max(1, (1 << 21) // (int(size) * min(int(size), vocab.longest)))
+        step = max(1, (1 << 19) // (int(size) * min(int(size), vocab.longest)))
         for begin in range(0, len(units), step):
             some = units[begin : begin + step]
             at = starts[first[some]]
@@ -201,7 +201,7 @@ def encode(
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = Vocabulary(path)
         for batch in batches:
-            for part in kit.slices(batch, limit=1 << 22):
+            for part in kit.slices(batch):
                 texts = ["" if t is None else t for t in part.column(1).to_pylist()]
                 keys = part.column(0).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
                 ids, bounds = encode_slice(vocab, texts, keys, alpha, seed, sample)
