@@ -26,9 +26,9 @@ def spark():
 def sample_corpus(spark):
     return spark.createDataFrame(
         [
-            (0, "The quick brown fox jumps over the lazy dog"),
-            (1, "A quick brown dog runs fast"),
-            (2, "The lazy cat sleeps all day"),
+            (0, "Seven green boats drift past the quiet harbour wall"),
+            (1, "Seven green lamps burn until dawn"),
+            (2, "The quiet owl waits on a wall"),
         ],
         "doc_id long, text string",
     )

@@ -125,3 +125,26 @@ def test_compression_ratio_counts_characters(spark):
     text = "é" * 50 + "abc"
     rows = spark.createDataFrame([(text,)], "text string").select("text", codec.compress(F.col("text"), 6).alias("data"))
     assert store.compression_ratio(rows).first().ratio == len(text) / len(zlib.compress(text.encode(), 6))
+
+
+def test_rows_without_ids_are_numbered_and_survive(spark, tmp_path):
+    path = str(tmp_path / "written")
+    rows = spark.createDataFrame([(f"text {i}".encode(),) for i in range(5)], "data binary").withColumn("word", F.lit("w")).withColumn("compression_algo", F.lit("none"))
+    store.append_generations(rows, path)
+    store.append_generations(rows, path)
+    written = store.read_store(spark, path)
+    assert sorted(r.id for r in written.collect()) == list(range(1, 11))
+    first = written.where("id <= 5").cache()
+    blank = first.withColumn("id", F.lit(None).cast("long"))
+    for keys in (("id", "data"), ("data",)):
+        assert store.merge_stores(first.limit(0), blank, keys).count() == 5
+        assert store.merge_stores(first, blank, keys).count() == 5
+    with pytest.raises(Exception, match="NULL in id"):
+        store.insert_or_ignore(first.limit(0), blank, ["data"], "id").collect()
+
+
+def test_prompt_log_of_many_pieces(spark):
+    pieces = spark.range(5001).select(F.struct(F.lit(1).alias("conv_id"), F.lit(1).alias("turn"), F.col("id").alias("pos")).alias("at"), F.concat(F.lit("p"), "id").alias("prompt"))
+    again = pieces.withColumn("at", F.struct(F.lit(1).alias("conv_id"), F.lit(2).alias("turn"), F.col("at.pos").alias("pos")))
+    log = spark.createDataFrame([], "prompt string")
+    assert store.log_prompts(log, pieces.unionAll(again), "at").count() == 5001

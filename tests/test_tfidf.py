@@ -42,21 +42,22 @@ def frame(spark, texts):
     return spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
 
 
-def test_sample_corpus_has_43_terms(sample_corpus):
-    assert tfidf.document_frequency(sample_corpus).count() == 43
+def test_every_term_of_the_sample_counts(sample_corpus):
+    texts = [r.text for r in sample_corpus.collect()]
+    assert tfidf.document_frequency(sample_corpus).count() == len({t for x in texts for t in grams(tokens(x), 1, 3)})
 
 
-def test_golden_scores(spark, sample_corpus):
-    docs = frame(spark, ["the quick brown fox", "The lazy\ncat, a day"])
-    rows = {(r.doc_id, r.term): round(r.score, 6) for r in tfidf.tfidf_scores(docs, sample_corpus, 0.0).collect()}
-    low = dict.fromkeys(["brown", "quick", "quick brown", "the"], 0.281221)
-    high = dict.fromkeys(["brown fox", "fox", "quick brown fox", "the quick", "the quick brown"], 0.369772)
-    assert {t: s for (d, t), s in rows.items() if d == 0} == low | high
-    assert {t: s for (d, t), s in rows.items() if d == 1} == {"day": 0.795961, "the": 0.605349}
+def test_sample_scores(spark, sample_corpus):
+    texts = [r.text for r in sample_corpus.orderBy("doc_id").collect()]
+    asked = ["seven green boats at dawn", "The quiet\nharbour, a wall"]
+    found = {}
+    for r in tfidf.tfidf_scores(frame(spark, asked), sample_corpus, 0.0).collect():
+        found.setdefault(r.doc_id, {})[r.term] = round(r.score, 9)
+    assert found == {i: {t: round(s, 9) for t, s in brute_scores(x, texts).items()} for i, x in enumerate(asked)}
 
 
 def test_accessors(spark):
-    docs = frame(spark, ["This is a sample text for testing TF-IDF calculations."])
+    docs = frame(spark, ["Owls and boats share a sample of one harbour at dawn."])
     assert "sample" in {r.term for r in tfidf.term_frequency(docs).collect()}
     top = tfidf.top_terms(docs, docs, 3).collect()
     assert [r["rank"] for r in sorted(top, key=lambda r: r["rank"])] == [1, 2, 3]

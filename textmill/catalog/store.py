@@ -71,10 +71,9 @@ MERGE_SQL = f"""
 def _prompt_log(spark, folder):
     talk = table(spark, folder, "conversations")
     log = talk.where("role = 'system'").select(tx.strip(F.col("text")).alias("prompt"))
-    pieces = talk.select(
-        ((F.shiftleft("conv_id", 20) + F.col("turn")) * 4096).alias("base"), F.posexplode(F.split("text", r"\.", -1)).alias("pos", "prompt")
-    )
-    return store.log_prompts(log, pieces.select((F.col("base") + F.col("pos")).alias("seq"), "prompt"), "seq")
+    pieces = talk.select("conv_id", "turn", F.posexplode(F.split("text", r"\.", -1)).alias("pos", "prompt"))
+    found = store.log_prompts(log, pieces.select(F.struct("conv_id", "turn", "pos").alias("at"), "prompt"), "at")
+    return found.select("at.conv_id", "at.turn", "at.pos", "prompt")
 
 
 def _migrate(spark, folder):
@@ -112,13 +111,14 @@ QUERIES = {
     "tokens_by_root": lambda s, d: store.tokens_by_root(_store(s, d)),
     "generation_rate": lambda s, d: store.generation_rate(_rates(s, d)).select("id", r6("rate").alias("rate")),
     "run_rate": lambda s, d: store.run_rate(_rates(s, d)).withColumn("run_rate", r6("run_rate")),
-    "compression_ratio": lambda s, d: store.compression_ratio(_packed(_store(s, d))).select("id", "ratio"),
+    "compression_ratio": lambda s, d: store.compression_ratio(_store(s, d).withColumn("data", compress(F.col("text"), 0))).select("id", "ratio"),
     "running_tokens": lambda s, d: store.running_tokens(_store(s, d), "id", ["word"]).select("id", "word", "running_tokens"),
     "progress_points": lambda s, d: store.progress_points(_store(s, d), "id").select("id", "n", "running_tokens"),
     "latest_versions": _latest,
 }
 
 ORACLE = {
+    "compression_ratio": f"select id, length(text) / cast(strlen(text) as double) as ratio from {STORE}",
     "store_scan": f"select word, text from {STORE} where word <> 'archive' and text <> ''",
     "prompt_log_scan": f"select gen, {sql_strip('prompt')} as prompt from {GENERATIONS}",
     "filter_not_archive": f"select id, word from {STORE} where word <> 'archive'",
@@ -130,8 +130,9 @@ ORACLE = {
         with log as (select {sql_strip('text')} as prompt from conversations where role = 'system'),
         pieces as (select conv_id, turn, unnest(string_split(text, '.')) as piece,
                           generate_subscripts(string_split(text, '.'), 1) - 1 as pos from conversations),
-        incoming as (select (conv_id * 1048576 + turn) * 4096 + pos as seq, {sql_strip('piece')} as prompt from pieces)
-        select min(seq) as seq, prompt from incoming where prompt not in (select prompt from log) group by prompt""",
+        incoming as (select conv_id, turn, cast(pos as int) as pos, {sql_strip('piece')} as prompt from pieces),
+        ranked as (select *, row_number() over (partition by prompt order by conv_id, turn, pos) as nr from incoming)
+        select conv_id, turn, pos, prompt from ranked where nr = 1 and prompt not in (select prompt from log)""",
     "merge_stores": f"""
         with {MERGE_SQL} added as (select * from other
             where id not in (select id from base) and text not in (select text from base))

@@ -45,7 +45,7 @@ def distinct_texts(df: DataFrame, text: str, order: str) -> DataFrame:
 
 def novel(candidates: DataFrame, visited: DataFrame, key: str = "prompt", order: str = "ordinal") -> DataFrame:
     """Candidates not in ``visited``, each once, with the lowest ``order``."""
-    return candidates.groupBy(key).agg(F.min(order).alias(order)).join(visited.select(key), key, "left_anti")
+    return candidates.groupBy(key).agg(F.min(order).alias(order)).join(visited.select(key).distinct(), key, "left_anti")
 
 
 def dedupe_bloom(

@@ -14,6 +14,7 @@ from textmill.functions.codec import compress, decompress
 from textmill.functions.text import strip, token_count
 from textmill.operators.dedupe import dedupe_bloom, digest, distinct_texts
 from textmill.plans import bounded_broadcast, global_rank, hot_values, materialize, running_sum, salted_join, spread
+from textmill.sources.tables import read_if_there
 
 ARCHIVE = "archive"
 
@@ -44,8 +45,21 @@ def _shaped(rows: DataFrame) -> DataFrame:
     return rows.select(*columns)
 
 
+def numbered(rows: DataFrame, existing: DataFrame) -> DataFrame:
+    """``rows`` (all store columns) with an ``id`` for those that lack one, counted on from the highest id of both tables."""
+    rows = materialize(rows.withColumn("_order", F.monotonically_increasing_id()), "numbered")
+    blank = rows.where(F.col("id").isNull())
+    if blank.isEmpty():
+        return rows.drop("_order")
+    highest = existing.select("id").unionByName(rows.select("id")).agg(F.coalesce(F.max("id"), F.lit(0)).alias("top")).first()["top"]
+    counted = global_rank(blank, "_order", "_rank").withColumn("id", (F.col("_rank") + highest).cast("long")).drop("_rank")
+    return rows.where(F.col("id").isNotNull()).unionByName(counted).drop("_order")
+
+
 def append_generations(rows: DataFrame, path: str) -> None:
-    _shaped(rows).write.mode("append").parquet(path)
+    """Append rows; those without ``id`` are numbered on from the highest one stored."""
+    there = read_if_there(rows.sparkSession, path, schemas.TEXTS)
+    numbered(_shaped(rows), there).write.mode("append").parquet(path)
 
 
 def write_text(rows: DataFrame, path: str, text: str = "text") -> None:
@@ -62,7 +76,7 @@ def insert_or_ignore(
     """Incoming rows that may be added: no unique key of theirs is taken.
 
     Each entry of ``keys``, a column or a tuple of columns, is a unique key of its own; a key
-    holding a NULL never clashes. Among the incoming rows the lower ``order`` (unique) wins. ``long_keys`` compares digests, which
+    holding a NULL never clashes. Among the incoming rows the lower ``order`` (unique, a NULL is an error) wins. ``long_keys`` compares digests, which
     keeps blobs and texts out of the key shuffles. Whole rows move once.
     """
 
@@ -76,7 +90,8 @@ def insert_or_ignore(
         return F.when(complete, F.struct(*[part_of(c).alias(c) for c in key]))
 
     names = [f"_k{i}" for i in range(len(keys))]
-    rows = incoming.select(F.col(order).alias("_at"), *[key_of(k).alias(n) for k, n in zip(keys, names)])
+    place = F.coalesce(F.col(order), F.raise_error(F.lit(f"insert_or_ignore: NULL in {order}")))
+    rows = incoming.select(place.alias("_at"), *[key_of(k).alias(n) for k, n in zip(keys, names)])
     taken = [existing.select(key_of(k).alias(n)).where(F.col(n).isNotNull()) for k, n in zip(keys, names)]
     accepted = _accept_one_key(rows, taken[0]) if len(keys) == 1 else _accept_many_keys(rows, taken)
     return incoming.join(accepted, F.col(order) == F.col("_at"), "left_semi")
@@ -89,7 +104,7 @@ def _is_long(df: DataFrame, name: str) -> bool:
 def _accept_one_key(rows: DataFrame, taken: DataFrame) -> DataFrame:
     # Copies collapse before the join with the store, so a frequent key meets it once.
     first = rows.where("_k0 is not null").groupBy("_k0").agg(F.min("_at").alias("_at"))
-    return first.join(taken, "_k0", "left_anti").select("_at").union(rows.where("_k0 is null").select("_at"))
+    return first.join(taken.distinct(), "_k0", "left_anti").select("_at").union(rows.where("_k0 is null").select("_at"))
 
 
 def _accept_many_keys(rows: DataFrame, taken: list[DataFrame]) -> DataFrame:
@@ -135,8 +150,10 @@ def merge_stores(base: DataFrame, other: DataFrame, keys: tuple[str, ...] = ("id
     """All of ``base``, and the rows of ``other`` none of whose keys are in ``base``.
 
     ``other`` must obey its own unique keys. Without ``id`` among the keys the added rows
-    are numbered on from the highest id of ``base``.
+    are numbered on from the highest id of ``base``. Rows of ``other`` without id are numbered on from the highest id of both.
     """
+    if not other.where(F.col("id").isNull()).isEmpty():
+        other = numbered(other, base)
     survivors = other.select(F.col("id").alias("_id"), *_merge_keys(other, keys))
     for key, column in zip(keys, _merge_keys(base, keys)):
         survivors = survivors.join(base.select(column), f"_m_{key}", "left_anti")
@@ -174,6 +191,8 @@ def migrate_archive(
     ``bloom``: filter arguments to let a Bloom filter decide what has been seen.
     """
     rows = filter_nonempty(filter_not_archive(source))
+    if not rows.where(F.col("id").isNull()).isEmpty():
+        rows = numbered(rows, source)
     texts = spread(rows.select("id", "data", "compression_algo")).select(
         "id", decompress(F.col("data"), F.col("compression_algo")).alias("text")
     )

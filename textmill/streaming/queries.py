@@ -77,7 +77,7 @@ def insert_sink(path: str, keys: tuple[str, ...] = ("data",)) -> Callable[[DataF
         )
         there = read_if_there(spark, path, schemas.TEXTS)
         fresh = store.insert_or_ignore(there, rows, list(keys), "_order", long_keys=True)
-        fresh.drop("_order").write.mode("append").parquet(path)
+        store.numbered(fresh.drop("_order"), there).write.mode("append").parquet(path)
 
     return write
 
