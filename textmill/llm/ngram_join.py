@@ -133,8 +133,9 @@ def sketch(docs: DataFrame, width: int) -> np.ndarray:
 
     parts = docs.mapInArrow(counted, "chunk int, counts binary").repartition("chunk").mapInArrow(added, "chunk int, counts binary")
     found = np.zeros((width // CHUNK, CHUNK), np.int32)
-    for row in parts.toLocalIterator():
-        found[row["chunk"]] = np.frombuffer(row["counts"], np.int32)
+    for batch in parts.toArrow().to_batches():  # 4 * width bytes
+        for chunk, row in zip(batch.column(0).to_pylist(), batch.column(1)):
+            found[chunk] = np.frombuffer(row.as_buffer(), np.int32)
     return found.ravel()
 
 
@@ -246,8 +247,8 @@ def node_filter(nodes: DataFrame, bits: int) -> np.ndarray:
     word = F.expr(f"cast((node & {(1 << bits) - 1}) >> 5 as int)").alias("word")
     word = nodes.groupBy(word).agg(F.expr("bit_or(shiftleft(1L, cast(node & 31 as int)))").alias("mask"))
     table = np.zeros(1 << (bits - 5), np.uint32)
-    for row in word.toLocalIterator():
-        table[row["word"]] = row["mask"] & 0xFFFFFFFF
+    found = word.toArrow()  # at most a row of 12 bytes for each word
+    table[found["word"].to_numpy()] = found["mask"].to_numpy() & 0xFFFFFFFF
     return table
 
 
