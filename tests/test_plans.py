@@ -53,13 +53,14 @@ def test_bounded_broadcast(spark):
     assert bounded_broadcast(df, 9)[1] is False
 
 
-def test_cluster_needs_a_shared_folder(spark, monkeypatch):
+@pytest.mark.parametrize("url", ["spark://host:7077", "local-cluster[2,1,1024]"])
+def test_cluster_needs_a_shared_folder(url):
     class NoDir:
         def isDefined(self):
             return False
 
     class Context:
-        master = "spark://host:7077"
+        master = url
 
         class _jsc:
             @staticmethod

@@ -17,7 +17,7 @@ def scratch_dir(spark: SparkSession) -> str:
     current = context._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
-    if not context.master.startswith("local"):
+    if context.master.split("[")[0] != "local":  # nor local-cluster, which has executors of its own
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="textmill-"))
     return context._jsc.sc().getCheckpointDir().get()
