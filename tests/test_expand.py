@@ -37,7 +37,6 @@ def walk(root, answers, prefixes, max_depth, visited=()):
 @pytest.mark.parametrize("seed", range(3))
 def test_expansion_matches_walk(spark, monkeypatch, seed):
     monkeypatch.setattr(skew, "HOT_ROWS", 3)
-    monkeypatch.setattr(skew.hot_values, "__defaults__", (3,))
     rng = random.Random(seed)
     words = [f"w{i}" for i in range(12)] + [""]
     prefixes = rng.choice([("",), ("", "on"), ("on",)])

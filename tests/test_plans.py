@@ -9,7 +9,7 @@ from textmill.plans.layout import bounded_broadcast
 
 @pytest.mark.parametrize("kind", ["long", "string"])
 def test_running_sum_and_rank(spark, monkeypatch, kind):
-    monkeypatch.setattr(ordering, "PROBES_PER_BLOCK", 3)
+    monkeypatch.setattr(ordering, "BLOCK_ROWS", 10)
     rng = random.Random(3)
     keys = rng.sample(range(10_000), 500)
     rows = [(f"{k:05d}" if kind == "string" else k, rng.choice(["hot", "hot", "hot", "a", None]), rng.randint(0, 9)) for k in keys]
@@ -27,7 +27,7 @@ def test_running_sum_and_rank(spark, monkeypatch, kind):
 
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_lookup_join_with_hot_keys(spark, monkeypatch, how):
-    monkeypatch.setattr(skew, "HOT_KEYS", 2)
+    monkeypatch.setattr(skew, "HOT_ROWS", 30)
     rows = spark.createDataFrame([(i, "the" if i % 2 else f"w{i % 9}") for i in range(300)], "doc long, term string")
     lookup = spark.createDataFrame([("the", 150, 1.0), ("w0", 40, None), ("w2", 9, 2.0), ("w4", 8, 3.0)], "term string, n int, v double")
     key = lambda r: (r.doc, r.term, r.v or 0.0)
@@ -38,15 +38,34 @@ def test_lookup_join_with_hot_keys(spark, monkeypatch, how):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_anti", "left_semi"])
-def test_salted_join(spark, how):
+def test_salted_join(spark, monkeypatch, how):
+    monkeypatch.setattr(skew, "HOT_ROWS", 50)
     rows = spark.createDataFrame([(i, "hot" if i % 3 else f"k{i % 7}") for i in range(200)], "id long, k string")
     other = spark.createDataFrame([("hot", 1), ("k0", 2), ("k3", 3)], "k string, v int")
-    hot = skew.hot_values(rows, ["k"], min_rows=50)
-    assert len(hot) == 1
+    hot = skew.hot_values(rows, ["k"])
+    assert [r["_salts"] for r in hot.collect()] == [3]
     wanted = sorted(map(str, rows.join(other, "k", how).collect()))
     assert sorted(map(str, salted_join(rows, other, ["k"], hot, F.col("id"), how).collect())) == wanted
 
 
+def test_every_key_beyond_the_threshold_is_split(spark, monkeypatch):
+    monkeypatch.setattr(skew, "HOT_ROWS", 4)
+    rows = spark.range(1500 * 10).select("id", (F.col("id") % 1500).alias("k"))
+    hot = skew.hot_values(rows, ["k"])
+    assert hot.groupBy("_salts").count().collect() == [(3, 1500)]
+    lookup = rows.groupBy("k").agg(F.count("*").alias("n"), F.max("id").alias("top"))
+    parts = skew._salted(rows, ["k"], hot, F.col("id")).groupBy("k", "_salt").count()
+    assert parts.select("k").distinct().count() == 1500 and parts.count() > 3000
+    assert lookup_join(rows, lookup, "k", "n", "id").where("top % 1500 = k").count() == 15_000
+
+
+def test_hot_table_is_bounded_by_the_share(spark, monkeypatch):
+    monkeypatch.setattr(skew, "HOT_ROWS", 1)
+    monkeypatch.setattr(skew, "HOT_SHARE", 10)
+    rows = spark.range(100).select(F.when(F.col("id") < 30, 0).otherwise(F.col("id")).alias("k"))
+    assert [r["_salts"] for r in skew.hot_values(rows, ["k"]).collect()] == [3]
+
+
 def test_bounded_broadcast(spark):
     df = spark.range(10)
     assert bounded_broadcast(df, 10)[1] is True

@@ -13,7 +13,7 @@ from textmill import schemas
 from textmill.functions.codec import compress, decompress
 from textmill.functions.text import strip, token_count
 from textmill.operators.dedupe import dedupe_bloom, digest, distinct_texts
-from textmill.plans import bounded_broadcast, global_rank, hot_values, materialize, running_sum, salted_join, spread
+from textmill.plans import bounded_broadcast, global_rank, hot_values, materialize, range_bounds, running_sum, salted_join, spread
 from textmill.sources.tables import read_if_there
 
 ARCHIVE = "archive"
@@ -250,8 +250,9 @@ def running_tokens(rows: DataFrame, order: str, partition: list[str] | None = No
 
 def progress_points(rows: DataFrame, order: str, every: int = 10) -> DataFrame:
     """Rows 0, ``every``, 2 * ``every``, ... with the total reached."""
-    numbered = global_rank(rows, order, "n").withColumn("n", F.col("n") - 1)
-    return running_tokens(numbered, order).where(F.col("n") % every == 0)
+    bounds = range_bounds(rows, order)
+    placed = global_rank(rows, order, "n", bounds=bounds).withColumn("n", F.col("n") - 1)
+    return running_sum(placed, "tok", order, "running_tokens", bounds=bounds).where(F.col("n") % every == 0)
 
 
 def latest_n(versions: DataFrame, keys: list[str], order: str, n: int = 3, tie: str | None = None) -> DataFrame:

@@ -8,44 +8,51 @@ ordered inside their own block.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-MAX_BLOCKS = 512
+# Rows that one task puts in order.
+BLOCK_ROWS = 200_000
+# Cut points are literals of the plan, so there are at most this many; beyond BLOCK_ROWS times
+# this many rows the blocks grow, and their sorts spill.
+MOST_BLOCKS = 1 << 14
 PROBES_PER_BLOCK = 16
-GROUP = 16
 
 
-def range_bounds(df: DataFrame, order: str, blocks: int = MAX_BLOCKS) -> list:
-    """Cut points (at most ``blocks - 1``) that split ``order`` into about equal parts.
+def range_bounds(df: DataFrame, order: str) -> list:
+    """Cut points that split ``order`` into about equal parts, one for each ``BLOCK_ROWS`` rows.
 
-    Probes the order column only: the values with the smallest hashes, at most
-    ``blocks * PROBES_PER_BLOCK``. The choice affects balance, never results.
+    Probes the order column only: about ``PROBES_PER_BLOCK`` values per block, those whose
+    hash falls below a limit. The choice affects balance, never results.
     """
-    probes = (
-        df.select(F.col(order).alias("v"))
-        .where(F.col("v").isNotNull())
-        .orderBy(F.xxhash64("v"), "v")
-        .limit(blocks * PROBES_PER_BLOCK)
-    )
-    values = probes.agg(F.sort_array(F.collect_list("v")).alias("v")).first()["v"]
-    step = max(PROBES_PER_BLOCK, -(-len(values) // blocks))
-    return sorted(set(values[step::step])) if step < len(values) else []
+    column = df.select(F.col(order).alias("v")).where(F.col("v").isNotNull())
+    rows = column.count()
+    blocks = min(-(-rows // BLOCK_ROWS), MOST_BLOCKS)
+    if blocks < 2:
+        return []
+    share = blocks * PROBES_PER_BLOCK / rows
+    probes = column.where(F.pmod(F.xxhash64("v"), F.lit(1 << 32)) < int(min(1.0, share) * (1 << 32))).distinct()
+    values = sorted(r["v"] for r in probes.collect())
+    step = max(1, -(-len(values) // blocks))
+    return values[step::step]
 
 
 def block_of(order: Column, bounds: list) -> Column:
     """Number of the range block an order value falls into, found in two short searches."""
     if not bounds:
         return F.lit(0)
-    groups = [bounds[i : i + GROUP] for i in range(0, len(bounds), GROUP)]
+    width = math.isqrt(len(bounds) - 1) + 1
+    groups = [bounds[i : i + width] for i in range(0, len(bounds), width)]
     heads = F.array(*[F.lit(g[0]) for g in groups])
     cuts = F.array(*[F.array(*[F.lit(b) for b in g]) for g in groups])
     group = F.size(F.filter(heads, lambda cut: cut <= order)) - 1
     return F.get(
         F.transform(
             F.array(group),
-            lambda g: F.when(g < 0, 0).otherwise(g * GROUP + F.size(F.filter(F.get(cuts, g), lambda c: c <= order))),
+            lambda g: F.when(g < 0, 0).otherwise(g * width + F.size(F.filter(F.get(cuts, g), lambda c: c <= order))),
         ),
         F.lit(0),
     )
@@ -90,7 +97,7 @@ def running_sum(
         F.sum("_sum").over(before).alias("_before"),
     )
     if not keys:
-        offsets = F.broadcast(offsets)  # one row per block: at most MAX_BLOCKS
+        offsets = F.broadcast(offsets)  # one row per block: at most MOST_BLOCKS
     match = F.col("_blk") == F.col("_b")
     for i, k in enumerate(spot):
         match = match & F.col(k).eqNullSafe(F.col(f"_k{i}"))

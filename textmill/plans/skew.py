@@ -1,15 +1,44 @@
-"""Joins on keys of which one may hold a large share of the rows."""
+"""Joins on keys of which one may hold a large share of the rows.
+
+A key is split over as many tasks as its rows call for. Which keys are hot, and over how many
+tasks each goes, follows from counted rows: a key is left whole while it has fewer than
+``HOT_ROWS`` rows, or less than one ``HOT_SHARE``-th of all rows, which is below the mean load
+of a task in any job of up to ``HOT_SHARE`` tasks. So the table of hot keys has at most
+``HOT_SHARE`` rows of two numbers, whatever the size of the data, and may be broadcast; the
+copies made of the other side are at most twice as many.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Keys handled apart. Each key left over then holds less than 1/HOT_KEYS of all rows.
-HOT_KEYS = 1000
-# A key with fewer rows than this is no burden to one task.
+from textmill.plans.lineage import materialize
+
+# Rows of one key that a task takes.
 HOT_ROWS = 200_000
-SALTS = 64
+# Most hot keys there can be: 4 MB of (hash, salts) pairs.
+HOT_SHARE = 1 << 18
+
+
+def _hot(counts: DataFrame, threshold_of: DataFrame) -> DataFrame:
+    """``(_h, _salts)`` of the hot keys of ``counts(_h, _rows)``; totals come from ``threshold_of(_rows)``."""
+    total = threshold_of.agg(F.coalesce(F.sum("_rows"), F.lit(0))).scalar()
+    threshold = F.greatest(F.lit(float(HOT_ROWS)), total / F.lit(float(HOT_SHARE)))
+    hot = counts.where(F.col("_rows") >= threshold)
+    return hot.groupBy("_h").agg(F.ceil(F.max(F.col("_rows") / threshold)).cast("int").alias("_salts"))
+
+
+def _salted(rows: DataFrame, keys: list[str], hot: DataFrame, spread_by: Column) -> DataFrame:
+    tagged = rows.withColumn("_h", F.xxhash64(*keys)).join(F.broadcast(hot), "_h", "left")
+    salt = F.when(F.col("_salts") > 1, F.pmod(F.xxhash64(spread_by), F.col("_salts")).cast("int")).otherwise(0)
+    return tagged.withColumn("_salt", salt).drop("_salts")
+
+
+def _copied(other: DataFrame, keys: list[str], hot: DataFrame) -> DataFrame:
+    tagged = other.withColumn("_h", F.xxhash64(*keys)).join(F.broadcast(hot), "_h", "left")
+    last = F.coalesce(F.col("_salts"), F.lit(1)) - 1
+    return tagged.withColumn("_salt", F.explode(F.sequence(F.lit(0), last))).drop("_salts")
 
 
 def lookup_join(
@@ -22,58 +51,40 @@ def lookup_join(
 ) -> DataFrame:
     """Join ``rows`` with ``lookup`` (unique on ``key``; ``weight`` = its rows in ``rows``, about).
 
-    The ``HOT_KEYS`` heaviest lookup rows, a fixed number, are broadcast. Rows they serve
-    are placed by ``spread_by`` too, so they are spread evenly instead of meeting in one
-    task; all other rows are placed by a hash of the key. Both sides are sorted by that
-    number before the key, which spares comparing texts.
+    Rows of a hot key are split by ``spread_by``. Both sides are sorted by a hash before the
+    key, which spares comparing texts.
     """
     values = [c for c in lookup.columns if c not in (key, weight)]
-    hot = lookup.orderBy(F.desc(weight), key).limit(HOT_KEYS).select(
-        F.col(key).alias("_hot"), F.lit(True).alias("_is_hot"), *[F.col(v).alias(f"_hot_{v}") for v in values]
-    )
-    cold = lookup.select(
-        F.xxhash64(key).alias("_place"), F.col(key), F.lit(True).alias("_is_cold"), *[F.col(v).alias(f"_cold_{v}") for v in values]
-    )
-    tagged = rows.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left").drop("_hot")
-    # A hot row whose place happens to be that of its key finds the same values twice.
-    placed = tagged.withColumn(
-        "_place", F.when(F.col("_is_hot"), F.xxhash64(spread_by, key)).otherwise(F.xxhash64(key))
+    hot = _hot(
+        lookup.select(F.xxhash64(key).alias("_h"), F.col(weight).alias("_rows")), lookup.select(F.col(weight).alias("_rows"))
     )
-    joined = placed.join(cold, ["_place", key], "left")
-    if how == "inner":
-        joined = joined.where(F.col("_is_hot") | F.col("_is_cold"))
-    return joined.select(
-        *rows.columns,
-        *[
-            F.when(F.col("_is_hot"), F.col(f"_hot_{v}")).otherwise(F.col(f"_cold_{v}")).alias(v)
-            for v in values
-        ],
+    joined = _salted(rows, [key], hot, F.col(spread_by)).join(
+        _copied(lookup.select(key, *values), [key], hot), ["_h", "_salt", key], how
     )
+    return joined.select(*rows.columns, *values)
 
 
-def hot_values(rows: DataFrame, keys: list[str], min_rows: int = HOT_ROWS) -> list[int]:
-    """Hashes of the key values with the most rows: at most ``HOT_KEYS`` longs."""
-    counts = rows.groupBy(F.xxhash64(*keys).alias("h")).count().where(F.col("count") >= min_rows)
-    return [r["h"] for r in counts.orderBy(F.desc("count"), "h").limit(HOT_KEYS).collect()]
+def hot_values(rows: DataFrame, keys: list[str]) -> DataFrame | None:
+    """Written ``(_h, _salts)`` of the key values with very many rows; None when there are none."""
+    counts = rows.groupBy(F.xxhash64(*keys).alias("_h")).agg(F.count("*").alias("_rows"))
+    hot = materialize(_hot(counts, counts.select("_rows")), "hot")
+    return None if hot.isEmpty() else hot
 
 
 def salted_join(
     rows: DataFrame,
     other: DataFrame,
     keys: list[str],
-    hot: list[int],
+    hot: DataFrame | None,
     spread_by: Column,
     how: str = "inner",
 ) -> DataFrame:
-    """Join on ``keys``; values hashed in ``hot`` are split over ``SALTS`` tasks.
+    """Join on ``keys``; values found by ``hot_values`` are split over their number of tasks.
 
     Only the matching rows of ``other`` are copied per salt. A hash collision costs a few
     extra copies and changes nothing.
     """
-    if not hot:
+    if hot is None:
         return rows.join(other, keys, how)
-    is_hot = F.xxhash64(*keys).isin(hot)
-    salted = rows.withColumn("_salt", F.when(is_hot, F.pmod(F.xxhash64(spread_by), F.lit(SALTS))).otherwise(0))
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    copied = other.withColumn("_salt", F.explode(copies.cast("array<long>")))
-    return salted.join(copied, [*keys, "_salt"], how).drop("_salt")
+    joined = _salted(rows, keys, hot, spread_by).join(_copied(other, keys, hot), [*keys, "_h", "_salt"], how)
+    return joined.drop("_h", "_salt")
