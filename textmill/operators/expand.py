@@ -109,7 +109,7 @@ def expand_frontier(
         else:
             fresh = children.distinct()
         if visited is not None:
-            fresh = _unseen(fresh, visited.select("prompt").distinct(), ["prompt"])
+            fresh = _unseen(materialize(fresh, "fresh"), visited.select("prompt").distinct(), ["prompt"])
         if done is not None:
             fresh = fresh.join(done, scope, "left_anti")
         frontier = materialize(fresh.select("word", "prompt", F.lit(depth).alias("depth")), "frontier")

@@ -65,7 +65,12 @@ def lookup_join(
 
 
 def hot_values(rows: DataFrame, keys: list[str]) -> DataFrame | None:
-    """Written ``(_h, _salts)`` of the key values with very many rows; None when there are none."""
+    """Written ``(_h, _salts)`` of the key values with very many rows; None when there are none.
+
+    Reads ``rows`` more than once: pass a written table or a cheap scan.
+    """
+    if rows.limit(HOT_ROWS).count() < HOT_ROWS:  # too few rows for any key to be hot
+        return None
     counts = rows.groupBy(F.xxhash64(*keys).alias("_h")).agg(F.count("*").alias("_rows"))
     hot = materialize(_hot(counts, counts.select("_rows")), "hot")
     return None if hot.isEmpty() else hot
