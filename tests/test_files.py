@@ -118,5 +118,27 @@ def test_language_join_without_broadcast(spark, monkeypatch):
     model = language.train(known)
     lines = spark.createDataFrame([(1, "the dog"), (3, "die Katze"), (4, "ab")], "doc_id long, text string")
     wanted = sorted(map(str, language.detect(lines, model).collect()))
-    monkeypatch.setattr(language, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(language, "BROADCAST_BYTES", 0)
     assert sorted(map(str, language.detect(lines, model).collect())) == wanted
+
+
+def test_many_languages_against_definition(spark):
+    """Naive Bayes over 60 languages, written out: also for texts that share a trigram with few or none of them."""
+    from collections import Counter
+    from math import log
+
+    known = [(f"w{i:03d} q{i % 7}z the{i}", f"l{i:02d}") for i in range(60)] + [("", "none")]
+    model = language.train(spark.createDataFrame(known, "text string, lang string"))
+    cut = lambda t: [t.lower()[i : i + 3] for i in range(len(t) - 2)]
+    counts = {lang: Counter(cut(text)) for text, lang in known}
+    vocabulary = len({g for c in counts.values() for g in c})
+    assert model.vocabulary == vocabulary
+    texts = [(1, "w007 the7"), (2, "q3z"), (3, "xyxyxy"), (4, "the"), (5, "ab"), (6, ""), (7, None), (8, "the59 the59")]
+
+    def best(text):
+        grams = cut(text or "")
+        cost = lambda c: sum(log(c.total() + vocabulary) - log(c[g] + 1) for g in grams)
+        return min((round(cost(c), 9), lang) for lang, c in counts.items())[1] if grams else "undetected"
+
+    found = language.detect(spark.createDataFrame(texts, "doc_id long, text string"), model).collect()
+    assert {r.doc_id: r.lang for r in found} == {i: best(t) for i, t in texts}

@@ -5,28 +5,31 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from textmill.functions.text import char_ngrams, strip
 from textmill.operators.dedupe import distinct_texts
-
+from textmill.operators.tfidf import term_runs
 from textmill.plans import lookup_join, materialize, spread
-from textmill.plans.layout import BROADCAST_ROWS
 
 UNDETECTED = "undetected"
 GRAM = 3
-# More labels than this are no set of languages.
-MAX_LANGUAGES = 2000
+# A model whose rows are estimated below this size is sent to every executor.
+BROADCAST_BYTES = 64 << 20
 
 
 @dataclass(frozen=True)
 class LanguageModel:
-    """``grams(gram, total, c0, c1, ...)``: trigram counts, one column per language."""
+    """``grams(gram, total, counts)`` with an array of ``(lang, n)`` per trigram, and ``sizes(lang, size, place)``.
+
+    ``place`` numbers the languages from 0 by (size, name). ``bytes`` estimates the size of ``grams`` in memory.
+    """
 
     grams: DataFrame
-    languages: list[str]
-    sizes: list[int]
+    sizes: DataFrame
     vocabulary: int
+    bytes: int
 
 
 def _grams(text: Column) -> Column:
@@ -34,51 +37,71 @@ def _grams(text: Column) -> Column:
 
 
 def train(labelled: DataFrame, text: str = "text", lang: str = "lang") -> LanguageModel:
-    """Count trigrams per language; the counts are combined per task before their shuffle."""
-    found = labelled.select(lang).where(F.col(lang).isNotNull()).distinct().limit(MAX_LANGUAGES + 1).collect()
-    languages = sorted(r[0] for r in found)
-    if not 1 <= len(languages) <= MAX_LANGUAGES:
-        raise ValueError(f"{lang!r} should hold 1 to {MAX_LANGUAGES} languages")
-    rows = spread(labelled.where(F.col(lang).isNotNull()).select(lang, text)).select(
-        lang, F.explode(_grams(F.col(text))).alias("gram")
+    """Count trigrams per language, of any number of languages; counts are combined per task before their shuffle."""
+    known = labelled.where(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("_text"))
+    rows = spread(known).select("lang", F.explode(_grams(F.col("_text"))).alias("gram"))
+    counts = rows.groupBy("lang", "gram").agg(F.count("*").alias("n"))
+    pairs = F.collect_list(F.struct("lang", "n"))  # one entry per language, not per text
+    grams = materialize(counts.groupBy("gram").agg(F.sum("n").alias("total"), pairs.alias("counts")), "grams")
+    # A labelled language without trigrams has size 0.
+    sums = grams.select(F.explode("counts").alias("c")).select("c.lang", "c.n")
+    sums = sums.unionByName(known.select("lang", F.lit(0).cast("long").alias("n")).distinct())
+    by_size = W.orderBy("size", "lang")  # over the languages alone
+    sizes = materialize(
+        sums.groupBy("lang").agg(F.sum("n").alias("size")).withColumn("place", F.row_number().over(by_size) - 1), "sizes"
     )
-    counts = [
-        F.sum(F.when(F.col(lang) == name, 1).otherwise(0)).alias(f"c{i}") for i, name in enumerate(languages)
-    ]
-    grams = materialize(rows.groupBy("gram").agg(F.count("*").alias("total"), *counts), "grams")
-    sums = grams.agg(F.count("*"), *[F.coalesce(F.sum(f"c{i}"), F.lit(0)) for i in range(len(languages))]).first()
-    return LanguageModel(grams, languages, [int(s) for s in sums[1:]], int(sums[0]))
+    if sizes.isEmpty():
+        raise ValueError(f"{lang!r} holds no language")
+    in_memory = F.aggregate("counts", F.lit(64).cast("long"), lambda size, c: size + 40 + F.octet_length(c["lang"]))
+    found = grams.agg(F.count("*").alias("rows"), F.coalesce(F.sum(in_memory), F.lit(0)).alias("bytes")).first()
+    return LanguageModel(grams, sizes, found["rows"], found["bytes"])
 
 
 def detect(texts: DataFrame, model: LanguageModel, text: str = "text", order: str = "doc_id") -> DataFrame:
     """``(order, lang)`` by naive Bayes with add-one smoothing; no trigram means ``undetected``.
 
-    ``sum(log(count + 1))`` comes from a join by trigram, the denominators from the number
-    of trigrams. The model is broadcast while it has few rows, else the join is shuffled
-    with the frequent trigrams split off.
+    A language scores ``sum(log(count + 1)) - n * log(size + vocabulary)``. The sums come from a
+    join by trigram, for the languages that share one with the text. All others have a sum of 0,
+    so of these only the smallest can win: the first place that is lacking among those found.
     """
-    n = len(model.languages)
-    logs = model.grams.select("gram", "total", *[F.log1p(F.col(f"c{i}")).alias(f"l{i}") for i in range(n)])
-    rows = spread(texts.select(order, text)).select(order, F.explode(_grams(F.col(text))).alias("gram"))
-    if model.vocabulary <= BROADCAST_ROWS:
-        known = rows.join(F.broadcast(logs.drop("total")), "gram", "left")
+    logs = model.grams.select(
+        "gram", "total", F.transform("counts", lambda c: F.struct(c["lang"].alias("lang"), F.log1p(c["n"]).alias("w"))).alias("logs")
+    )
+    split = spread(texts.select(order, text))
+    if model.bytes <= BROADCAST_BYTES:
+        # Nothing is shuffled before the sums, so counting inside the text would only add sorts.
+        rows = split.select(order, F.explode(_grams(F.col(text))).alias("gram"), F.lit(1).alias("_times"))
+        known = rows.join(F.broadcast(logs.drop("total")), "gram")
     else:
-        known = lookup_join(
-            rows.groupBy(order, "gram").agg(F.count("*").alias("_times")), logs, "gram", "total", order, how="left"
-        )
-    times = F.col("_times") if "_times" in known.columns else F.lit(1)
-    sums = known.groupBy(order).agg(
-        F.sum(times).alias("_n"), *[F.coalesce(F.sum(F.col(f"l{i}") * times), F.lit(0.0)).alias(f"s{i}") for i in range(n)]
+        counted = split.select(order, F.explode(term_runs(_grams(F.col(text)))).alias("r"))
+        rows = counted.select(order, F.col("r.term").alias("gram"), F.col("r.tf").alias("_times"))
+        known = lookup_join(rows, logs, "gram", "total", order)
+    parts = known.select(order, "_times", F.explode("logs").alias("l"))
+    sums = parts.groupBy(order, "l.lang").agg(F.sum(F.col("_times") * F.col("l.w")).alias("_s"))
+    n = F.greatest(F.length(F.lower(F.col(text))) - (GRAM - 1), F.lit(0)).cast("long")
+    lengths = texts.select(order, n.alias("_n")).where(F.col("_n") > 0)
+
+    penalty = F.log(F.col("size") + F.lit(float(model.vocabulary)))
+    sizes = model.sizes.select("lang", "place", penalty.alias("_penalty"))
+    found = sums.join(sizes, "lang").groupBy(order).agg(
+        F.collect_list(F.struct("lang", "place", "_s", "_penalty")).alias("_found")  # at most one entry per language
+    )
+    text_rows = lengths.join(found, order, "left")
+    places = F.array_sort(F.transform("_found", lambda f: f["place"]))
+    # Places before the first gap equal their index.
+    first_lacking = F.size(F.filter(F.coalesce(places, F.array().cast("array<int>")), lambda p, i: p == i))
+    others = sizes.select(F.col("place").alias("_place"), F.col("lang").alias("_other"), F.col("_penalty").alias("_other_penalty"))
+    judged = text_rows.withColumn("_place", first_lacking).join(others, "_place", "left")
+    costs = F.transform(
+        F.coalesce("_found", F.array().cast("array<struct<lang:string,place:int,_s:double,_penalty:double>>")),
+        lambda f: F.struct((F.col("_n") * f["_penalty"] - f["_s"]).alias("cost"), f["lang"].alias("lang")),
+    )
+    other = F.when(
+        F.col("_other").isNotNull(), F.struct((F.col("_n") * F.col("_other_penalty")).alias("cost"), F.col("_other").alias("lang"))
+    )
+    best = judged.select(
+        F.col(order).alias("_at"), F.array_min(F.concat(costs, F.array_compact(F.array(other))))["lang"].alias("lang")
     )
-    scores = [
-        F.struct(
-            (F.col(f"s{i}") - F.col("_n") * F.log(F.lit(float(size + model.vocabulary)))).alias("score"),
-            F.lit(-i).alias("place"),
-        )
-        for i, size in enumerate(model.sizes)
-    ]
-    names = F.array(*[F.lit(name) for name in model.languages])
-    best = sums.select(F.col(order).alias("_at"), F.get(names, -F.array_max(F.array(*scores))["place"]).alias("lang"))
     return (
         texts.select(order)
         .join(best, F.col(order) == F.col("_at"), "left")
@@ -93,5 +116,3 @@ def route_languages(
     first = distinct_texts(lines.select(order, strip(F.col(line)).alias(line)), line, order)
     first = materialize(first, "lines")
     return first.join(detect(first, model, line, order), order)
-
-
