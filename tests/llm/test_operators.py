@@ -281,6 +281,25 @@ def test_every_prefix_count_is_the_library_s(spark, odd):
         assert count(head) <= 50 and (head == (row.text or "") or count(row.text[: row.fit_chars + 1]) > 50)
 
 
+def test_added_tokens_count_as_in_the_library(spark):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(BPE)
+    count = lambda t: len(library.encode(t, add_special_tokens=False).ids)
+    counter = prefix_tokens.PrefixCounter(BPE)
+    rng, end = random.Random(3), "<|endoftext|>"
+    texts = [f"a{end}b", end, f"{end}{end}", f"it's  {end}  we'll\n\n {end}", f"<|endo{end}|endoftext|>", f"a  \n{end[:-1]}", f"x <{end}"]
+    texts += ["".join(rng.choice(["word", " next", "  ", "\n", "'s", "<|", "|>", "endoftext", "é", end]) for _ in range(25)) for _ in range(40)]
+    for text in texts:
+        assert counter.prefix_counts(text) == [count(text[:i]) for i in range(len(text) + 1)], text
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for limit in (0, 1, 2, 3, 7, 15):
+        for row in prefix_tokens.count_tokens(frame, BPE, limit=limit).collect():
+            text = texts[row.doc_id]
+            assert row.n_tokens == count(text) and row.over_limit == (count(text) > limit)
+            assert row.fit_chars == max(i for i in range(len(text) + 1) if count(text[:i]) <= limit), (text, limit)
+
+
 # 8 and 10 -----------------------------------------------------------------------------------------------------------
 
 

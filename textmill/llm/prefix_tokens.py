@@ -10,6 +10,9 @@ questions never encode again.
 Pre-tokens are cut for a whole slice of texts at once (numpy on code points), hashed, and the table of
 each distinct one is built once per task and kept in a cache of bounded size. Nothing is shuffled.
 
+Added tokens of the file ('<|endoftext|>') are one token each wherever they stand in a text, as in the library; what lies
+between them is cut as a text of its own, and a prefix that ends inside such a string holds ordinary text there.
+
 Null and empty texts have 0 tokens. Repeated rows give repeated rows. Columns of the input other than
 the id and the text are not read, so their names cannot clash.
 """
@@ -48,7 +51,14 @@ class PrefixCounter:
 
     def __init__(self, path: str) -> None:
         with open(path, encoding="utf-8") as file:
-            model = json.load(file)["model"]
+            content = json.load(file)
+        model = content["model"]
+        added = content.get("added_tokens") or []
+        if odd := [t["content"] for t in added if t.get("single_word") or t.get("lstrip") or t.get("rstrip")]:
+            raise ValueError(f"added tokens that look at their surroundings are not supported: {odd}")
+        # the first one in the text counts, of several at one place the longest
+        strings = sorted((t["content"] for t in added if t["content"]), key=len, reverse=True)
+        self.added = regex.compile("|".join(map(regex.escape, strings)) or r"(?!)")
         names = byte_names()
         as_bytes = lambda piece: bytes(names[c] for c in piece)
         self.vocabulary = {as_bytes(p) for p in model["vocab"] if all(c in names for c in p)}
@@ -113,8 +123,24 @@ class PrefixCounter:
     def pretokens(self, text: str) -> list[str]:
         return self.pattern.findall(text)
 
+    def added_spans(self, text: str) -> list[tuple[int, int]]:
+        """Start and end of every added token in ``text``."""
+        return [m.span() for m in self.added.finditer(text)]
+
     def prefix_counts(self, text: str) -> list[int]:
         """Tokens of every prefix of ``text``, by code points (``len(text) + 1`` numbers)."""
+        counts, at = [0], 0
+        for start, end in self.added_spans(text):
+            # a prefix that ends inside the added token is ordinary text since the last one
+            part = self.prefix_counts(text[at : end - 1])
+            base = counts[-1]
+            counts += [base + n for n in part[1:]]
+            counts.append(base + part[start - at] + 1)
+            at = end
+        return counts[:-1] + [counts[-1] + n for n in self.plain_counts(text[at:])]
+
+    def plain_counts(self, text: str) -> list[int]:
+        """As ``prefix_counts``, for a text without added tokens."""
         counts, total = [0], 0
         for piece in self.pretokens(text):
             table = self.table(piece.encode())
@@ -177,7 +203,17 @@ def count_batches(batches: Iterator[pa.RecordBatch], path: str, limit: int) -> I
     known: dict[str, int] = {}
     for batch in batches:
         for part in kit.slices(batch):
-            texts = ["" if t is None else t for t in part.column(1).to_pylist()]
+            whole = ["" if t is None else t for t in part.column(1).to_pylist()]
+            texts, shares, spans = [], [0], {}  # stretches between added tokens, each cut as a text of its own
+            for i, text in enumerate(whole):
+                at = 0
+                if counter.added.search(text):
+                    spans[i] = counter.added_spans(text)
+                    for a, b in spans[i]:
+                        texts.append(text[at:a])
+                        at = b
+                texts.append(text[at:] if at else text)
+                shares.append(len(texts))
             points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
             sizes = np.fromiter(map(len, texts), np.int64, len(texts))
             offsets = np.concatenate([[0], np.cumsum(sizes)])
@@ -197,13 +233,17 @@ def count_batches(batches: Iterator[pa.RecordBatch], path: str, limit: int) -> I
             known.update((w.decode("utf-8", "surrogatepass"), n) for w, n in zip(new, counter.totals(new)))
             totals = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
             running = np.concatenate([[0], np.cumsum(totals[which])])
+            offsets = offsets[shares]
             bounds = np.searchsorted(starts, offsets)
-            tokens = running[bounds[1:]] - running[bounds[:-1]]
+            tokens = running[bounds[1:]] - running[bounds[:-1]] + np.diff(shares) - 1
             fits = []
-            for i, text in enumerate(texts):
+            for i, text in enumerate(whole):
                 if tokens[i] <= limit:
                     fits.append(len(text))
                     continue
+                if i in spans:
+                    fits.append(longest_mixed(counter, text, limit))
+                    continue
                 a, b = bounds[i], bounds[i + 1]
                 at = int(np.searchsorted(running[a : b + 1], running[a] + limit, "right")) - 1  # whole pre-tokens that fit
                 fits.append(longest_fit(counter, text, int(starts[a + at] - offsets[i]), int(running[a + at] - running[a]), limit))
@@ -214,6 +254,28 @@ def count_batches(batches: Iterator[pa.RecordBatch], path: str, limit: int) -> I
             )
 
 
+def longest_mixed(counter: PrefixCounter, text: str, limit: int) -> int:
+    """Characters of the longest prefix within ``limit`` tokens, for a text that may hold added tokens."""
+    at = spent = 0
+    for start, end in counter.added_spans(text):
+        total = spent + 1
+        for piece in counter.pretokens(text[at:start]):
+            total += counter.table(piece.encode())[-1]
+            if total > limit:
+                break
+        if total > limit:  # ends before this one does; up to there it is ordinary text
+            return at + longest_mixed(counter, text[at : end - 1], limit - spent)
+        at, spent = end, total
+    base = at
+    for piece in counter.pretokens(text[at:]):
+        total = spent + counter.table(piece.encode())[-1]
+        if total > limit:
+            used = longest_fit(counter, text[at:], base - at, spent, limit)
+            return at + used
+        base, spent = base + len(piece), total
+    return len(text)
+
+
 def longest_fit(counter: PrefixCounter, text: str, base: int, spent: int, limit: int) -> int:
     """Characters of the longest prefix within ``limit`` tokens; ``base`` whole pre-tokens end there with ``spent``.
 
