@@ -131,6 +131,39 @@ def test_samples_follow_the_lattice():
     assert tuple(vocab.bytes[i].decode().replace(" ", "▁") for i in best) == max(weights, key=weights.get)
 
 
+def test_samples_follow_the_lattice_of_the_file():
+    import sentencepiece
+
+    vocab = pieces.Vocabulary(PIECES)
+    model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    score = {}
+    for i in range(model.get_piece_size()):
+        if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
+            score[model.id_to_piece(i)] = -np.log(-model.get_score(i) + pieces.RANK_SHIFT)
+
+    def cuts(word):
+        if not word:
+            yield ()
+        for n in range(1, len(word) + 1):
+            if word[:n] in score:
+                for rest in cuts(word[n:]):
+                    yield (word[:n], *rest)
+
+    text, alpha, n = "a     if", 0.2, 20_000
+    weights = {c: np.exp(alpha * sum(score[p] for p in c)) for c in cuts(text.replace(" ", "▁"))}
+    total = sum(weights.values())
+    ids, bounds = pieces.encode_slice(vocab, [text] * n, np.arange(n), alpha, 5, True)
+    seen: dict = {}
+    for a, b in zip(bounds[:-1], bounds[1:]):
+        cut = tuple(vocab.bytes[i].decode().replace(" ", "▁") for i in ids[a:b])
+        seen[cut] = seen.get(cut, 0) + 1
+    assert set(seen) <= set(weights) and any("▁▁▁▁▁" in c for c in seen)
+    assert sum(abs(w / total - seen.get(c, 0) / n) for c, w in weights.items()) < 0.06
+    best, _ = pieces.encode_slice(vocab, ["def f():\n" + " " * 16 + "return"], np.array([1]), 1.0, 5, False)
+    assert vocab.decode(best) == "def f():\n" + " " * 16 + "return" and vocab.ids["▁" * 16] in best.tolist()
+    assert len(pieces.encode_slice(vocab, [" " * 64], np.array([1]), 1.0, 5, False)[0]) == 4
+
+
 # 3 ----------------------------------------------------------------------------------------------------------------
 
 

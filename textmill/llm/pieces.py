@@ -8,9 +8,10 @@ the same segmentation on every run, in every partitioning. ``sample=False`` take
 The vocabulary files hold merge ranks, no probabilities: a piece of rank r weighs ``-log(r + RANK_SHIFT)``,
 times ``alpha`` (smaller is flatter). A space is written as U+2581. A character without piece, and a literal
 U+2581, is written as its UTF-8 bytes' pieces, so decoding always gives the text back; no dummy space is
-put before the text. Pieces hold the space sign at their start alone, so the lattice falls apart at
-spaces (and around characters that stand in no longer piece): units are filtered once per distinct unit
-of a slice of texts, all units of one length at a time, and sampled per occurrence.
+put before the text. Pieces hold space signs at their start alone (one before other characters, or a run of them with nothing
+after it), so the lattice falls apart before each run of spaces (and around characters that stand in no longer piece): units are
+filtered once per distinct unit of a slice of texts, all units of one length at a time, and sampled per occurrence. With a file
+that has a piece with a space sign after another character, texts are not cut at spaces.
 
 Nothing is shuffled. Null and empty texts have no pieces. A null key counts as key 0; rows that repeat in
 key and text get equal segmentations. Only the named columns are read.
@@ -58,10 +59,11 @@ class Vocabulary:
                 continue
             self.bytes.append(piece.replace("▁", " ").encode())
             usual = not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i))
-            if usual and "▁" not in piece[1:]:
+            if usual:
                 self.ids[piece] = i
                 self.weight[i] = -np.log(-model.get_score(i) + RANK_SHIFT)
         self.longest = max(map(len, self.ids))
+        self.cut_at_spaces = not any("▁" in p.lstrip("▁") for p in self.ids)
         points = [np.frombuffer(p.encode("utf-32-le"), np.uint32) for p in self.ids]
         cuts = np.concatenate([[0], np.cumsum([len(p) for p in points])])
         hashes = kit.span_hashes(VALUES[np.concatenate(points)], cuts[:-1], cuts[1:])
@@ -141,8 +143,10 @@ def encode_slice(vocab: Vocabulary, texts: list[str], keys: np.ndarray, alpha: f
     blank = points == 32
     shown = np.where(points == SPACE, LITERAL, np.where(blank, SPACE, points))
     alone = vocab.alone[shown]
-    start = blank | alone
+    start = alone.copy()
     start[1:] |= alone[:-1]
+    if vocab.cut_at_spaces:  # at the first space of a run
+        start[1:] |= blank[1:] & ~blank[:-1]
     start[offsets[:-1][offsets[:-1] < len(points)]] = True
     starts = np.flatnonzero(start)
     ends = np.append(starts[1:], len(points))
