@@ -370,6 +370,22 @@ def test_classifiers_on_odd_rows(spark, odd):
     assert toxicity.score(odd.limit(0), model).count() == 0
 
 
+def test_thresholds_use_all_labelled_rows(spark, monkeypatch):
+    seen = []
+    calibrate = toxicity.calibrate
+    monkeypatch.setattr(toxicity, "calibrate", lambda model, counts: seen.append(counts) or calibrate(model, counts))
+    monkeypatch.setattr(toxicity, "TRAIN_ROWS", 60)
+    monkeypatch.setattr(toxicity, "ROW_WORDS", 50)
+    rows = [(i, f"plain word{i % 7} text {'vile' if i % 4 == 0 else 'kind'} end", "xx" if i % 50 < 2 else "en") for i in range(400)]
+    first = min(range(400), key=lambda i: spark.range(i, i + 1).select(F.xxhash64("id")).first()[0] if i < 20 else 1 << 63)
+    rows[first] = (first, "long " * 200, "en")
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(400)], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels, F.lit(True))
+    assert seen[0]["count"].sum() == 400 and seen[0].where(seen[0]["lang"] == "xx")["count"].sum() == 16
+    assert set(model["cuts"]) == {"en", "xx"} and model["net"] is not None
+
+
 # 9 ----------------------------------------------------------------------------------------------------------------
 
 

@@ -7,9 +7,10 @@ with Adam, on labelled rows of the training folds: at most ``TRAIN_ROWS`` of the
 the id, so the cut depends on no row order. It runs in one task on word numbers alone; the trained
 weights (a few megabytes, fixed by the parameters) are sent to all tasks.
 
-Scores are calibrated on a part of the sample that training leaves out: one threshold for each language
-(the smallest total error, shrunk to the global one by ``PRIOR`` rows), used by ``flag``. A score itself
-depends on the text alone.
+Scores are calibrated on every labelled row of the training folds, at every size: rows outside the sample are scored by the
+network in all tasks, sampled ones by networks fitted on the other parts of the sample (``PARTS``). Counts by language,
+label and score (``BINS`` steps) give the common cut and one threshold for each language (the smallest total error, shrunk
+to the common one by ``PRIOR`` rows), used by ``flag``. A score itself depends on the text alone.
 
 Null and empty texts are scored like a text without words. A training fold without both labels gives the
 constant score of its base rate. Repeated rows give repeated rows; of a repeated label row the larger
@@ -35,6 +36,9 @@ FILTERS = 8  # for each width
 WIDTHS = (1, 2, 3)
 TRAIN_ROWS = 12_000  # labelled rows a model is fitted on, at most
 TRAIN_WORDS = 6_000_000  # words of those rows, at most; longer samples end before this row
+ROW_WORDS = TRAIN_WORDS // 100  # a longer row is left out of the fit, alone
+PARTS = 3  # of the sample, each scored by a network fitted on the others
+BINS, STEP = 1024, 1 / 32  # log-odds of a score in steps from -16 to 16
 EPOCHS = 8
 CUT = 0.3
 PRIOR = 50
@@ -100,9 +104,11 @@ class Network:
                     at[row, cols] = np.where(top[j] > 0, spots, -1)
         return best, at
 
+    def odds(self, numbers, bounds, through) -> np.ndarray:
+        return self.pooled(numbers, bounds, through)[0].astype(np.float64) @ self.out + self.bias + self.shift
+
     def scores(self, numbers, bounds, through) -> np.ndarray:
-        z = self.pooled(numbers, bounds, through)[0].astype(np.float64) @ self.out + self.bias + self.shift
-        return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
+        return 1 / (1 + np.exp(-np.clip(self.odds(numbers, bounds, through), -40, 40)))
 
 
 def start_from_counts(net: Network, numbers: np.ndarray, bounds: np.ndarray, labels: np.ndarray) -> None:
@@ -173,47 +179,56 @@ def train(numbers: np.ndarray, bounds: np.ndarray, labels: np.ndarray, seed: int
     return net
 
 
-def best_cut(scores: np.ndarray, labels: np.ndarray) -> float:
-    """The threshold with the fewest errors; between equals the middle one."""
-    order = np.argsort(-scores)
-    s, y = scores[order], labels[order]
-    errors = np.concatenate([[y.sum()], y.sum() - np.cumsum(y) + np.cumsum(1 - y)])
-    errors[1:-1][s[1:] == s[:-1]] = len(y) + 1
-    places = np.flatnonzero(errors == errors.min())
-    place = places[len(places) // 2]
-    above = s[place - 1] if place else 1.0
-    below = s[place] if place < len(s) else 0.0
-    return float((above + below) / 2)
+def bins(odds: np.ndarray) -> np.ndarray:
+    return np.clip(np.floor(odds / STEP) + BINS // 2, 0, BINS - 1).astype(np.int32)
+
+
+def best_cut(counts: np.ndarray) -> float:
+    """The log-odds cut with the fewest errors, from counts by label and bin (2 x BINS); between equals the middle one."""
+    below = np.concatenate([[0], np.cumsum(counts[1])])
+    above = counts[0].sum() - np.concatenate([[0], np.cumsum(counts[0])])
+    places = np.flatnonzero(below + above == (below + above).min())
+    return (places[len(places) // 2] - BINS // 2) * STEP
 
 
 def fit_model(sample: pd.DataFrame) -> dict:
-    """Network and thresholds from rows (word numbers as bytes, label, lang, place); 'place' orders them."""
+    """Network from rows (word numbers as bytes, label, lang, place), 'place' orders them; counts (lang, label, bin) of the same rows."""
     sample = sample.sort_values(["place", "label"], kind="stable").reset_index(drop=True)
-    sizes = sample["numbers"].map(len).to_numpy() // 12
-    sample = sample[np.cumsum(sizes) - sizes <= TRAIN_WORDS]
     labels = sample["label"].to_numpy(np.int64)
     if len(labels) == 0 or labels.min() == labels.max():
-        return {"net": None, "rate": float(labels.mean()) if len(labels) else 0.0, "cuts": {}, "cut": CUT}
+        return {"net": None, "rate": float(labels.mean()) if len(labels) else 0.0, "cuts": {}, "cut": CUT, "counts": []}
     parts = [np.frombuffer(x, np.int32).reshape(-1, 3) for x in sample["numbers"]]
-    held = np.arange(len(labels)) % 5 == 4 if len(labels) >= 1000 else np.zeros(len(labels), bool)
 
     def packed(rows):
         own = [parts[i] for i in rows]
         return np.concatenate([np.zeros((0, 3), np.int32), *own]), np.concatenate([[0], np.cumsum([len(x) for x in own])])
 
-    fitted, rest = np.flatnonzero(~held), np.flatnonzero(held)
-    net = train(*packed(fitted), labels[fitted])
-    judged = rest if len(rest) and labels[rest].min() != labels[rest].max() else fitted
-    scores = net.scores(*packed(judged), net.projected())
-    middle = min(max(best_cut(scores, labels[judged]), 0.02), 0.98)
-    net.shift = np.float32(np.log(CUT / (1 - CUT)) - np.log(middle / (1 - middle)))  # the best common cut becomes CUT
-    scores = net.scores(*packed(judged), net.projected())
-    langs, cuts = sample["lang"].to_numpy()[judged], {}
-    for lang in {x for x in langs if x is not None}:
-        own = langs == lang
-        cut = best_cut(scores[own], labels[judged][own]) if 0 < labels[judged][own].sum() < own.sum() else CUT
-        cuts[lang] = (own.sum() * cut + PRIOR * CUT) / (own.sum() + PRIOR)
-    return {"net": net, "rate": float(labels.mean()), "cuts": cuts, "cut": CUT}
+    part, counts = np.unique(sample["place"], return_inverse=True)[1] % PARTS, []  # rows of one id stay together
+    for k in range(PARTS):
+        rest, own = np.flatnonzero(part != k), np.flatnonzero(part == k)
+        if len(own) and len(rest) and labels[rest].min() != labels[rest].max():
+            net = train(*packed(rest), labels[rest])
+            counts += zip(sample["lang"].to_numpy()[own], labels[own].tolist(), bins(net.odds(*packed(own), net.projected())).tolist())
+    return {"net": train(*packed(np.arange(len(labels))), labels), "rate": float(labels.mean()), "cuts": {}, "cut": CUT, "counts": counts}
+
+
+def calibrate(model: dict, counts: pd.DataFrame) -> dict:
+    """The model with its common shift and the thresholds by language, from counts (lang, label, bin, count) of all labelled rows."""
+    held: dict[str | None, np.ndarray] = {}
+    every = np.zeros((2, BINS))
+    for lang, label, place, n in zip(counts["lang"], counts["label"], counts["bin"], counts["count"]):
+        every[label, place] += n
+        held.setdefault(lang, np.zeros((2, BINS)))[label, place] += n
+    both = lambda c: c.sum(1).min() > 0
+    chance = lambda z: 1 / (1 + np.exp(-z))
+    middle = min(max(chance(best_cut(every)), 0.02), 0.98) if both(every) else CUT
+    shift = np.log(CUT / (1 - CUT)) - np.log(middle / (1 - middle))  # the best common cut becomes CUT
+    model["net"].shift = np.float32(shift)
+    for lang, own in held.items():
+        if lang is not None:
+            cut = chance(best_cut(own) + shift) if both(own) else CUT
+            model["cuts"][lang] = float((own.sum() * cut + PRIOR * CUT) / (own.sum() + PRIOR))
+    return model
 
 
 def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,10 +241,17 @@ def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fit(docs: DataFrame, labels: DataFrame, allowed: Column) -> dict:
     """Train on rows of ``docs`` with a label where ``allowed`` (an expression on doc_id) holds."""
+    spark = docs.sparkSession
     known = labels.where(F.col("toxic").isin(0, 1) & allowed).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label"))
     place = F.xxhash64("doc_id")
     sample = known.withColumn("place", place).orderBy("place", "doc_id").limit(TRAIN_ROWS)  # narrow rows, few enough to broadcast
-    rows = docs.select("doc_id", "text", "lang").join(F.broadcast(sample), "doc_id").select("text", "label", "lang", "place")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+    sizes = texts.join(F.broadcast(sample), "doc_id").select("text", "label", "lang", "place", "doc_id").mapInArrow(sized, "doc_id long, label int, place long, size long")
+    sizes = sizes.groupBy("doc_id", "label", "place").agg(F.sum("size").alias("size"), F.max("size").alias("longest")).toPandas()
+    sizes = sizes[sizes["longest"] <= ROW_WORDS].sort_values(["place", "doc_id"])
+    sizes = sizes[sizes["size"].cumsum() <= TRAIN_WORDS]
+    used = spark.createDataFrame([tuple(map(int, x)) for x in sizes[["doc_id", "label", "place"]].to_numpy()], "doc_id long, label int, place long")
+    rows = texts.join(F.broadcast(used), "doc_id").select("text", "label", "lang", "place")
     numbers = rows.mapInArrow(numbered, "numbers binary, label int, lang string, place long")
 
     def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -237,8 +259,38 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column) -> dict:
         empty = pd.DataFrame({"numbers": [], "label": [], "lang": [], "place": []})
         yield pd.DataFrame({"model": [pickle.dumps(fit_model(pd.concat(parts) if parts else empty))]})
 
-    # one task: the sample is bounded by TRAIN_ROWS and TRAIN_WORDS
-    return pickle.loads(numbers.repartition(1).mapInPandas(task, "model binary").first()["model"])
+    # one task: the sample is bounded by TRAIN_ROWS and TRAIN_WORDS before it gets there
+    model = pickle.loads(numbers.repartition(1).mapInPandas(task, "model binary").first()["model"])
+    own = pd.DataFrame(model.pop("counts"), columns=["lang", "label", "bin"]).assign(count=1)
+    if not model["net"]:
+        return model
+    # the texts stay in their tasks; only ids and bins meet the labels
+    placed = binned(texts.where(allowed), model).join(known.join(F.broadcast(used), "doc_id", "left_anti"), "doc_id")
+    rest = placed.groupBy("lang", "label", "bin").count().toPandas()  # at most 2 * BINS rows a language
+    return calibrate(model, pd.concat([own, rest]) if len(own) and len(rest) else rest if len(rest) else own)
+
+
+def sized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in kit.slices(batch):
+            data, offsets = kit.raw(part.column(0))
+            sizes = np.diff(np.searchsorted(kit.word_spans(data, offsets)[0], offsets))
+            yield pa.RecordBatch.from_arrays([part.column(4), part.column(1), part.column(3), pa.array(sizes)], names=["doc_id", "label", "place", "size"])
+
+
+def binned(docs: DataFrame, model: dict) -> DataFrame:
+    """doc_id, lang and score bin of every row with doc_id, text and lang."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def rows(batches):
+        net = sent.value["net"]
+        through = net.projected()
+        for batch in batches:
+            for part in kit.slices(batch):
+                found = bins(net.odds(*word_numbers(*kit.raw(part.column(1))), through))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(found)], names=["doc_id", "lang", "bin"])
+
+    return docs.mapInArrow(rows, "doc_id long, lang string, bin int")
 
 
 def score(docs: DataFrame, model: dict) -> DataFrame:
