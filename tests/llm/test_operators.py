@@ -214,6 +214,19 @@ def test_main_text_of_pages(page):
     assert html_density.main_text(page) == WANT
 
 
+def test_marked_parts_of_an_article():
+    long = "Some words of this part of the article, as many as a paragraph has, so that it is dense enough."
+    page = (
+        f"<body><nav id=menu><a>One</a></nav><article><h1 id='skip'>Title</h1><h2 id='search'>Search</h2><p>{long}</p>"
+        f"<section id='social-history'><h2 class='section-header'>Social history</h2><p>{long}</p><p>{long}</p></section>"
+        f"<h2><span id='Related_work'>Related work</span></h2><p class='legal'>Short.</p><div class='notice'><p>{long}</p><p>{long}</p></div>"
+        "<div class='related links'><a>Read this</a> <a>And this</a></div><div class='ad'>Buy now, buy here, buy a lot.</div>"
+        "<div id='comments'><p>I do not agree with it.</p></div><section id='comments'><p>Nor do I.</p></section></article></body>"
+    )
+    want = ["Title", "Search", long, "Social history", long, long, "Related work", "Short.", long, long]
+    assert html_density.main_text(page).split("\n\n") == want
+
+
 def test_pages_that_are_odd(spark):
     pages = [(1, "u", None), (2, None, ""), (3, "u", "<p>cut <b>off"), (4, "u", "plain"), (5, "u", "<div>" * 3000 + "deep"), (5, "u", "<!-- open"), (6, "u", "</p></div>a < b &lt; c")]
     got = {(r.page_id, r.text) for r in html_density.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}

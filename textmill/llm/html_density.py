@@ -7,7 +7,9 @@ sum is the main subtree; the smallest density on its path up to the body is the
 nodes count as content too, each by the subtree with the largest sum below it.
 
 Menus, site headers, footers, asides, forms, hidden parts, adverts, notices and reader comments are left out before anything is counted, by
-tag, role or class. Inside a chosen subtree every block is kept, however short. Character references are decoded, white
+tag, role or class. Inside an article only clear marks (adverts, comments, hidden parts) do so at once; other marked containers are judged by
+their share of links and their density, and ids of headings, spans and sections (slugs of titles) and marks of single paragraphs mean
+nothing. Other blocks inside a chosen subtree are all kept, however short. Character references are decoded, white
 space inside a block becomes one space, blocks are joined by an empty line.
 
 Each row is handled alone (no shuffle), in time linear in its length. Null and empty pages and pages without
@@ -52,6 +54,26 @@ MARKS = frozenset(
 )
 KEPT_NAMES = frozenset(["html", "body", "main", "article", "h1"])
 COMMENT_MARKS = frozenset(["comment", "comments", "reply", "respond", "hidden", "ad", "advert", "sponsored", "related", "promo"])
+#: Marks that no article text has, inside an article too.
+CLEAR_MARKS = COMMENT_MARKS | frozenset("commentlist disqus replies ads advertisement advertising adsense".split()) - {"related", "promo"}
+CONTAINERS = frozenset("div ul ol dl table section figure center".split())
+UNMARKED_IDS = frozenset("h1 h2 h3 h4 h5 h6 span section p a b i em strong li dt dd td th blockquote pre code".split())
+
+
+def words_in(value: str) -> list[str]:
+    return re.split(r"[^a-z0-9]+", value)
+
+
+def is_doubtful(name: str, attributes: str) -> bool:
+    """Whether a container inside an article carries a mark that link share and density have to confirm."""
+    if name not in CONTAINERS:
+        return False
+    for key, value in ATTRIBUTE.findall(attributes):
+        key = key.lower()
+        if key == "class" or (key == "id" and name not in UNMARKED_IDS):
+            if not MARKS.isdisjoint(words_in(value.strip("\"'").lower())):
+                return True
+    return False
 
 
 def is_left_out(name: str, attributes: str, in_article: bool) -> bool:
@@ -61,8 +83,8 @@ def is_left_out(name: str, attributes: str, in_article: bool) -> bool:
     if not attributes:
         return False
     marks = COMMENT_MARKS if name in KEPT_NAMES else MARKS
-    if in_article and name == "header":
-        marks = COMMENT_MARKS
+    if in_article and name not in KEPT_NAMES:
+        marks = COMMENT_MARKS if name == "header" else CLEAR_MARKS
     for key, value in ATTRIBUTE.findall(attributes):
         key, value = key.lower(), value.strip("\"'").lower()
         if key == "hidden" or (key == "aria-hidden" and value == "true"):
@@ -73,7 +95,10 @@ def is_left_out(name: str, attributes: str, in_article: bool) -> bool:
         elif key == "role":
             if value in ROLES:
                 return True
-        elif name not in ("html", "body") and not marks.isdisjoint(re.split(r"[^a-z0-9]+", value)):
+        elif key == "id" and in_article and name in UNMARKED_IDS:
+            if name == "section" and value in ("comments", "respond", "disqus_thread"):  # the usual ids of comment parts, whole
+                return True
+        elif name not in ("html", "body") and not marks.isdisjoint(words_in(value)):
             return True
     return False
 
@@ -82,7 +107,7 @@ class Page:
     """Tree of a page as parallel lists (node 0 is the root), and its text runs in page order."""
 
     def __init__(self, html: str) -> None:
-        self.parent, self.name, self.out, self.link = [-1], ["#"], [False], [False]
+        self.parent, self.name, self.out, self.link, self.doubtful = [-1], ["#"], [False], [False], [False]
         self.runs: list[tuple[int, str]] = []  # node and text; node -1: a block ends or begins
         self.stack, self.open, self.articles = [0], Counter(), 0
         self.body = 0
@@ -133,6 +158,7 @@ class Page:
         self.name.append(name)
         self.out.append(self.out[top] or is_left_out(name, attributes, self.articles > 0))
         self.link.append(self.link[top] or name == "a")
+        self.doubtful.append(self.articles > 0 and bool(attributes) and is_doubtful(name, attributes))
         if name == "body" and not self.body:
             self.body = node
         if name in VOID or attributes.endswith("/") and name not in BLOCKS:
@@ -229,8 +255,14 @@ class Page:
         for node in range(self.body + 1, count):
             if density[node] >= threshold > 0 and not self.out[node]:
                 picked[best[node]] = True
+        dropped, path = [False] * count, {main}
+        for node in range(main, 0, -1):
+            if node in path:
+                path.add(self.parent[node])
         for node in range(1, count):
-            picked[node] = picked[node] or (picked[self.parent[node]] and self.parent[node] >= 0)
+            judged = self.doubtful[node] and node not in path and (2 * linked[node] > chars[node] or density[node] < threshold)
+            dropped[node] = judged or dropped[self.parent[node]]
+            picked[node] = (picked[node] or (picked[self.parent[node]] and self.parent[node] >= 0)) and not dropped[node]
         return picked
 
     def text(self) -> str:
