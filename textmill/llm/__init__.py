@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("prefix_tokens", "toxicity", "quality_gam", "pieces", "html_density", "secrets", "unit_dedup", "decontaminate", "vafile", "ngram_join", "log_bilinear", "source_audit")
+MODULES = ("prefix_tokens", "toxicity", "quality_gam", "pieces", "html_density", "secrets", "unit_dedup", "decontaminate", "vafile", "ngram_join", "log_bilinear", "dialogue_repair", "source_audit")
 
 
 def collected(name: str) -> dict:
