@@ -55,6 +55,17 @@ def keep_only(spark: SparkSession, folder: str, names: tuple[str, ...]) -> None:
             files.delete(status.getPath(), True)
 
 
+def free_names(df: DataFrame, *names: str) -> tuple[str, ...]:
+    """The names, each with as many underscores behind it as it takes to clash with no column of ``df``."""
+    taken, found = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return tuple(found)
+
+
 def fold(id_column: Column, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``."""
     return F.crc32(id_column.cast("string")) % parts

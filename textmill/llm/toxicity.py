@@ -4,7 +4,7 @@ A word is the sum of three hashed embeddings: the whole word and its first four
 lower-cased, edge punctuation off). Filters of several widths slide over the words of the whole text, each
 filter keeps its maximum, and a logistic layer turns the maxima into a probability. Training is plain numpy
 with Adam, on labelled rows of the training folds: at most ``TRAIN_ROWS`` of them, chosen by a hash of
-the id, so the cut depends on no row order. It runs in one task on word numbers alone; the trained
+the id, so the cut depends on no row order. It runs on word numbers alone, each network in a task of its own; the trained
 weights (a few megabytes, fixed by the parameters) are sent to all tasks.
 
 Scores are calibrated on every labelled row of the training folds, at every size: rows outside the sample are scored by the
@@ -14,7 +14,7 @@ to the common one by ``PRIOR`` rows), used by ``flag``. A score itself depends o
 
 Null and empty texts are scored like a text without words. A training fold without both labels gives the
 constant score of its base rate. Repeated rows give repeated rows; of a repeated label row the larger
-label counts. Only named columns are read, so further columns cannot clash.
+label counts. An empty table gives an empty result. Very long texts are scored whole. Only named columns are read; ``accepted`` adds its own under free names.
 """
 
 from __future__ import annotations
@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from textmill.llm import kit
 
 BUCKETS = 1 << 16  # rows of the hashed embedding table
+NUMBER = np.uint16  # holds a row of the table
 DIM = 8
 FILTERS = 8  # for each width
 WIDTHS = (1, 2, 3)
@@ -39,7 +40,7 @@ TRAIN_WORDS = 6_000_000  # words of those rows, at most; longer samples end befo
 ROW_WORDS = TRAIN_WORDS // 100  # a longer row is left out of the fit, alone
 PARTS = 3  # of the sample, each scored by a network fitted on the others
 BINS, STEP = 1024, 1 / 32  # log-odds of a score in steps from -16 to 16
-EPOCHS = 8
+BATCH, EPOCHS, MORE = 64, 8, 100  # a network takes EPOCHS / BATCH steps a row and MORE steps
 CUT = 0.3
 PRIOR = 50
 EDGE = np.zeros(256, bool)
@@ -55,7 +56,7 @@ def word_numbers(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
         ends = ends - (EDGE[data[ends - 1]] & (ends - starts > 1)) if len(ends) else ends
     symbols = kit.LOWER_VALUES[data]
     found = [kit.span_hashes(symbols, starts, stop) + np.uint64(i) for i, stop in enumerate((ends, np.minimum(ends, starts + 4), np.minimum(ends, starts + 5)))]
-    return np.stack([(kit.mix(h) % np.uint64(BUCKETS)).astype(np.int32) for h in found], 1), bounds
+    return np.stack([(kit.mix(h) % np.uint64(BUCKETS)).astype(NUMBER) for h in found], 1), bounds
 
 
 class Network:
@@ -68,47 +69,43 @@ class Network:
         self.bias = np.float32(0)
         self.shift = np.float32(0)
 
-    def projected(self) -> list[list[np.ndarray]]:
-        """For each width and place, the embedding table seen through that slice of the filters."""
-        return [[self.table @ bank[k] for k in range(w)] for w, bank in zip(WIDTHS, self.banks)]
+    def vectors(self, numbers: np.ndarray) -> np.ndarray:
+        return self.table[numbers[:, 0]] + self.table[numbers[:, 1]] + self.table[numbers[:, 2]]
 
-    def pooled(self, numbers: np.ndarray, bounds: np.ndarray, through: list[list[np.ndarray]], where: bool = False):
-        """Largest answer of each filter in each text (and where it is); texts too short for a width get 0."""
+    def pooled(self, vectors: np.ndarray, bounds: np.ndarray, where: bool = False):
+        """Largest answer of each filter in each text (and the first place of it); texts too short for a width get 0."""
         rows = len(bounds) - 1
         best = np.zeros((rows, len(WIDTHS) * FILTERS), np.float32)
         at = np.full((rows, len(WIDTHS) * FILTERS), -1, np.int64) if where else None
         sizes = np.diff(bounds)
-        for i, (w, places) in enumerate(zip(WIDTHS, through)):
-            if len(numbers) < w:
-                continue
-            n = len(numbers) - w + 1
-            answer = np.zeros((n, FILTERS), np.float32)
-            for k, place in enumerate(places):
-                for column in range(3):
-                    answer += place[numbers[k : k + n, column]]
+        for i, (w, bank) in enumerate(zip(WIDTHS, self.banks)):
             own = np.flatnonzero(sizes >= w)
             if not len(own):
                 continue
-            crossing = np.ones(n, bool)  # windows inside one text
+            n = len(vectors) - w + 1
+            answer = vectors[:n] @ bank[0]
             for k in range(1, w):
+                answer += vectors[k : k + n] @ bank[k]
+            for k in range(1, w):  # windows that leave their text
                 edges = bounds[1:-1] - k
-                crossing[edges[(edges >= 0) & (edges < n)]] = False
-            answer[~crossing] = -np.inf
+                answer[edges[(edges >= 0) & (edges < n)]] = -np.inf
             cols = slice(i * FILTERS, (i + 1) * FILTERS)
-            top = np.maximum.reduceat(answer, bounds[own], axis=0)
+            heads = bounds[own]
+            top = np.maximum.reduceat(answer, heads, axis=0)
             best[own, cols] = np.maximum(top, 0)
             if where:
-                for j, row in enumerate(own):
-                    first = bounds[row]
-                    spots = first + answer[first : bounds[row + 1] - w + 1].argmax(0)
-                    at[row, cols] = np.where(top[j] > 0, spots, -1)
+                peaks = answer[heads[0] :] == np.repeat(top, np.diff(np.append(heads, n)), axis=0)
+                spots, filters = np.nonzero(peaks)
+                spots += heads[0]
+                place, first = np.unique((np.searchsorted(heads, spots, "right") - 1) * FILTERS + filters, return_index=True)
+                at[own, cols] = np.where(top > 0, spots[first].reshape(len(own), FILTERS), -1)
         return best, at
 
-    def odds(self, numbers, bounds, through) -> np.ndarray:
-        return self.pooled(numbers, bounds, through)[0].astype(np.float64) @ self.out + self.bias + self.shift
+    def odds(self, numbers: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        return self.pooled(self.vectors(numbers), bounds)[0].astype(np.float64) @ self.out + self.bias + self.shift
 
-    def scores(self, numbers, bounds, through) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.odds(numbers, bounds, through), -40, 40)))
+    def scores(self, numbers: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.odds(numbers, bounds), -40, 40)))
 
 
 def start_from_counts(net: Network, numbers: np.ndarray, bounds: np.ndarray, labels: np.ndarray) -> None:
@@ -135,9 +132,8 @@ def train(numbers: np.ndarray, bounds: np.ndarray, labels: np.ndarray, seed: int
     net = Network(rng)
     start_from_counts(net, numbers, bounds, labels)
     state: dict[str, tuple[np.ndarray, np.ndarray]] = {}
-    step = 0
 
-    def adam(name: str, value: np.ndarray, grad: np.ndarray, rate: float) -> np.ndarray:
+    def adam(name: str, value: np.ndarray, grad: np.ndarray, rate: float, step: int) -> np.ndarray:
         m, v = state.get(name, (np.zeros_like(grad), np.zeros_like(grad)))
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         state[name] = m, v
@@ -145,35 +141,38 @@ def train(numbers: np.ndarray, bounds: np.ndarray, labels: np.ndarray, seed: int
 
     squares = np.full(BUCKETS, 1e-8, np.float32)
     weight = np.where(labels == 1, min(8.0, (labels == 0).sum() / max(1, labels.sum())), 1.0)
-    for _ in range(EPOCHS if len(labels) > 1000 else 3 * EPOCHS):
-        order = rng.permutation(len(labels))
-        for begin in range(0, len(order), 64):
-            rows = order[begin : begin + 64]
-            step += 1
-            words = np.concatenate([numbers[bounds[r] : bounds[r + 1]] for r in rows])
-            cuts = np.concatenate([[0], np.cumsum(bounds[rows + 1] - bounds[rows])])
-            used, back = np.unique(words, return_inverse=True)
-            local = [[net.table[used] @ bank[k] for k in range(w)] for w, bank in zip(WIDTHS, net.banks)]
-            back = back.reshape(words.shape)
-            best, at = net.pooled(back, cuts, local, where=True)
-            keep = (rng.random(best.shape) > 0.2) / 0.8  # dropout
-            z = (best * keep) @ net.out + net.bias
-            slope = ((1 / (1 + np.exp(-z))) - labels[rows]) * weight[rows] / weight[rows].sum()
-            to_best = slope[:, None] * net.out[None, :] * keep
-            grad_table = np.zeros((len(used), DIM), np.float32)
-            for i, (w, bank) in enumerate(zip(WIDTHS, net.banks)):
-                cols = slice(i * FILTERS, (i + 1) * FILTERS)
-                row, filt = np.nonzero(at[:, cols] >= 0)
-                spot, g = at[:, cols][row, filt], to_best[:, cols][row, filt]
-                grad_bank = np.zeros_like(bank)
-                for k in range(w):
-                    for column in range(3):
-                        word = back[spot + k, column]
-                        np.add.at(grad_bank[k].T, filt, g[:, None] * net.table[used[word]])
-                        np.add.at(grad_table, word, g[:, None] * bank[k][:, filt].T)
-                net.banks[i] = adam(f"bank{i}", bank, grad_bank + 1e-4 * bank, 0.01)
-            net.out = adam("out", net.out, slope @ (best * keep) + 1e-4 * net.out, 0.02)
-            net.bias = np.float32(net.bias - 0.05 * slope.sum())
+    order = np.zeros(0, np.int64)
+    for step in range(1, EPOCHS * len(labels) // BATCH + MORE + 1):
+        while len(order) < min(BATCH, len(labels)):
+            order = np.concatenate([order, rng.permutation(len(labels))])
+        rows, order = order[:BATCH], order[BATCH:]
+        words = np.concatenate([numbers[bounds[r] : bounds[r + 1]] for r in rows])
+        cuts = np.concatenate([[0], np.cumsum(bounds[rows + 1] - bounds[rows])])
+        vectors = net.vectors(words)
+        best, at = net.pooled(vectors, cuts, where=True)
+        keep = (rng.random(best.shape) > 0.2) / 0.8  # dropout
+        z = (best * keep) @ net.out + net.bias
+        slope = ((1 / (1 + np.exp(-z))) - labels[rows]) * weight[rows] / weight[rows].sum()
+        to_best = (slope[:, None] * net.out[None, :] * keep).astype(np.float32)
+        places, slopes = [np.zeros(0, np.int64)], [np.zeros((0, DIM), np.float32)]  # words that reached a maximum
+        for i, (w, bank) in enumerate(zip(WIDTHS, net.banks)):
+            cols = slice(i * FILTERS, (i + 1) * FILTERS)
+            row, filt = np.nonzero(at[:, cols] >= 0)
+            spot, g = at[:, cols][row, filt], to_best[:, cols][row, filt]
+            by_filter = np.zeros((FILTERS, len(spot)), np.float32)
+            by_filter[filt, np.arange(len(spot))] = g
+            grad_bank = np.stack([(by_filter @ vectors[spot + k]).T for k in range(w)])
+            for k in range(w):
+                places.append(spot + k)
+                slopes.append(g[:, None] * bank[k][:, filt].T)
+            net.banks[i] = adam(f"bank{i}", bank, grad_bank + 1e-4 * bank, 0.01, step)
+        net.out = adam("out", net.out, slope @ (best * keep) + 1e-4 * net.out, 0.02, step)
+        net.bias = np.float32(net.bias - 0.05 * slope.sum())
+        buckets = words[np.concatenate(places)].astype(np.int64).ravel()  # three for each place
+        if len(buckets):
+            line = np.argsort(buckets, kind="stable")
+            used, starts = np.unique(buckets[line], return_index=True)
+            grad_table = np.add.reduceat(np.repeat(np.concatenate(slopes), 3, axis=0)[line], starts, axis=0)
             squares[used] += (grad_table**2).mean(1)
             net.table[used] -= 0.05 * grad_table / np.sqrt(squares[used])[:, None]
     return net
@@ -191,25 +190,32 @@ def best_cut(counts: np.ndarray) -> float:
     return (places[len(places) // 2] - BINS // 2) * STEP
 
 
-def fit_model(sample: pd.DataFrame) -> dict:
-    """Network from rows (word numbers as bytes, label, lang, place), 'place' orders them; counts (lang, label, bin) of the same rows."""
+FITTED = "which int, net binary, rate double, lang array<string>, label array<int>, bin array<int>"
+
+
+def fit_network(which: int, sample: pd.DataFrame) -> pd.DataFrame:
+    """One network from rows (word numbers as bytes, label, lang, place); 'place' orders them.
+
+    Number PARTS is fitted on all rows, the others leave out the rows of their part and give back their language, label and score bin.
+    """
     sample = sample.sort_values(["place", "label"], kind="stable").reset_index(drop=True)
     labels = sample["label"].to_numpy(np.int64)
-    if len(labels) == 0 or labels.min() == labels.max():
-        return {"net": None, "rate": float(labels.mean()) if len(labels) else 0.0, "cuts": {}, "cut": CUT, "counts": []}
-    parts = [np.frombuffer(x, np.int32).reshape(-1, 3) for x in sample["numbers"]]
+    parts = [np.frombuffer(x, NUMBER).reshape(-1, 3) for x in sample["numbers"]]
 
     def packed(rows):
         own = [parts[i] for i in rows]
-        return np.concatenate([np.zeros((0, 3), np.int32), *own]), np.concatenate([[0], np.cumsum([len(x) for x in own])])
+        return np.concatenate([np.zeros((0, 3), NUMBER), *own]), np.concatenate([[0], np.cumsum([len(x) for x in own])])
 
-    part, counts = np.unique(sample["place"], return_inverse=True)[1] % PARTS, []  # rows of one id stay together
-    for k in range(PARTS):
-        rest, own = np.flatnonzero(part != k), np.flatnonzero(part == k)
-        if len(own) and len(rest) and labels[rest].min() != labels[rest].max():
-            net = train(*packed(rest), labels[rest])
-            counts += zip(sample["lang"].to_numpy()[own], labels[own].tolist(), bins(net.odds(*packed(own), net.projected())).tolist())
-    return {"net": train(*packed(np.arange(len(labels))), labels), "rate": float(labels.mean()), "cuts": {}, "cut": CUT, "counts": counts}
+    part = np.unique(sample["place"], return_inverse=True)[1] % PARTS  # rows of one id stay together
+    rest, own = np.flatnonzero(part != which), np.flatnonzero(part == which)
+    found = {"which": which, "net": None, "rate": float(labels.mean()), "lang": [], "label": [], "bin": []}
+    if len(rest) and labels[rest].min() != labels[rest].max() and (which == PARTS or len(own)):
+        net = train(*packed(rest), labels[rest])
+        if which == PARTS:
+            found["net"] = pickle.dumps(net)
+        else:
+            found |= {"lang": sample["lang"].to_numpy()[own].tolist(), "label": labels[own].tolist(), "bin": bins(net.odds(*packed(own))).tolist()}
+    return pd.DataFrame([found])
 
 
 def calibrate(model: dict, counts: pd.DataFrame) -> dict:
@@ -254,16 +260,19 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column) -> dict:
     rows = texts.join(F.broadcast(used), "doc_id").select("text", "label", "lang", "place")
     numbers = rows.mapInArrow(numbered, "numbers binary, label int, lang string, place long")
 
-    def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parts = list(batches)
-        empty = pd.DataFrame({"numbers": [], "label": [], "lang": [], "place": []})
-        yield pd.DataFrame({"model": [pickle.dumps(fit_model(pd.concat(parts) if parts else empty))]})
+    # a task for each network; the sample is bounded by TRAIN_ROWS and TRAIN_WORDS before it gets there
+    dealt = numbers.select("*", F.explode(F.array(*[F.lit(k) for k in range(PARTS + 1)])).alias("which")).repartitionByRange(PARTS + 1, "which")
+
+    def task(key: tuple, sample: pd.DataFrame) -> pd.DataFrame:
+        return fit_network(int(key[0]), sample)
 
-    # one task: the sample is bounded by TRAIN_ROWS and TRAIN_WORDS before it gets there
-    model = pickle.loads(numbers.repartition(1).mapInPandas(task, "model binary").first()["model"])
-    own = pd.DataFrame(model.pop("counts"), columns=["lang", "label", "bin"]).assign(count=1)
+    fitted = dealt.groupBy("which").applyInPandas(task, FITTED).collect()  # PARTS + 1 rows
+    whole = [r for r in fitted if r["net"] is not None]
+    model = {"net": pickle.loads(whole[0]["net"]) if whole else None, "rate": fitted[0]["rate"] if fitted else 0.0, "cuts": {}, "cut": CUT}
     if not model["net"]:
         return model
+    counts = [x for r in fitted for x in zip(r["lang"], r["label"], r["bin"])]
+    own = pd.DataFrame(counts, columns=["lang", "label", "bin"]).assign(count=1)
     # the texts stay in their tasks; only ids and bins meet the labels
     placed = binned(texts.where(allowed), model).join(known.join(F.broadcast(used), "doc_id", "left_anti"), "doc_id")
     rest = placed.groupBy("lang", "label", "bin").count().toPandas()  # at most 2 * BINS rows a language
@@ -284,35 +293,39 @@ def binned(docs: DataFrame, model: dict) -> DataFrame:
 
     def rows(batches):
         net = sent.value["net"]
-        through = net.projected()
         for batch in batches:
             for part in kit.slices(batch):
-                found = bins(net.odds(*word_numbers(*kit.raw(part.column(1))), through))
+                found = bins(net.odds(*word_numbers(*kit.raw(part.column(1)))))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(found)], names=["doc_id", "lang", "bin"])
 
     return docs.mapInArrow(rows, "doc_id long, lang string, bin int")
 
 
-def score(docs: DataFrame, model: dict) -> DataFrame:
-    """``docs`` (any columns) with ``toxic_score`` and ``toxic_flag``, by the threshold of the row's language."""
+def score(docs: DataFrame, model: dict, names: tuple[str, str] = ("toxic_score", "toxic_flag")) -> DataFrame:
+    """``docs`` (any columns but ``names``) with the score and the flag by the threshold of the row's language, under these names."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def rows(batches):
         net = sent.value["net"]
-        through = net.projected() if net else None
         for batch in batches:
             for part in kit.slices(batch):
                 numbers, bounds = word_numbers(*kit.raw(part.column(part.schema.get_field_index("text"))))
-                found = net.scores(numbers, bounds, through) if net else np.full(part.num_rows, sent.value["rate"])
+                found = net.scores(numbers, bounds) if net else np.full(part.num_rows, sent.value["rate"])
                 langs = part.column(part.schema.get_field_index("lang")).to_pylist()
                 cuts = np.array([sent.value["cuts"].get(x, sent.value["cut"]) for x in langs])
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found), pa.array(found >= cuts)], names=[*part.schema.names, "toxic_score", "toxic_flag"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found), pa.array(found >= cuts)], names=[*part.schema.names, *names])
 
     schema = docs.schema.jsonValue()
-    added = [{"name": n, "type": t, "nullable": True, "metadata": {}} for n, t in (("toxic_score", "double"), ("toxic_flag", "boolean"))]
+    added = [{"name": n, "type": t, "nullable": True, "metadata": {}} for n, t in zip(names, ("double", "boolean"))]
     return docs.mapInArrow(rows, type(docs.schema).fromJson({**schema, "fields": [*schema["fields"], *added]}))
 
 
+def accepted(docs: DataFrame, model: dict) -> DataFrame:
+    """The rows of ``docs`` (any columns at all) that are not flagged."""
+    names = kit.free_names(docs, "toxic_score", "toxic_flag")
+    return score(docs, model, names).where(~F.col(names[1])).select(*docs.columns)
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = kit.tables(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = fit(docs, kit.tables(spark, sf_dir, "labels"), kit.fold(F.col("doc_id"), 4) != 2)
