@@ -1,11 +1,15 @@
 import os
+import time
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from textmill.functions.codec import compress
 from textmill.operators import dedupe, language, store
+from textmill.operators.ledger import Ledger
 from textmill.streaming import queries as sq
+from textmill.streaming import stateful
 
 BATCHES = [["a", " b ", "a"], ["b", "c", "the dog barks"], ["c", "d", "die Katze"]]
 
@@ -88,3 +92,88 @@ def test_assembled_responses_and_totals(spark, folder, monkeypatch):
     totals = arriving.select(F.col("response_id").cast("string").alias("word"), F.lit(2).alias("tok"))
     run(sq.running_totals(totals), folder, mode="complete", name="totals")
     assert sorted(map(tuple, spark.table("totals").collect())) == [("1", 8, 4), ("2", 4, 2)]
+
+
+def arriving(spark, folder, name, schema, batches, start=0):
+    """A stream of one micro-batch for each list of rows; further batches may be added to the folder later."""
+    for i, rows in enumerate(batches, start):
+        (folder / name).mkdir(exist_ok=True)
+        place = folder / name / f"{i}.parquet"
+        pq.write_table(spark.createDataFrame(rows, schema).toArrow(), place)
+        os.utime(place, (1_700_000_000 + i, 1_700_000_000 + i))
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(folder / name))
+
+
+def told(spark, folder, df, name):
+    """Run to the end of what is there; the rows written so far and the state's size after each batch."""
+    out = str(folder / f"out-{name}")
+    with stateful.with_disk_state(spark):
+        query = df.writeStream.outputMode("append").option("checkpointLocation", str(folder / f"cp-{name}")).trigger(availableNow=True)
+        query = query.format("parquet").option("path", out).start()
+        query.awaitTermination()
+    assert spark.conf.get(stateful.PROVIDER) != stateful.DISK_STORE
+    sizes = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["numInputRows"]]
+    return spark.read.schema(df.schema).parquet(out).collect(), sizes
+
+
+def test_first_seen_over_batches(spark, folder):
+    batches = [[(f"l{(i * 3 + j) % 10}",) for j in range(4)] for i in range(6)]
+    rows, sizes = told(spark, folder, stateful.first_seen_for(arriving(spark, folder, "seen-in", "line string", batches), 3_600_000), "seen-for")
+    assert sorted(r.line for r in rows) == [f"l{i}" for i in range(10)] and len(sizes) == 6 and sizes[-1] == 10
+
+
+def test_first_seen_forgets(spark, folder):
+    batches = [[("again",), *[(f"{i}-{j}",) for j in range(20)]] for i in range(6)]
+    rows, sizes = told(spark, folder, stateful.first_seen_for(arriving(spark, folder, "forget-in", "line string", batches), 1), "forget")
+    assert sum(r.line == "again" for r in rows) == 6 and len(rows) == 126
+    assert len(sizes) == 6 and max(sizes) <= 42  # what came in the last batch or two, not all 121
+
+
+PIECE = "response_id long, seq long, delta string, last boolean"
+
+
+def test_responses_are_told_once_and_evicted(spark, folder):
+    batches = [
+        [(1, 0, "a", False), (2, 1, "y", True), (3, 0, "never ", False)],
+        [(1, 2, "c", True), (2, 0, "x ", False), (1, 0, "a", False)],
+        [(1, 1, None, False), (4, 0, "one", True)],
+        [(2, 0, "late", False), (1, 2, "late", True)],
+        [(3, 2, "ends", False)],
+        [(5, 0, "z", None)],
+    ]
+    df = stateful.assemble_responses(arriving(spark, folder, "pieces-in", PIECE, batches), 3_600_000)
+    rows, sizes = told(spark, folder, df, "responses")
+    assert sorted((r.response_id, r.text, r.tok, r.complete) for r in rows) == [(1, "ac", 1, True), (2, "x y", 2, True), (4, "one", 1, True)]
+    assert len(sizes) == 6
+
+
+def test_responses_end_at_their_time_limit(spark, folder):
+    batches = [[(1, 0, "a ", False), (1, 2, "c", False)], [(2, 0, "b", True)]]
+    df = lambda more, start: stateful.assemble_responses(arriving(spark, folder, "limit-in", PIECE, more, start), 500)
+    told(spark, folder, df(batches, 0), "limit")
+    time.sleep(1.5)
+    rows, sizes = told(spark, folder, df([[(9, 0, "x", True)]], 2), "limit")
+    assert sorted((r.response_id, r.text, r.complete) for r in rows) == [(1, "a c", False), (2, "b", True), (9, "x", True)]
+    time.sleep(1.5)
+    rows, sizes = told(spark, folder, df([[(10, 0, "y", True)]], 3), "limit")
+    assert len(rows) == 4 and sizes[-1] <= 4  # nothing of the first three is held
+
+
+def test_ledger_sink_knows_its_batches(spark, folder):
+    rows = stream(spark, folder).select(F.lit("w").alias("word"), compress(F.col("line")).alias("data"), F.lit(1).alias("tok"))
+    book = Ledger(spark, str(folder / "book"))
+    sink = sq.ledger_sink(book, "lines")
+    run(rows, folder, sink, name="ledger")
+    texts = lambda: sorted(r.text for r in store.store_texts(book.table("texts")).collect())
+    wanted = sorted({x.strip() for b in BATCHES for x in b})
+    assert texts() == wanted and book.commits().count() == 3
+    again = batch(spark).select(F.lit("w").alias("word"), compress(F.concat("line", F.lit("?"))).alias("data"), F.lit(1).alias("tok"))
+    sink(again, 2)  # a batch that was committed before
+    assert texts() == wanted
+
+
+def test_keyed_sink_keeps_the_newest_row(spark, folder):
+    rows = stream(spark, folder).select(F.col("line").alias("word"), F.lit(2).alias("tok"))
+    run(sq.running_totals(rows), folder, sq.keyed_sink(str(folder / "totals")), mode="update", name="keyed")
+    found = sq.latest_of(spark.read.parquet(str(folder / "totals")), "word")
+    assert {r.word: (r.total_tokens, r.generations) for r in found.collect()} == {"a": (4, 2), "b": (4, 2), "c": (4, 2), "d": (2, 1), "the dog barks": (2, 1), "die Katze": (2, 1)}

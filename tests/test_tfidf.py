@@ -25,12 +25,18 @@ def brute_scores(text, corpus):
 
 
 def brute_rank(text, corpus, minimum, low, high):
-    scores = {t: s for t, s in brute_scores(text, corpus).items() if s > minimum}
+    """Every stretch of ``low`` to ``high`` words that the text spells, tested one by one."""
+    known = brute_scores(text, corpus)
     words = text.lower().replace("\n", "").split()
-    candidates = set(grams(words, low, min(high, len(words))))
-    kept = [(g, scores.get(g, 0.0)) for g in candidates]
-    kept = [(g, s) for g, s in kept if s >= minimum or len(candidates) < low]
-    return sorted(kept, key=lambda x: (-x[1], x[0]))
+    spelt = {" ".join(words[a:b]) for b in range(len(words) + 1) for a in range(b) if low <= b - a <= high}
+
+    def score(phrase):
+        return known[phrase] if known.get(phrase, 0) > minimum else 0.0
+
+    def wanted(phrase):
+        return len(spelt) < low or score(phrase) >= minimum
+
+    return [(p, score(p)) for p in sorted(filter(wanted, spelt), key=lambda p: (-score(p), p))]
 
 
 def random_corpus(seed, n, words="aa bb cc dd ee x".split()):
@@ -57,10 +63,13 @@ def test_sample_scores(spark, sample_corpus):
 
 
 def test_accessors(spark):
-    docs = frame(spark, ["Owls and boats share a sample of one harbour at dawn."])
-    assert "sample" in {r.term for r in tfidf.term_frequency(docs).collect()}
-    top = tfidf.top_terms(docs, docs, 3).collect()
-    assert [r["rank"] for r in sorted(top, key=lambda r: r["rank"])] == [1, 2, 3]
+    docs = frame(spark, ["Rain, rain on the slate roof.", "The roof holds."])
+    counts = {(r.doc_id, r.term): r.tf for r in tfidf.term_frequency(docs).collect()}
+    assert counts[0, "rain"] == 2 and counts[0, "rain rain"] == 1 and (1, "rain") not in counts
+    weights = {r.term: r.idf for r in tfidf.idf(docs).collect()}
+    assert weights["roof"] == pytest.approx(1.0) and weights["rain"] == pytest.approx(math.log(1.5) + 1)
+    top = tfidf.top_terms(docs, docs, 2).where("doc_id = 0").orderBy("rank").collect()
+    assert top[0].term == "rain" and [r["rank"] for r in top] == [1, 2]
 
 
 def test_empty_and_single(spark):

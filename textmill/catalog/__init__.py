@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-MODULES = ("phrases", "columns", "repeats", "store", "frontier", "loading", "files", "scoring", "streams")
+MODULES = ("phrases", "columns", "repeats", "store", "frontier", "loading", "files", "scoring", "streams", "walks")
 
 
 def _load(attribute: str) -> dict:

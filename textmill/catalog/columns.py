@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from textmill.catalog.common import sql_words, table
-from textmill.functions import bloom, codec, filetype
+from textmill.catalog.common import sql_grams, sql_words, table
+from textmill.functions import bloom, codec, filetype, udf
 from textmill.functions import text as tx
 from textmill.sources import files
 
@@ -53,13 +53,40 @@ def _emoji(spark, folder):
     )
 
 
+# First and last code points that count as emoji, then the widest one and those that stand for it in strict mode.
+EMOJI_POINTS = [
+    (0x1F1E6, 0x1F1FF), (0x1F300, 0x1F5FF), (0x1F600, 0x1F64F), (0x1F680, 0x1F6FF), (0x1F700, 0x1F77F), (0x1F780, 0x1F7FF), (0x1F800, 0x1F8FF),
+    (0x1F900, 0x1F9FF), (0x1FA00, 0x1FAFF), (0x2702, 0x27B0), (0x2600, 0x26FF), (0x2300, 0x23FF), (0x200D, 0x200D), (0xFE0F, 0xFE0F),
+]
+WIDE_POINTS = [(0x24C2, 0x1F251)]
+STRICT_POINTS = [(0x24C2, 0x24FF), (0x25A0, 0x27BF), (0x2900, 0x297F), (0x2B00, 0x2BFF), (0x1F000, 0x1F251)]
+
+
 def _emoji_sql() -> str:
+    """Counts code points within the ranges instead of matching a pattern."""
     cases = " ".join(f"when {k} then '{v}'" for k, v in EMOJI_ADDED.items())
-    wide, strict = tx._emoji_class(False), tx._emoji_class(True)
+    wide, strict = (", ".join(map(str, EMOJI_POINTS + more)) for more in (WIDE_POINTS, STRICT_POINTS))
     return f"""
-        select doc_id, regexp_matches(t, '{wide}') as wide, regexp_matches(t, '{strict}') as strict,
-               len(regexp_replace(t, '{wide}+', '', 'g')) as n_left
-        from (select doc_id, text || (case doc_id % 4 {cases} end) as t from documents)"""
+        with points as (select doc_id, unicode(unnest(regexp_extract_all(text || (case doc_id % 4 {cases} end), '(?s).'))) as c from documents),
+        kinds as (select distinct c from points),
+        wide as (select distinct c from kinds join (values {wide}) r(low, high) on c between low and high),
+        strict as (select distinct c from kinds join (values {strict}) r(low, high) on c between low and high)
+        select doc_id, bool_or(c in (from wide)) as wide, bool_or(c in (from strict)) as strict, count(*) filter (where c not in (from wide)) as n_left
+        from points group by doc_id"""
+
+
+# A caller's own tokenizer: pieces between single blanks.
+WORDS = udf.tokenizer_count(lambda text: [x for x in text.split(" ") if x])
+
+
+def _lateral(spark, folder):
+    """The SQL table function over every text."""
+    udf.register(spark)
+    return spark.sql(
+        """select doc_id, count(*) as n_grams, count(distinct ngram) as n_distinct, min(ngram) as first_gram, max(ngram) as last_gram
+           from {docs} d, lateral tm_ngrams(d.text, 1, 3) group by doc_id""",
+        docs=_docs(spark, folder).select("doc_id", "text"),
+    )
 
 
 def _indexes(args):
@@ -211,6 +238,8 @@ QUERIES = {
     "token_counts": lambda s, d: _docs(s, d).select(
         "doc_id", tx.token_count(F.col("text")).cast("long").alias("tok")
     ),
+    "token_counts_custom": lambda s, d: _docs(s, d).select("doc_id", WORDS(F.col("text")).cast("long").alias("tok")),
+    "ngrams_lateral": _lateral,
     "compress_roundtrip": _roundtrip,
     "text_vote": _votes,
     "text_filter": _text_filter,
@@ -242,6 +271,11 @@ ORACLE = {
     "emoji_flags": _emoji_sql(),
     "url_host": r"select page_id, lower(regexp_extract(url, '^[a-zA-Z]+://([^/?#:]*)', 1)) as host from pages",
     "token_counts": f"select doc_id, len({sql_words('text')}) as tok from documents",
+    "token_counts_custom": "select doc_id, len(list_filter(string_split(text, ' '), lambda x: x <> '')) as tok from documents",
+    "ngrams_lateral": f"""
+        with w as (select doc_id, {sql_words('text')} as w from documents)
+        select doc_id, count(*) as n_grams, count(distinct gram) as n_distinct, min(gram) as first_gram, max(gram) as last_gram
+        from {sql_grams('w', 1, 3)} group by doc_id""",
     "compress_roundtrip": """
         select doc_id, codec, md5(text) as digest
         from documents, (values ('zlib-6'), ('zstd-3'), ('gz-9'), ('lz4-1'), ('zlib-0')) c(codec)""",

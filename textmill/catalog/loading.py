@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from textmill.catalog.columns import FILES_SQL, LITERALS, _as_files
 from textmill.catalog.common import LINES, lines, sql_strip, sql_words, table
 from textmill.functions.codec import compress, decompress
 from textmill.operators import ingest, language
+from textmill.operators.ledger import Ledger
+from textmill.plans import scratch_dir
 from textmill.streaming.queries import assemble_chunks
 
 PIECE = 20
@@ -35,6 +39,15 @@ def _ingest_files(spark, folder):
     return added.select("doc_id", "word", F.md5(decompress(F.col("data"))).alias("digest"), F.col("tok").cast("long").alias("tok"))
 
 
+def _lines_indexed(spark, folder):
+    """The lines of ``benchmark``, then those of ``documents``, into one ledger, which numbers them in their order."""
+    ledger = Ledger(spark, f"{scratch_dir(spark)}/textmill/ledger-{uuid.uuid4().hex}")
+    known = table(spark, folder, "benchmark").select("item_id", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
+    ingest.load_lines(known.select((F.shiftleft("item_id", 32) + F.col("pos")).alias("seq"), "line"), ledger, "benchmark")
+    ingest.load_lines(lines(spark, folder), ledger, "documents")
+    return ledger.table("texts").select("id", decompress(F.col("data")).alias("line"), F.col("tok").cast("long").alias("tok"))
+
+
 def _detect(spark, folder):
     docs = _docs(spark, folder)
     return language.detect(docs, language.train(docs))
@@ -62,6 +75,7 @@ def pieces_of(talk):
 
 QUERIES = {
     "ingest_lines": _ingest_lines,
+    "ingest_lines_indexed": _lines_indexed,
     "ingest_files": _ingest_files,
     "content_addressed": lambda s, d: ingest.content_addressed(_as_files(s, d).drop("path"), order="doc_id").select(
         "doc_id", "name"
@@ -105,6 +119,13 @@ ORACLE = {
         known as (select unnest(string_split(text, chr(10))) as line from benchmark)
         select min(seq) as seq, 'archive' as word, line, len({sql_words('line')}) as tok
         from stripped where line not in (select line from known) group by line""",
+    "ingest_lines_indexed": f"""
+        with known as (select item_id * 4294967296 + generate_subscripts(string_split(text, chr(10)), 1) - 1 as seq,
+                              unnest(string_split(text, chr(10))) as line from benchmark),
+        both_runs as (select 0 as run, seq, {sql_strip('line')} as line from known
+                      union all select 1, seq, {sql_strip('line')} from {LINES}),
+        firsts as (select min({{'run': run, 'seq': seq}}) as place, line from both_runs group by line)
+        select row_number() over (order by place) as id, line, len({sql_words('line')}) as tok from firsts""",
     "ingest_files": f"""
         with firsts as (select text, min(doc_id) as doc_id from documents group by text),
         kept as (select doc_id, len({sql_words('text')}) as tok,

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from textmill.catalog.common import GENERATIONS, LINES, generations, lines, r6, sql_strip, sql_words, table
 from textmill.functions import text as tx
-from textmill.functions.codec import compress
+from textmill.functions.codec import compress, decompress
 from textmill.operators import store
-from textmill.plans import materialize, spread
+from textmill.operators.ledger import Ledger
+from textmill.plans import materialize, scratch_dir, spread
 
 
 def _store(spark, folder):
@@ -29,15 +32,35 @@ STORE = f"""(select doc_id as id, text, lang, len({sql_words('text')}) as tok,
 
 
 def _packed(rows):
-    data = F.when(F.col("compression_algo") == "zstd", compress(F.col("text"), 3, "zstd")).otherwise(compress(F.col("text")))
-    return rows.withColumn("data", data)
+    """Each row goes through its own codec alone."""
+    zstd = F.col("compression_algo").eqNullSafe("zstd")
+    packed = rows.where(zstd).withColumn("data", compress(F.col("text"), 3, "zstd"))
+    return packed.unionByName(rows.where(~zstd).withColumn("data", compress(F.col("text"))))
 
 
 def _scan(spark, folder):
-    kept = store.filter_nonempty(store.filter_not_archive(_packed(_store(spark, folder)).drop("text")))
+    """Rows appended to a store, some without a blob or with an empty one, and read back."""
+    path = f"{scratch_dir(spark)}/textmill/store-{uuid.uuid4().hex}"
+    blob = F.when(F.col("id") % 7 != 0, F.when(F.col("id") % 11 == 0, F.lit(b"")).otherwise(F.col("data")))
+    store.append_generations(_packed(_store(spark, folder)).withColumn("data", blob).drop("text"), path)
+    kept = store.filter_nonempty(store.filter_not_archive(store.read_store(spark, path)))
     return store.store_texts(kept)
 
 
+def _appended(spark, folder):
+    """Two appends: documents with their ids, then turns without, which are numbered on."""
+    path = f"{scratch_dir(spark)}/textmill/store-{uuid.uuid4().hex}"
+    docs = table(spark, folder, "documents").select(F.col("doc_id").alias("id"), F.col("source").alias("word"), F.encode("text", "UTF-8").alias("data"))
+    store.append_generations(docs, path)
+    turns = table(spark, folder, "conversations").select(F.col("role").alias("word"), F.encode("text", "UTF-8").alias("data"), F.lit(3).alias("seed"))
+    store.append_generations(turns, path)
+    found = store.read_store(spark, path)
+    return found.groupBy("word", "seed").agg(
+        F.count("*").alias("n"), F.count_distinct("id").alias("n_ids"), F.sum(F.length("data")).alias("n_bytes"), F.count("created_at").alias("n_dated"),
+        F.count_distinct(F.when(F.col("seed") == 3, F.col("id") > F.lit(docs.agg(F.max("id")).first()[0]))).alias("n_sides"),
+    )
+
+
 def _labelled(spark, folder):
     good = table(spark, folder, "labels").where("quality = 1").select("doc_id").distinct()
     return table(spark, folder, "documents").join(good, "doc_id", "left_semi")
@@ -86,6 +109,20 @@ def _migrate(spark, folder):
     )
 
 
+def _migrate_indexed(spark, folder):
+    """The same migration into a ledger, which numbers the rows anew; sources are told by their texts."""
+    source = materialize(_packed(spread(_store(spark, folder))), "source")
+    done = _labelled(spark, folder).select(
+        F.col("doc_id").alias("_order"), "text", F.lit("done").alias("word"), F.when(F.col("lang") == "en", F.lit("zstd")).otherwise(F.lit("zlib")).alias("compression_algo")
+    )
+    ledger = Ledger(spark, f"{scratch_dir(spark)}/textmill/ledger-{uuid.uuid4().hex}")
+    ledger.commit("done", texts=_packed(done))
+    store.load_archive(source.drop("text"), ledger, "archive")
+    store.load_archive(source.drop("text"), ledger, "archive")  # adds nothing
+    found = ledger.table("texts").where(F.col("word") == store.ARCHIVE)
+    return found.select("id", "word", F.md5(decompress(F.col("data"), F.col("compression_algo"))).alias("digest"), F.col("tok").cast("long").alias("tok"))
+
+
 def _rates(spark, folder):
     return _store(spark, folder).withColumn("td", (F.col("id") % 4) / 8.0)
 
@@ -97,6 +134,7 @@ def _latest(spark, folder):
 
 QUERIES = {
     "store_scan": _scan,
+    "append_generations": _appended,
     "prompt_log_scan": lambda s, d: generations(s, d).select(
         "gen", tx.strip(F.concat(F.lit(" \t"), "prompt", F.lit("\n"))).alias("prompt")
     ),
@@ -107,6 +145,7 @@ QUERIES = {
     "merge_stores": _merge(("id", "data")),
     "merge_stores_renumbered": _merge(("data",)),
     "migrate_archive": _migrate,
+    "migrate_archive_indexed": _migrate_indexed,
     "total_tokens": lambda s, d: store.total_tokens(_store(s, d)),
     "tokens_by_root": lambda s, d: store.tokens_by_root(_store(s, d)),
     "generation_rate": lambda s, d: store.generation_rate(_rates(s, d)).select("id", r6("rate").alias("rate")),
@@ -119,7 +158,10 @@ QUERIES = {
 
 ORACLE = {
     "compression_ratio": f"select id, length(text) / cast(strlen(text) as double) as ratio from {STORE}",
-    "store_scan": f"select word, text from {STORE} where word <> 'archive' and text <> ''",
+    "store_scan": f"select word, text from {STORE} where word <> 'archive' and id % 7 <> 0 and id % 11 <> 0",
+    "append_generations": """
+        select word, seed, count(*) as n, count(*) as n_ids, sum(strlen(text))::bigint as n_bytes, count(*) as n_dated, n_sides from (
+            select source as word, null::int as seed, text, 0 as n_sides from documents union all select role, 3, text, 1 from conversations) group by all""",
     "prompt_log_scan": f"select gen, {sql_strip('prompt')} as prompt from {GENERATIONS}",
     "filter_not_archive": f"select id, word from {STORE} where word <> 'archive'",
     "min_tokens": f"select id, tok from {STORE} where tok > 20",
@@ -144,6 +186,10 @@ ORACLE = {
     "migrate_archive": f"""
         select min(id) as id, 'archive' as word, min(tok) as tok from {STORE}
         where word <> 'archive' and text <> '' and text not in (select text from {LABELLED}) group by text""",
+    "migrate_archive_indexed": f"""
+        with firsts as (select min(id) as id, min(tok) as tok, text from {STORE}
+            where word <> 'archive' and text <> '' and text not in (select text from {LABELLED}) group by text)
+        select row_number() over (order by id) + (select count(distinct text) from {LABELLED}) as id, 'archive' as word, md5(text) as digest, tok from firsts""",
     "total_tokens": f"select cast(coalesce(sum(tok), 0) as bigint) as total_tokens from {STORE}",
     "tokens_by_root": f"""
         select word, cast(sum(tok) as bigint) as total_tokens, count(*) as generations from {STORE} group by word""",

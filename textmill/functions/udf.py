@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -15,15 +16,26 @@ from textmill.functions import codec
 Responder = Callable[[pd.Series], tuple[list[str], list[int]]]
 
 
-def respond_with(fn: Responder) -> Callable[[DataFrame], DataFrame]:
-    """Turn ``fn(prompts) -> (responses, token counts)`` into a table function over prompts."""
+def respond_with(fn: Responder, batch: int | None = None, timed: bool = False) -> Callable[[DataFrame], DataFrame]:
+    """Turn ``fn(prompts) -> (responses, token counts)`` into a table function over prompts.
+
+    ``fn`` sees at most ``batch`` prompts at once (as many as Arrow sends otherwise). ``timed`` adds ``td``: the
+    seconds of a batch, in equal shares to its rows, so that sums over rows are seconds spent. The walk writes each level once; a task
+    that is run again replaces its rows with their seconds.
+    """
 
     def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            responses, toks = fn(frame["prompt"])
-            yield pd.DataFrame({"prompt": frame["prompt"], "response": responses, "tok": toks})
+            step = batch or len(frame)
+            for start in range(0, len(frame), max(1, step)):
+                prompts = frame["prompt"].iloc[start : start + step]
+                begun = time.perf_counter()
+                responses, toks = fn(prompts)
+                spent = time.perf_counter() - begun
+                made = pd.DataFrame({"prompt": prompts.to_numpy(), "response": list(responses), "tok": list(toks)})
+                yield made.assign(td=spent / len(prompts)) if timed else made
 
-    return lambda prompts: prompts.select("prompt").mapInPandas(batches, schemas.RESPONSES)
+    return lambda prompts: prompts.select("prompt").mapInPandas(batches, schemas.TIMED_RESPONSES if timed else schemas.RESPONSES)
 
 
 def tokenizer_count(encode: Callable[[str], list]) -> Callable[[Column], Column]:
@@ -36,17 +48,17 @@ def tokenizer_count(encode: Callable[[str], list]) -> Callable[[Column], Column]
     return count
 
 
-@F.udtf(returnType="ngram string")
-class NgramRows:
-    """``LATERAL tm_ngrams(text, low, high)``: one row per white-space n-gram."""
-
-    def eval(self, text: str, low: int, high: int):
-        words = (text or "").split()
-        for n in range(low, min(high, len(words)) + 1):
-            for i in range(len(words) - n + 1):
-                yield (" ".join(words[i : i + n]),)
+# Words are cut at the same white space as everywhere else; all of it runs in the JVM.
+NGRAMS_SQL = r"""
+create or replace temporary function tm_ngrams(content string, low int, high int) returns table(ngram string)
+return select explode(flatten(transform(
+    filter(sequence(least(low, size(w)), least(high, size(w))), n -> n >= low and n > 0),
+    n -> transform(sequence(0, size(w) - n), i -> array_join(slice(w, i + 1, n), ' ')))))
+from (select filter(split(content, r'(?U)[\s\x1c-\x1f]+', -1), x -> x <> '') as w)
+"""
 
 
 def register(spark: SparkSession) -> None:
+    """SQL names: the codecs, and ``LATERAL tm_ngrams(text, low, high)`` for white-space n-grams."""
     codec.register(spark)
-    spark.udtf.register("tm_ngrams", NgramRows)
+    spark.sql(NGRAMS_SQL)

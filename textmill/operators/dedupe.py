@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from textmill.functions.bloom import bloom_indexes, index_list
 from textmill.functions.text import strip
+from textmill.plans import materialize
 
 # Bit tables up to this many bits (16 MiB of bitmaps) are sent to every executor.
 BROADCAST_POWER2 = 27
@@ -142,6 +143,26 @@ def bloom_contains(
     return items.join(flags, F.col(order) == F.col("_at")).drop("_at")
 
 
+def bloom_admit(
+    rows: DataFrame, bloom: DataFrame | None, item: str = "prompt", order: str = "ordinal", **filter_args
+) -> tuple[DataFrame, DataFrame]:
+    """Rows that a filter already holding ``bloom`` lets through in ``order``, and the filter with their bits.
+
+    ``rows`` is read twice: pass a written table.
+    """
+    probes = rows.select(F.col(order).alias("_at"), F.explode(bloom_indexes(F.col(item), **filter_args)).alias("idx"))
+    first = probes.groupBy("idx").agg(F.min("_at").alias("_first"))
+    if bloom is not None:
+        hits = first.join(bloom, F.bitmap_bucket_number("idx") == F.col("bucket"), "left")
+        first = hits.where(~_bit("bitmap", F.bitmap_bit_position("idx"))).select("idx", "_first")
+    first = materialize(first, "bits")
+    passed = rows.join(first.select("_first").distinct(), F.col(order) == F.col("_first"), "left_semi")
+    added = first.groupBy(F.bitmap_bucket_number("idx").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("idx")).alias("bitmap")
+    )
+    return passed, added if bloom is None else bloom_union(bloom, added)
+
+
 def resume_set(store_texts: DataFrame, prompts: DataFrame | None = None) -> DataFrame:
     """``item``: texts already stored, and logged prompts (stripped) when given."""
     items = store_texts.select(F.col("text").alias("item"))

@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 
 from textmill.functions import text as tx
 from textmill.functions.codec import compress
-from textmill.operators import tfidf
+from textmill.operators import dedupe, tfidf
+from textmill.operators.ledger import Ledger, log_rows
+from textmill.operators.store import store_texts
 from textmill.plans import global_rank, hot_values, materialize, salted_join
 
 Responder = Callable[[DataFrame], DataFrame]
@@ -47,11 +49,16 @@ def shuffle_prompts(prompts: DataFrame, seed: int, prompt: str = "prompt", order
     return global_rank(prompts.withColumn("_key", key), "_key", "position").drop("_key")
 
 
+def _timing(answers: DataFrame) -> list[str]:
+    return [c for c in answers.columns if c == "td"]
+
+
 def table_responder(responses: DataFrame) -> Responder:
-    """Answer prompts from ``(prompt, response, tok)``, unique on ``prompt``."""
+    """Answer prompts from ``(prompt, response, tok)``, and ``td`` where it is there, unique on ``prompt``."""
+    columns = ["prompt", "response", "tok", *_timing(responses)]
 
     def respond(prompts: DataFrame) -> DataFrame:
-        return prompts.select("prompt").join(responses.select("prompt", "response", "tok"), "prompt")
+        return prompts.select("prompt").join(responses.select(*columns), "prompt")
 
     return respond
 
@@ -69,7 +76,8 @@ def expand_frontier(
 ) -> DataFrame:
     """``(word, prompt, depth, text, tok)`` of every generation reached from ``seeds(word)``.
 
-    ``responder`` maps distinct ``(prompt)`` rows to ``(prompt, response, tok)``.
+    ``responder`` maps distinct ``(prompt)`` rows to ``(prompt, response, tok)``; a further column ``td``, the seconds
+    an answer took, comes back with its generations.
     ``visited(prompt)``: never ask these again. ``phrases``: arguments of ``rank_phrases``;
     children are then the ranked phrases, scored over all generations up to the level,
     instead of the lines. A root is not marked as visited, so it can come back once as a
@@ -81,6 +89,8 @@ def expand_frontier(
     )
     done: DataFrame | None = None
     generations: DataFrame | None = None
+    frequency: DataFrame | None = None  # in phrase mode: grows by each level's texts
+    texts = 0
     depth = 0
     while depth < max_depth and not frontier.isEmpty():
         asked = frontier
@@ -93,7 +103,7 @@ def expand_frontier(
         if remove_prompt:
             text = tx.remove_prompt(text, F.col("prompt"))
         level = materialize(
-            answered.select("word", "prompt", F.lit(depth).alias("depth"), text.alias("text"), "tok"), "level"
+            answered.select("word", "prompt", F.lit(depth).alias("depth"), text.alias("text"), "tok", *_timing(answers)), "level"
         )
         generations = level if generations is None else generations.unionByName(level)
         depth += 1
@@ -103,7 +113,10 @@ def expand_frontier(
         if phrases is None:
             children = prompt_candidates(level, prefixes, keep=("word",)).select("word", "prompt")
         else:
-            children = _phrase_children(level, generations, prefixes, phrases)
+            frequency = materialize(tfidf.merged_frequency(frequency, level), "frequency")
+            texts += level.count()
+            model = frequency.withColumn("idf", tfidf.idf_of(F.col("df"), texts))
+            children = _phrase_children(level, model, prefixes, phrases)
         if shared_visited:
             fresh = children.groupBy("prompt").agg(F.min("word").alias("word"))
         else:
@@ -123,11 +136,11 @@ def _unseen(fresh: DataFrame, visited: DataFrame, keys: list[str]) -> DataFrame:
     return salted_join(fresh, seen, keys, hot_values(fresh, keys), F.col("word"), "left_anti")
 
 
-def _phrase_children(level: DataFrame, corpus: DataFrame, prefixes: Sequence[str], args: dict) -> DataFrame:
+def _phrase_children(level: DataFrame, model: DataFrame, prefixes: Sequence[str], args: dict) -> DataFrame:
     # Generations with equal words and texts have equal children.
     texts = level.select("word", "text").distinct()
     numbered = texts.withColumn("gen", F.sha2(F.concat_ws("\x00", "word", "text"), 256))
-    ranked = tfidf.rank_phrases(numbered, corpus, doc="gen", **args).select("gen", "ngram")
+    ranked = tfidf.rank_phrases(numbered, None, doc="gen", model=model, **args).select("gen", "ngram")
     stock = F.array(*[F.lit(p) for p in prefixes])
     joined = ranked.join(numbered.select("gen", "word"), "gen")
     return joined.select("word", "ngram", F.explode(stock).alias("_prefix")).select(
@@ -164,3 +177,39 @@ def grow_store(
         "depth",
         "text",
     )
+
+
+def run_totals(generations: DataFrame, run: str) -> DataFrame:
+    """Generations, tokens and seconds of each root; seconds are NULL where the responder took no time."""
+    td = F.sum("td") if "td" in generations.columns else F.lit(None)
+    return generations.groupBy("word").agg(F.count("*").alias("generations"), F.sum("tok").alias("total_tokens"), td.cast("double").alias("td")).withColumn("run", F.lit(run))
+
+
+def distill(
+    seeds: DataFrame,
+    responder: Responder,
+    ledger: Ledger,
+    run: str,
+    level: int = 6,
+    algo: str = "zlib",
+    model: str | None = None,
+    seed: int | None = None,
+    log: bool = True,
+    resume: bool = False,
+    **walk,
+) -> bool:
+    """Walk from ``seeds(word)`` and commit the texts, the root prompts and the totals of the run together.
+
+    A text that is stored already is ignored; the totals count it all the same. ``log``: record the stripped roots. ``resume``: never ask
+    what is stored or logged. ``walk``: arguments of ``expand_frontier``. False, and nothing happens, when the ledger holds the run.
+    """
+    if ledger.holds(run):
+        return False
+    if resume:
+        walk["visited"] = materialize(
+            dedupe.resume_set(store_texts(ledger.table("texts")), ledger.table("prompts")).withColumnRenamed("item", "prompt"), "visited"
+        )
+    generations = expand_frontier(seeds, responder, **walk)
+    place = F.concat_ws("\x00", F.lpad(F.col("depth").cast("string"), 10, "0"), "word", "prompt")
+    texts = grow_store(generations, level, algo, model, seed).withColumn("_order", place)
+    return ledger.commit(run, texts=texts, prompts=log_rows(seeds) if log else None, totals=run_totals(generations, run))

@@ -11,23 +11,32 @@ from textmill.functions import text as tx
 from textmill.functions.codec import compress
 from textmill.functions.filetype import is_text_nul
 from textmill.operators.dedupe import dedupe_bloom, dedupe_exact, dedupe_md5
+from textmill.operators.ledger import Ledger
 from textmill.operators.store import ARCHIVE, archive_rows, filter_min_tokens, insert_or_ignore, running_tokens
 from textmill.plans import materialize, spread
 from textmill.sources.tables import read_if_there
 
 
+def line_rows(lines: DataFrame, line: str = "line", order: str = "seq", tokens: str = "whitespace") -> DataFrame:
+    """``(order, word, data, tok)`` of the stripped, distinct lines."""
+    return archive_rows(spread(lines.select(order, tx.strip(F.col(line)).alias(line))), line, order, tokens)
+
+
 def ingest_lines(
     lines: DataFrame, store: DataFrame, line: str = "line", order: str = "seq", tokens: str = "whitespace"
 ) -> DataFrame:
     """Rows to add for stripped, distinct lines: ``(order, word, data, tok)``."""
-    stripped = spread(lines.select(order, tx.strip(F.col(line)).alias(line)))
-    ready = materialize(archive_rows(stripped, line, order, tokens), "lines")  # compress once
+    ready = materialize(line_rows(lines, line, order, tokens), "lines")  # compress once
     return insert_or_ignore(store, ready, ["data"], order, long_keys=True)
 
 
-def ingest_files(
+def load_lines(lines: DataFrame, ledger: Ledger, run: str, line: str = "line", order: str = "seq", tokens: str = "whitespace") -> bool:
+    """Commit the new lines to a ledger; only the touched part of its index is read."""
+    return ledger.commit(run, texts=line_rows(lines, line, order, tokens), order=order)
+
+
+def file_rows(
     files: DataFrame,
-    store: DataFrame,
     literals: Sequence[str] = (),
     minimum: int = 20,
     order: str = "path",
@@ -35,14 +44,24 @@ def ingest_files(
     bloom: dict | None = None,
     keep_newline: bool = True,
 ) -> DataFrame:
-    """Rows to add for whole files. Repeats and tokens are judged before cleaning."""
+    """``(order, word, data, tok)`` of whole files. Repeats and tokens are judged before cleaning."""
     raw = dedupe_bloom(files, "text", order, **bloom) if bloom is not None else dedupe_exact(files, "text", order)
     counted = filter_min_tokens(spread(raw).withColumn("tok", tx.token_count(F.col("text"), tokens)), minimum)
     cleaned = tx.remove_literals(F.col("text"), literals, keep_newline)
-    ready = counted.select(order, F.lit(ARCHIVE).alias("word"), compress(cleaned, 9).alias("data"), "tok")
+    return counted.select(order, F.lit(ARCHIVE).alias("word"), compress(cleaned, 9).alias("data"), "tok")
+
+
+def ingest_files(files: DataFrame, store: DataFrame, literals: Sequence[str] = (), minimum: int = 20, order: str = "path", **options) -> DataFrame:
+    """Rows to add for whole files; ``options`` as for ``file_rows``."""
+    ready = file_rows(files, literals, minimum, order, **options)
     return insert_or_ignore(store, materialize(ready, "files"), ["data"], order, long_keys=True)
 
 
+def load_files(files: DataFrame, ledger: Ledger, run: str, literals: Sequence[str] = (), minimum: int = 20, order: str = "path", **options) -> bool:
+    """Commit the new files to a ledger; ``options`` as for ``file_rows``."""
+    return ledger.commit(run, texts=file_rows(files, literals, minimum, order, **options), order=order)
+
+
 def count_tokens(files: DataFrame, order: str = "path", tokens: str = "whitespace") -> DataFrame:
     """``(order, tok, running_tokens)`` of each file; the last running total is the corpus total."""
     counted = spread(files.select(order, "text")).select(order, tx.token_count(F.col("text"), tokens).alias("tok"))

@@ -5,13 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from textmill.functions.text import char_ngrams, strip
 from textmill.operators.dedupe import distinct_texts
 from textmill.operators.tfidf import term_runs
-from textmill.plans import lookup_join, materialize, spread
+from textmill.plans import bounded_broadcast, hot_values, lookup_join, materialize, salted_join, spread
 
 UNDETECTED = "undetected"
 GRAM = 3
@@ -21,13 +20,14 @@ BROADCAST_BYTES = 64 << 20
 
 @dataclass(frozen=True)
 class LanguageModel:
-    """``grams(gram, total, counts)`` with an array of ``(lang, n)`` per trigram, and ``sizes(lang, size, place)``.
+    """``grams(gram, total, counts)`` with an array of ``(lang, n)`` per trigram, and ``sizes(lang, size)``.
 
-    ``place`` numbers the languages from 0 by (size, name). ``bytes`` estimates the size of ``grams`` in memory.
+    ``smallest`` is the language of the least size, the first by name of equals. ``bytes`` estimates the size of ``grams`` in memory.
     """
 
     grams: DataFrame
     sizes: DataFrame
+    smallest: tuple[str, int]
     vocabulary: int
     bytes: int
 
@@ -46,67 +46,49 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Langua
     # A labelled language without trigrams has size 0.
     sums = grams.select(F.explode("counts").alias("c")).select("c.lang", "c.n")
     sums = sums.unionByName(known.select("lang", F.lit(0).cast("long").alias("n")).distinct())
-    by_size = W.orderBy("size", "lang")  # over the languages alone
-    sizes = materialize(
-        sums.groupBy("lang").agg(F.sum("n").alias("size")).withColumn("place", F.row_number().over(by_size) - 1), "sizes"
-    )
-    if sizes.isEmpty():
+    sizes = materialize(sums.groupBy("lang").agg(F.sum("n").alias("size")), "sizes")
+    least = sizes.agg(F.min(F.struct("size", "lang")).alias("least")).first()["least"]
+    if least is None:
         raise ValueError(f"{lang!r} holds no language")
     in_memory = F.aggregate("counts", F.lit(64).cast("long"), lambda size, c: size + 40 + F.octet_length(c["lang"]))
     found = grams.agg(F.count("*").alias("rows"), F.coalesce(F.sum(in_memory), F.lit(0)).alias("bytes")).first()
-    return LanguageModel(grams, sizes, found["rows"], found["bytes"])
+    return LanguageModel(grams, sizes, (least["lang"], least["size"]), found["rows"], found["bytes"])
 
 
 def detect(texts: DataFrame, model: LanguageModel, text: str = "text", order: str = "doc_id") -> DataFrame:
     """``(order, lang)`` by naive Bayes with add-one smoothing; no trigram means ``undetected``.
 
-    A language scores ``sum(log(count + 1)) - n * log(size + vocabulary)``. The sums come from a
-    join by trigram, for the languages that share one with the text. All others have a sum of 0,
-    so of these only the smallest can win: the first place that is lacking among those found.
+    A language costs ``n * log(size + vocabulary) - sum(log(count + 1))``, and the cheapest is taken, the first by name of equals. The sums
+    come from a join by trigram, for the languages that share one with the text. Of all others, whose sums are 0, the smallest language
+    is the cheapest; where it shares a trigram itself it is cheaper still. So it alone stands in for them.
     """
     logs = model.grams.select(
         "gram", "total", F.transform("counts", lambda c: F.struct(c["lang"].alias("lang"), F.log1p(c["n"]).alias("w"))).alias("logs")
     )
+    n = F.greatest(F.length(F.lower(F.col(text))) - (GRAM - 1), F.lit(0)).cast("long").alias("_n")
     split = spread(texts.select(order, text))
     if model.bytes <= BROADCAST_BYTES:
         # Nothing is shuffled before the sums, so counting inside the text would only add sorts.
-        rows = split.select(order, F.explode(_grams(F.col(text))).alias("gram"), F.lit(1).alias("_times"))
+        rows = split.select(order, n, F.explode(_grams(F.col(text))).alias("gram"), F.lit(1).alias("_times"))
         known = rows.join(F.broadcast(logs.drop("total")), "gram")
     else:
-        counted = split.select(order, F.explode(term_runs(_grams(F.col(text)))).alias("r"))
-        rows = counted.select(order, F.col("r.term").alias("gram"), F.col("r.tf").alias("_times"))
+        counted = split.select(order, n, F.explode(term_runs(_grams(F.col(text)))).alias("r"))
+        rows = counted.select(order, "_n", F.col("r.term").alias("gram"), F.col("r.tf").alias("_times"))
         known = lookup_join(rows, logs, "gram", "total", order)
-    parts = known.select(order, "_times", F.explode("logs").alias("l"))
-    sums = parts.groupBy(order, "l.lang").agg(F.sum(F.col("_times") * F.col("l.w")).alias("_s"))
-    n = F.greatest(F.length(F.lower(F.col(text))) - (GRAM - 1), F.lit(0)).cast("long")
-    lengths = texts.select(order, n.alias("_n")).where(F.col("_n") > 0)
-
-    penalty = F.log(F.col("size") + F.lit(float(model.vocabulary)))
-    sizes = model.sizes.select("lang", "place", penalty.alias("_penalty"))
-    found = sums.join(sizes, "lang").groupBy(order).agg(
-        F.collect_list(F.struct("lang", "place", "_s", "_penalty")).alias("_found")  # at most one entry per language
-    )
-    text_rows = lengths.join(found, order, "left")
-    places = F.array_sort(F.transform("_found", lambda f: f["place"]))
-    # Places before the first gap equal their index.
-    first_lacking = F.size(F.filter(F.coalesce(places, F.array().cast("array<int>")), lambda p, i: p == i))
-    others = sizes.select(F.col("place").alias("_place"), F.col("lang").alias("_other"), F.col("_penalty").alias("_other_penalty"))
-    judged = text_rows.withColumn("_place", first_lacking).join(others, "_place", "left")
-    costs = F.transform(
-        F.coalesce("_found", F.array().cast("array<struct<lang:string,place:int,_s:double,_penalty:double>>")),
-        lambda f: F.struct((F.col("_n") * f["_penalty"] - f["_s"]).alias("cost"), f["lang"].alias("lang")),
-    )
-    other = F.when(
-        F.col("_other").isNotNull(), F.struct((F.col("_n") * F.col("_other_penalty")).alias("cost"), F.col("_other").alias("lang"))
-    )
-    best = judged.select(
-        F.col(order).alias("_at"), F.array_min(F.concat(costs, F.array_compact(F.array(other))))["lang"].alias("lang")
-    )
-    return (
-        texts.select(order)
-        .join(best, F.col(order) == F.col("_at"), "left")
-        .select(order, F.coalesce("lang", F.lit(UNDETECTED)).alias("lang"))
-    )
+    parts = known.select(order, "_n", "_times", F.explode("logs").alias("l"))
+    sums = parts.groupBy(order, "l.lang").agg(F.sum(F.col("_times") * F.col("l.w")).alias("_s"), F.max("_n").alias("_n"))
+
+    def penalty(size: Column) -> Column:
+        return F.log(size + F.lit(float(model.vocabulary)))
+
+    sizes, fits = bounded_broadcast(model.sizes.select("lang", penalty(F.col("size")).alias("_penalty")))
+    priced = sums.join(sizes, "lang") if fits else salted_join(sums, sizes, ["lang"], hot_values(sums, ["lang"]), F.col(order))
+    cost = F.struct((F.col("_n") * F.col("_penalty") - F.col("_s")).alias("cost"), "lang")
+    best = priced.groupBy(F.col(order).alias("_at")).agg(F.min(cost).alias("_best"))
+    name, size = model.smallest
+    other = F.struct((F.col("_n") * penalty(F.lit(size))).alias("cost"), F.lit(name).alias("lang"))
+    judged = texts.select(order, n).join(best, F.col(order) == F.col("_at"), "left")
+    return judged.select(order, F.when(F.col("_n") > 0, F.least(F.col("_best"), other)["lang"]).otherwise(F.lit(UNDETECTED)).alias("lang"))
 
 
 def route_languages(

@@ -13,6 +13,7 @@ from textmill import schemas
 from textmill.functions.codec import compress, decompress
 from textmill.functions.text import strip, token_count
 from textmill.operators.dedupe import dedupe_bloom, digest, distinct_texts
+from textmill.operators.ledger import Ledger
 from textmill.plans import bounded_broadcast, global_rank, hot_values, materialize, range_bounds, running_sum, salted_join, spread
 from textmill.sources.tables import read_if_there
 
@@ -183,10 +184,8 @@ def filter_min_tokens(rows: DataFrame, minimum: int = 20) -> DataFrame:
     return rows.where(F.col("tok") > minimum)
 
 
-def migrate_archive(
-    source: DataFrame, target: DataFrame, tokens: str = "whitespace", bloom: dict | None = None
-) -> DataFrame:
-    """Rows to add to ``target``: texts of ``source``, once each, as ``archive``, bytes unchanged.
+def archive_candidates(source: DataFrame, tokens: str = "whitespace", bloom: dict | None = None) -> DataFrame:
+    """``(id, word, data, tok, compression_algo)``: texts of ``source``, once each, as ``archive``, bytes unchanged.
 
     ``bloom``: filter arguments to let a Bloom filter decide what has been seen.
     """
@@ -205,10 +204,22 @@ def migrate_archive(
         first = counted.groupBy(digest(F.col("text")).alias("_d")).agg(
             F.min("id").alias("_first"), F.min("tok").alias("tok")
         ).drop("_d")
-    ready = rows.drop("tok").join(first, F.col("id") == F.col("_first")).select(
+    return rows.drop("tok").join(first, F.col("id") == F.col("_first")).select(
         "id", F.lit(ARCHIVE).alias("word"), "data", "tok", "compression_algo"
     )
-    return insert_or_ignore(target, ready, ["data"], "id", long_keys=True)
+
+
+def migrate_archive(
+    source: DataFrame, target: DataFrame, tokens: str = "whitespace", bloom: dict | None = None
+) -> DataFrame:
+    """Rows of ``archive_candidates`` to add to ``target``."""
+    return insert_or_ignore(target, archive_candidates(source, tokens, bloom), ["data"], "id", long_keys=True)
+
+
+def load_archive(source: DataFrame, ledger: Ledger, run: str, tokens: str = "whitespace", bloom: dict | None = None) -> bool:
+    """Commit the rows of ``archive_candidates`` to a ledger, which numbers them anew."""
+    rows = archive_candidates(source, tokens, bloom).withColumnRenamed("id", "_order")
+    return ledger.commit(run, texts=rows)
 
 
 def archive_rows(texts: DataFrame, text: str, order: str, tokens: str = "whitespace", level: int = 9) -> DataFrame:

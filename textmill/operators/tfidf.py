@@ -132,18 +132,27 @@ def phrase_candidates(
     return spread(docs.select(doc, text)).select(doc, F.explode(phrases).alias("ngram"))
 
 
+def merged_frequency(frequency: DataFrame | None, added: DataFrame, text: str = "text") -> DataFrame:
+    """``(term, df)`` of a corpus that has grown by the texts of ``added``; the old texts are not read."""
+    delta = document_frequency(added, text)
+    return delta if frequency is None else frequency.unionByName(delta).groupBy("term").agg(F.sum("df").alias("df"))
+
+
 def rank_phrases(
     docs: DataFrame,
-    corpus: DataFrame,
+    corpus: DataFrame | None,
     min_score: float = 0.2,
     min_ngrams: int = 2,
     max_ngrams: int = 10,
     doc: str = "doc_id",
     text: str = "text",
     corpus_text: str = "text",
+    model: DataFrame | None = None,
 ) -> DataFrame:
     """``(doc, ngram, score, rank)`` of the phrases with ``score >= min_score``.
 
+    ``model``: the ``(term, df, idf)`` of a corpus, in place of the corpus.
+
     A text with fewer than ``min_ngrams`` phrases keeps all of them. Scores at or below
     ``min_score`` count as 0. Only phrases of up to three words can have a score, so with a
     positive ``min_score`` longer ones are listed just for texts that keep everything.
@@ -174,7 +183,7 @@ def rank_phrases(
     terms = rows.select(doc, "_few", F.explode(term_runs(F.col("_terms"), phrases)).alias("r")).select(
         doc, "_few", "r.term", "r.tf", F.col("r.mark").alias("phrase")
     )
-    model = idf(corpus, corpus_text)
+    model = idf(corpus, corpus_text) if model is None else model
     found = lookup_join(terms, model, key="term", weight="df", spread_by=doc, how="left")
     weighted = found.withColumn("_w", F.coalesce(F.col("tf") * F.col("idf"), F.lit(0.0))).drop("idf")
     norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(W.partitionBy(doc)))

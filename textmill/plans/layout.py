@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows of a lookup that every executor may hold; beyond it the join is shuffled.
+# Rows and bytes of a lookup that every executor may hold; beyond either the join is shuffled.
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 64 << 20
 # An input below this size per core has fewer splits than cores.
 SPLIT_BYTES = 128 << 20
 
@@ -19,10 +20,12 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if size < cores * SPLIT_BYTES else df
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Hint ``df`` for broadcast only when a count shows it has at most ``max_rows`` rows.
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+    """Hint ``df`` for broadcast only when its rows and the bytes of their values are counted and within the limits.
 
-    The count stops at the limit. Pass a written table (``materialize``) or a cheap scan.
+    The count stops at the limit of rows. Pass a written table (``materialize``) or a cheap scan.
     """
-    fits = df.limit(max_rows + 1).count() <= max_rows
+    size = F.octet_length(F.to_json(F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(df.columns)]))) if df.columns else F.lit(0)
+    found = df.limit(max_rows + 1).agg(F.count("*").alias("rows"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes")).first()
+    fits = found["rows"] <= max_rows and found["bytes"] <= max_bytes
     return (F.broadcast(df), True) if fits else (df, False)

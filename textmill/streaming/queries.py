@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from textmill import schemas
 from textmill.functions.text import strip, token_count
 from textmill.operators import dedupe, language, store
+from textmill.operators.ledger import Ledger
 from textmill.plans import materialize
 from textmill.sources.tables import read_if_there
 
@@ -82,6 +83,29 @@ def insert_sink(path: str, keys: tuple[str, ...] = ("data",)) -> Callable[[DataF
     return write
 
 
+def ledger_sink(ledger: Ledger, stream: str) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function: commit the new rows of each batch as run ``<stream>-<number>``.
+
+    A batch that comes again is known by its run. Stored texts are not read, only the touched part of the index.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        ledger.commit(f"{stream}-{number}", texts=batch.withColumn("_order", F.monotonically_increasing_id()))
+
+    return write
+
+
+def keyed_sink(path: str) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function for update mode: the changed rows of each batch, under its number; see ``latest_of``."""
+    return lambda batch, number: batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+
+def latest_of(rows: DataFrame, key: str) -> DataFrame:
+    """The newest row of each key among those of a ``keyed_sink``."""
+    values = F.struct(*[c for c in rows.columns if c not in (key, "batch")])
+    return rows.groupBy(key).agg(F.max_by(values, "batch").alias("_row")).select(key, "_row.*")
+
+
 def bloom_sink(
     path: str, bits: str, line: str = "line", order: str | None = None, **filter_args
 ) -> Callable[[DataFrame, int], None]:
