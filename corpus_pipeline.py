@@ -17,7 +17,7 @@ from textmill.llm import decontaminate, kit, ngram_join, pieces, secrets, toxici
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts, by the threshold of their language; trained on three folds of the labels."""
     model = toxicity.fit(docs, kit.tables(spark, sf_dir, "labels"), kit.fold(F.col("doc_id"), 4) != 2)
-    return toxicity.score(docs, model).where(~F.col("toxic_flag")).select(*docs.columns)
+    return toxicity.accepted(docs, model)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
