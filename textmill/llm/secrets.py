@@ -12,7 +12,7 @@ the text, so no text leaves its row. The interval join of parts and scopes is a
 of one text; its cost is linear in their number and no pairs are made. Only numbers are shuffled, by id
 and digest of the text; equal rows are counted before the shuffle and come back as often as they went in.
 
-Null and empty texts have no spans. Null ids form rows like others. Only named columns are read.
+A very long text costs time in proportion to its length and its matches. An empty table gives no rows. Null and empty texts have no spans. Null ids form rows like others. Only named columns are read.
 """
 
 from __future__ import annotations
@@ -20,8 +20,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from textmill.functions.text import let
 from textmill.llm import kit
 
+BLOCK = 4096  # code points; a text is cut into such blocks before its stretches are taken
 SCOPE = 256  # code points to either side of a span's start
 KINDS = ("assign", "access", "hex", "ident", "endpoint", "bare")  # the first three are the base, in this order
 # The patterns of the base kinds.
@@ -67,7 +69,9 @@ def scan(docs: DataFrame) -> DataFrame:
     own = ["doc_id", "digest"]
     none = F.array().cast("array<struct<kind:int,nr:int,gap:bigint,size:bigint,good:boolean>>")
     hits = F.concat(*(F.coalesce(measured(text, i), none) for i in range(len(KINDS))))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.md5(text.cast("binary")).alias("digest"), F.explode_outer(hits).alias("h")).select(*own, "h.*")
+    # the text ends here: what is exploded holds numbers alone
+    measures = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.md5(text.cast("binary")).alias("digest"), hits.alias("hits"))
+    rows = measures.select(*own, F.explode_outer("hits").alias("h")).select(*own, "h.*")
     rows = rows.groupBy(*own, "kind", "nr").agg(F.first("gap").alias("gap"), F.first("size").alias("size"), F.first("good").alias("good"), F.count(F.lit(1)).alias("copies"))
     so_far = Window.partitionBy(*own, "kind").orderBy("nr").rowsBetween(Window.unboundedPreceding, 0)
     spans = rows.withColumn("end", F.sum(F.col("gap") + F.col("size")).over(so_far)).withColumn("start", F.col("end") - F.col("size"))
@@ -116,34 +120,50 @@ def any_hit(text: Column) -> Column:
     return found
 
 
+def merged(spans: DataFrame) -> DataFrame:
+    """``__id, __key, __spans``: the spans of each text of ``scan``, overlapping ones as one (start, end), sorted."""
+    own = ["doc_id", "digest"]
+    each = spans.select(*own, F.explode("spans").alias("s")).select(*own, "s.start", "s.end", "s.kind").distinct()
+    line = Window.partitionBy(*own).orderBy("start", "kind")
+    begins = F.coalesce(F.col("start") >= F.max("end").over(line.rowsBetween(Window.unboundedPreceding, -1)), F.lit(True))
+    runs = each.withColumn("begins", begins.cast("int")).withColumn("run", F.sum("begins").over(line.rowsBetween(Window.unboundedPreceding, 0)))
+    whole = runs.groupBy(*own, "run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    return whole.groupBy(F.col("doc_id").alias("__id"), F.col("digest").alias("__key")).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("__spans"))
+
+
+def stretch(blocks: Column, start: Column, end: Column) -> Column:
+    """Code points ``start`` to ``end`` of a text given in blocks of ``BLOCK``."""
+    place = lambda x: F.floor(x / BLOCK).cast("int")
+    inside = lambda x: (x % BLOCK).cast("int")
+    first, last = place(start), place(end)
+    piece = F.substring(F.get(blocks, first), inside(start) + 1, (end - start).cast("int"))
+    rest = F.concat(
+        F.substring(F.get(blocks, first), inside(start) + 1, F.lit(BLOCK)),
+        F.array_join(F.slice(blocks, first + 2, last - first - 1), ""),
+        F.coalesce(F.substring(F.get(blocks, last), F.lit(1), inside(end)), F.lit("")),
+    )
+    return F.when(start >= end, "").when(first == last, piece).otherwise(rest)
+
+
 def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with each reported span replaced by ``mark`` and ``n_chars`` counted anew; other texts and all columns stay.
 
-    Only texts with a possible hit are joined with their spans; overlapping spans become one.
+    Only texts with a possible hit are joined with their spans; overlapping spans become one. The stretches between spans are
+    joined once, so the cost is linear in the text and its spans.
     """
     columns = docs.columns
     hit = docs.where(any_hit(F.col("text"))).withColumn("__digest", F.md5(F.col("text").cast("binary")))
-    spans = scan(hit.select("doc_id", "text")).distinct().select(F.col("doc_id").alias("__id"), F.col("digest").alias("__key"), F.col("spans").alias("__spans"))
-    both = hit.join(spans, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__digest") == F.col("__key")))
-    text = F.col("text")
-    state = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
-    walked = F.aggregate(
-        F.col("__spans"),
-        state,
-        lambda a, s: F.when(s["end"] <= a["at"], a).otherwise(
-            F.struct(
-                s["end"].alias("at"),
-                F.when(s["start"] < a["at"], a["out"])
-                .otherwise(F.concat(a["out"], F.substring(text, (a["at"] + 1).cast("int"), (s["start"] - a["at"]).cast("int")), F.lit(mark)))
-                .alias("out"),
-            )
-        ),
-        lambda a: F.concat(a["out"], F.substring(text, (a["at"] + 1).cast("int"), F.length(text))),
-    )
-    cleaned = both.withColumn("text", F.when(F.size("__spans") > 0, walked).otherwise(text))
+    spans = merged(scan(hit.select("doc_id", "text")))
+    both = hit.join(spans, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__digest") == F.col("__key")), "left")
+    number = F.size("__spans")
+    begin = lambda i: F.when(i == 0, F.lit(0).cast("long")).otherwise(F.get("__spans", i - 1)["end"])
+    end = lambda i: F.when(i == number, F.length("text").cast("long")).otherwise(F.get("__spans", i)["start"])
+    blocks = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+    walked = let(blocks, lambda own: F.array_join(F.transform(F.sequence(F.lit(0), number), lambda i: stretch(own, begin(i), end(i))), mark))
+    cleaned = both.withColumn("text", F.when(F.col("__spans").isNotNull(), walked).otherwise(F.col("text")))
     if "n_chars" in columns:
         kind = dict(docs.dtypes)["n_chars"]
-        cleaned = cleaned.withColumn("n_chars", F.when(F.size("__spans") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+        cleaned = cleaned.withColumn("n_chars", F.when(F.col("__spans").isNotNull(), F.length("text").cast(kind)).otherwise(F.col("n_chars")))
     return docs.where(~any_hit(F.col("text"))).select(*columns).unionByName(cleaned.select(*columns))
 
 
