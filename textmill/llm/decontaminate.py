@@ -9,9 +9,11 @@ its parent up by Myers' bit-parallel distance and mostly falls at once. At the r
 the hits that are left (those that lie close together share it) decides. Every occurrence within the budget is found.
 
 Items are taken in blocks of at most ``BLOCK_ITEMS`` items and ``BLOCK_CHARS`` characters; only one block is held by the
-driver and sent to the tasks at a time, and each block is one pass over the documents, so neither grows with the benchmark. Documents
-are never shuffled. An item under ``LEAST_CHARS`` characters after normalising is no evidence and takes no part; null
-and empty texts match nothing; repeated rows give repeated results; only the named columns are read.
+driver and sent to the tasks at a time, its matches are written before the next, and each block is one pass over the documents, so neither grows
+with the benchmark. Documents are never shuffled. An item under ``LEAST_CHARS`` characters after normalising has budget 0 and must not begin or
+end inside a word (scripts without spaces have no such places); an item without any text takes no part. Null and empty texts match
+nothing; very long texts are searched whole; of equally good places the first counts; repeated rows, of documents or items, give repeated
+results; an empty table gives none; only the named columns are read.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from pyspark.sql import functions as F
 from textmill.llm import kit
 
 RATE = 0.1
-LEAST_CHARS = 40
+LEAST_CHARS = 40  # shorter items must stand whole
 BLOCK_ITEMS = 10_000
 BLOCK_CHARS = 8_000_000
 SCHEMA = "doc_id long, item_id long, distance int, start int, stop int"
@@ -89,14 +91,26 @@ def best_end(peq: dict[str, int], size: int, text: str, limit: int) -> tuple[int
     return (best, at) if at >= 0 else None
 
 
+def in_word(c: str) -> bool:
+    """Whether a character may be inside a word of a script that sets words apart."""
+    return c.isalnum() and ord(c) < 0x2E80 and not 0x0E00 <= ord(c) < 0x1100
+
+
+def stands_alone(text: str, start: int, end: int) -> bool:
+    """Whether a stretch neither begins nor ends inside a word."""
+    cuts = [p for p in (start, end) if 0 < p < len(text)]
+    return not any(in_word(text[p - 1]) and in_word(text[p]) for p in cuts)
+
+
 class Items:
     """One block of items: automaton of pieces, and the masks for verification."""
 
-    def __init__(self, items: list[tuple[int, str]], rate: float) -> None:
+    def __init__(self, items: list[tuple[int, str]], rate: float, least: int = LEAST_CHARS) -> None:
         import ahocorasick
 
+        self.least = least
         self.texts = [(i, normalised(t)) for i, t in items]
-        self.budgets = [int(rate * len(t)) for _, t in self.texts]
+        self.budgets = [int(rate * len(t)) if len(t) >= least else 0 for _, t in self.texts]
         self.masks: dict[tuple[int, int, int], dict[str, int]] = {}
         wanted: dict[str, list[tuple[int, int, list]]] = defaultdict(list)
         for n, (_, text) in enumerate(self.texts):
@@ -146,18 +160,20 @@ class Items:
         if self.empty:
             return
         found: dict[int, list[int]] = defaultdict(list)
-        exact: set[int] = set()
+        exact: dict[int, int] = {}
         for end, (size, owners) in self.automaton.iter(text):
             for n, place, chain in owners:
                 at = end + 1 - size - place  # where the item would start
                 if n in exact:
                     continue
-                if at >= 0 and text.startswith(self.texts[n][1], at):
-                    exact.add(n)
+                if len(self.texts[n][1]) < self.least:
+                    if stands_alone(text, at, end + 1):
+                        exact[n] = at
+                elif at >= 0 and text.startswith(self.texts[n][1], at):
+                    exact[n] = text.find(self.texts[n][1])
                 elif self.stands(n, at, chain, text):
                     found[n].append(at)
-        for n in exact:
-            first = text.find(self.texts[n][1])
+        for n, first in exact.items():
             yield n, 0, first, first + len(self.texts[n][1])
         for n, starts in found.items():
             if n in exact:
@@ -209,13 +225,12 @@ def best_length(peq: dict[str, int], size: int, text: str, distance: int) -> int
 
 
 def blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
-    """The usable items, in blocks of bounded size; equal normalised texts stay separate items."""
-    text = F.trim(F.regexp_replace(F.lower(F.coalesce(F.col("text"), F.lit(""))), r"\s+", " "))
-    usable = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where(F.length(text) >= LEAST_CHARS // 2)
+    """The items with any text, in blocks of bounded size; equal normalised texts stay separate items."""
+    usable = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where(F.length("text") > 0)
     block: list[tuple[int, str]] = []
     spent = 0
     for row in usable.toLocalIterator():
-        if len(normalised(row["text"])) < LEAST_CHARS:
+        if not normalised(row["text"]):
             continue
         if block and (len(block) >= BLOCK_ITEMS or spent + len(row["text"]) > BLOCK_CHARS):
             yield block
@@ -226,11 +241,11 @@ def blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
         yield block
 
 
-def matches_of(docs: DataFrame, block: list[tuple[int, str]], rate: float) -> DataFrame:
-    sent = docs.sparkSession.sparkContext.broadcast(block)
+def matches_of(docs: DataFrame, sent, rate: float, least: int) -> DataFrame:
+    """The matches of one block of items, ``sent`` to all tasks."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items = Items(sent.value, rate)
+        items = Items(sent.value, rate, least)
         for batch in batches:
             for part in kit.slices(batch):
                 out: list[tuple] = []
@@ -251,17 +266,31 @@ def matches_of(docs: DataFrame, block: list[tuple[int, str]], rate: float) -> Da
 
 def find_items(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFrame:
     """doc_id, item_id, distance, start, stop: the best occurrence of every item in every text that holds it within its budget."""
-    found = [matches_of(docs, block, rate) for block in blocks(benchmark)]
-    return reduce(DataFrame.unionAll, found) if found else docs.sparkSession.createDataFrame([], SCHEMA)
+    spark, folder, found = docs.sparkSession, None, []
+    for number, block in enumerate(blocks(benchmark)):
+        folder = folder or kit.scratch(spark)
+        sent = spark.sparkContext.broadcast(block)
+        found.append(kit.written(matches_of(docs, sent, rate, LEAST_CHARS), folder, str(number)))
+        sent.destroy()  # before the next one is made
+    return reduce(DataFrame.unionAll, found) if found else spark.createDataFrame([], SCHEMA)
 
 
 def without_items(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFrame:
-    """``docs`` without the rows whose text holds an item within its budget, tested inside each row (no join)."""
-    for block in blocks(benchmark):
-        sent = docs.sparkSession.sparkContext.broadcast(block)
+    """``docs`` without the rows whose text holds an item within its budget, tested inside each row (no join).
+
+    With several blocks what each one keeps is written for the next, and only that is read.
+    """
+    spark, folder, before, least = docs.sparkSession, None, None, LEAST_CHARS
+    for number, block in enumerate(blocks(benchmark)):
+        if before is not None:
+            folder = folder or kit.scratch(spark)
+            docs = kit.written(docs, folder, str(number))
+            before.destroy()
+            kit.keep_only(spark, folder, (str(number),))
+        before = sent = spark.sparkContext.broadcast(block)
 
         def rows(batches, sent=sent):
-            items = Items(sent.value, rate)
+            items = Items(sent.value, rate, least)
             for batch in batches:
                 for part in kit.slices(batch):
                     texts = part.column(part.schema.get_field_index("text")).to_pylist()
