@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textmill.llm import kit
+from textmill.plans import bounded_broadcast, hot_values, salted_join
 
 LEAST_DOCS = 30
 SCALE = 1_000_000_000
@@ -184,7 +185,8 @@ def audit(docs: DataFrame, least: int = LEAST_DOCS, top: int = TERMS) -> DataFra
     groups = kit.written(groups, folder, "groups")
 
     # part term: the first `top` of each group
-    used = rows.join(groups.select("lang", "source", "total", "lang_total"), ["lang", "source"])
+    own, hot = ["lang", "source"], hot_values(rows, ["lang", "source"])
+    used = salted_join(rows, groups.select("lang", "source", "total", "lang_total"), own, hot, F.col("term"))
     excess = used.withColumn("value", share("n", "total") - share("of_lang", "lang_total")).where("value > 0")
     best = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "term")
     terms = excess.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
@@ -194,12 +196,16 @@ def audit(docs: DataFrame, least: int = LEAST_DOCS, top: int = TERMS) -> DataFra
     blocks = F.greatest(F.lit(1), F.ceil(F.col("terms") / BLOCK)).cast("long")
     tiles = F.ceil(F.col("sources") / TILE).cast("long")
     spot = Window.partitionBy("lang", "block").orderBy(F.desc("of_lang"), "term")
-    placed = kept.join(vocab.select("lang", "terms"), "lang").select("lang", "term", "of_lang", F.pmod(F.xxhash64("term"), blocks).alias("block"))
+    sizes_of, fits = bounded_broadcast(kit.written(vocab.select("lang", "terms"), folder, "vocab"))
+    placed = kept.join(sizes_of, "lang") if fits else salted_join(kept, sizes_of, ["lang"], hot_values(kept, ["lang"]), F.col("term"))
+    placed = placed.select("lang", "term", "of_lang", F.pmod(F.xxhash64("term"), blocks).alias("block")).repartition("lang", "block")
     placed = kit.written(placed.select("lang", "term", "block", (F.row_number().over(spot) - 1).alias("place")), folder, "places")
     sizes = placed.groupBy("lang", "block").agg(F.count("*").alias("size"))
     members = groups.where("terms > 0 and sources > 1").select("lang", "source", "total", tiles.alias("tiles"), F.pmod(F.xxhash64("source", F.lit(1)), tiles).alias("tile"))
-    heads = members.join(sizes, "lang").select("lang", "source", "tile", "tiles", "total", "block", "size", F.lit(-1).alias("place"), none.alias("n"))
-    cells = rows.select("lang", "source", "term", "n").join(placed, ["lang", "term"]).join(members.select("lang", "source", "tile", "tiles"), ["lang", "source"])
+    hot_lang = hot_values(groups, ["lang"])
+    heads = salted_join(members, sizes, ["lang"], hot_lang, F.col("source")).select("lang", "source", "tile", "tiles", "total", "block", "size", F.lit(-1).alias("place"), none.alias("n"))
+    cells = rows.select("lang", "source", "term", "n").join(placed, ["lang", "term"])
+    cells = salted_join(cells, members.select("lang", "source", "tile", "tiles"), own, hot, F.col("term"))
     cells = cells.select("lang", "source", "tile", "tiles", none.alias("total"), "block", none.alias("size"), "place", "n")
     others = F.sequence(none, F.col("tiles") - 1)  # every pair of tiles meets once
     cell = F.transform(others, lambda t: F.struct(F.least(t, F.col("tile")).alias("one"), F.greatest(t, F.col("tile")).alias("two")))
@@ -208,7 +214,7 @@ def audit(docs: DataFrame, least: int = LEAST_DOCS, top: int = TERMS) -> DataFra
     priced = dealt.groupBy("lang", "block", "one", "two").applyInPandas(price_block, "lang string, source string, item string, value long")
     sums = kit.written(priced.groupBy("lang", "source", "item").agg(F.sum("value").alias("value")), folder, "pairs")
     kit.keep_only(spark, folder, ("rows", "groups", "pairs"))
-    every = groups.select("lang", "source").join(groups.select("lang", F.col("source").alias("item")), "lang").where(F.col("source") != F.col("item"))  # as many as the result has
+    every = salted_join(groups.select("lang", "source"), groups.select("lang", F.col("source").alias("item")), ["lang"], hot_lang, F.col("source")).where(F.col("source") != F.col("item"))  # as many as the result has
     both = sums.unionByName(sums.select("lang", F.col("item").alias("source"), F.col("source").alias("item"), "value"))
     pairs = every.join(both, ["lang", "source", "item"], "left").select("lang", "source", "item", F.coalesce("value", F.lit(0).cast("long")).alias("value"))
     nearest = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
