@@ -7,9 +7,10 @@ sum is the main subtree; the smallest density on its path up to the body is the
 nodes count as content too, each by the subtree with the largest sum below it.
 
 Menus, site headers, footers, asides, forms, hidden parts, adverts, notices and reader comments are left out before anything is counted, by
-tag, role or class. Inside an article only clear marks (adverts, comments, hidden parts) do so at once; other marked containers are judged by
-their share of links and their density, and ids of headings, spans and sections (slugs of titles) and marks of single paragraphs mean
-nothing. Other blocks inside a chosen subtree are all kept, however short. Character references are decoded, white
+tag, role or class. Ids of headings, spans, sections and paragraphs (slugs of titles) mean nothing, and of their classes only marks of adverts, comments, consent and the
+like do. Inside an article only clear marks (adverts, comments, hidden parts) leave out a part at once; other marked containers are judged by
+their share of links and their density. Other blocks inside a chosen subtree are all kept, however short. Of equally dense subtrees the first in the page
+counts; repeated rows give repeated results. Character references are decoded, white
 space inside a block becomes one space, blocks are joined by an empty line.
 
 Each row is handled alone (no shuffle), in time linear in its length. Null and empty pages and pages without
@@ -35,7 +36,7 @@ REST = re.compile(r"""(?>=\s*"[^"]*"|=\s*'[^']*'|[^>=]++|=)*+>""")
 ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)|(?=[\s/>]))""", re.IGNORECASE)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 UNREAD = frozenset("script style noscript iframe template textarea title xmp noembed noframes".split())
-LEFT_OUT = frozenset("head nav aside footer form button select option label fieldset dialog menu svg canvas object audio video math map datalist".split())
+LEFT_OUT = frozenset("head nav aside footer form button select option fieldset dialog menu svg canvas object audio video map datalist".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar note".split())
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
@@ -55,7 +56,9 @@ MARKS = frozenset(
 KEPT_NAMES = frozenset(["html", "body", "main", "article", "h1"])
 COMMENT_MARKS = frozenset(["comment", "comments", "reply", "respond", "hidden", "ad", "advert", "sponsored", "related", "promo"])
 #: Marks that no article text has, inside an article too.
-CLEAR_MARKS = COMMENT_MARKS | frozenset("commentlist disqus replies ads advertisement advertising adsense".split()) - {"related", "promo"}
+CLEAR_MARKS = (COMMENT_MARKS | frozenset("commentlist disqus ads advertisement advertising adsense".split())) - {"related", "promo", "reply", "respond"}
+#: Marks by which a single heading, paragraph or the like is no article text, outside an article.
+TEXT_MARKS = CLEAR_MARKS | frozenset("cookie cookies consent gdpr newsletter subscribe subscription paywall breadcrumb breadcrumbs pagination copyright skip sponsor promo".split())
 CONTAINERS = frozenset("div ul ol dl table section figure center".split())
 UNMARKED_IDS = frozenset("h1 h2 h3 h4 h5 h6 span section p a b i em strong li dt dd td th blockquote pre code".split())
 
@@ -85,6 +88,8 @@ def is_left_out(name: str, attributes: str, in_article: bool) -> bool:
     marks = COMMENT_MARKS if name in KEPT_NAMES else MARKS
     if in_article and name not in KEPT_NAMES:
         marks = COMMENT_MARKS if name == "header" else CLEAR_MARKS
+    elif name in UNMARKED_IDS and name not in CONTAINERS:
+        marks = TEXT_MARKS
     for key, value in ATTRIBUTE.findall(attributes):
         key, value = key.lower(), value.strip("\"'").lower()
         if key == "hidden" or (key == "aria-hidden" and value == "true"):
@@ -95,7 +100,7 @@ def is_left_out(name: str, attributes: str, in_article: bool) -> bool:
         elif key == "role":
             if value in ROLES:
                 return True
-        elif key == "id" and in_article and name in UNMARKED_IDS:
+        elif key == "id" and name in UNMARKED_IDS:  # mostly a slug of a title
             if name == "section" and value in ("comments", "respond", "disqus_thread"):  # the usual ids of comment parts, whole
                 return True
         elif name not in ("html", "body") and not marks.isdisjoint(words_in(value)):
@@ -209,8 +214,8 @@ class Page:
                 self.add_text("<")
                 at = sign + 1
 
-    def chosen(self) -> list[bool]:
-        """For each node, whether it lies in a chosen subtree."""
+    def measured(self) -> tuple[list[int], list[int], list[float], list[float]]:
+        """Of each node: characters and linked characters below it, composite density, and the sum of its children's densities."""
         count = len(self.parent)
         chars, linked, tags, link_tags = [0] * count, [0] * count, [0] * count, [0] * count
         for node, text in self.runs:
@@ -236,7 +241,12 @@ class Page:
         for node in range(count - 1, 0, -1):
             total[self.parent[node]] += density[node]
             inner[self.parent[node]] = True
-        total = [s if i else d for s, i, d in zip(total, inner, density)]
+        return chars, linked, density, [s if i else d for s, i, d in zip(total, inner, density)]
+
+    def chosen(self) -> list[bool]:
+        """For each node, whether it lies in a chosen subtree."""
+        count = len(self.parent)
+        chars, linked, density, total = self.measured()
         best, top = list(range(count)), total[:]  # of each subtree
         for node in range(count - 1, 0, -1):
             if top[node] > top[self.parent[node]] or (top[node] == top[self.parent[node]] and total[node] == top[node] and best[self.parent[node]] != self.parent[node]):
