@@ -250,6 +250,7 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column) -> dict:
     known = labels.where(F.col("quality").isin(0, 1) & allowed).groupBy("doc_id").agg(F.max("quality").cast("int").alias("label"))
     sample = known.withColumn("place", F.xxhash64("doc_id")).orderBy("place", "doc_id").limit(TRAIN_ROWS)  # narrow rows, few enough to broadcast
     rows = feature_rows(docs.join(F.broadcast(sample), "doc_id").select("text", "label", "place"), ["label", "place"])
+    rows = rows.orderBy("place", "label", F.xxhash64("features")).limit(TRAIN_ROWS)  # an id may stand many times
 
     def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         parts = [b for b in batches if len(b)]
