@@ -158,7 +158,8 @@ def price_block(frame: pd.DataFrame) -> pd.DataFrame:
     first, second = np.where(names[left] < names[right], left, right), np.where(names[left] < names[right], right, left)
     value = divergences(counts, size, totals, left, right) if len(left) else np.zeros(0, np.int64)
     lang = heads["lang"].iloc[0]
-    return pd.DataFrame({"lang": [lang] * len(left), "source": names[first], "item": names[second], "value": value})
+    plain = lambda x: pd.Series(x, dtype=object)  # noqa: E731 - empty text columns too
+    return pd.DataFrame({"lang": plain([lang] * len(left)), "source": plain(names[first]), "item": plain(names[second]), "value": value})
 
 
 def share(n, total):
