@@ -66,13 +66,13 @@ def detect(texts: DataFrame, model: LanguageModel, text: str = "text", order: st
         "gram", "total", F.transform("counts", lambda c: F.struct(c["lang"].alias("lang"), F.log1p(c["n"]).alias("w"))).alias("logs")
     )
     n = F.greatest(F.length(F.lower(F.col(text))) - (GRAM - 1), F.lit(0)).cast("long").alias("_n")
-    split = spread(texts.select(order, text))
+    split = spread(texts.select(order, text)).select(order, text, n)  # counted before the text is exploded
     if model.bytes <= BROADCAST_BYTES:
         # Nothing is shuffled before the sums, so counting inside the text would only add sorts.
-        rows = split.select(order, n, F.explode(_grams(F.col(text))).alias("gram"), F.lit(1).alias("_times"))
+        rows = split.select(order, "_n", F.explode(_grams(F.col(text))).alias("gram"), F.lit(1).alias("_times"))
         known = rows.join(F.broadcast(logs.drop("total")), "gram")
     else:
-        counted = split.select(order, n, F.explode(term_runs(_grams(F.col(text)))).alias("r"))
+        counted = split.select(order, "_n", F.explode(term_runs(_grams(F.col(text)))).alias("r"))
         rows = counted.select(order, "_n", F.col("r.term").alias("gram"), F.col("r.tf").alias("_times"))
         known = lookup_join(rows, logs, "gram", "total", order)
     parts = known.select(order, "_n", "_times", F.explode("logs").alias("l"))
