@@ -3,8 +3,8 @@
 Options: ``path`` (a file, or a folder of ``*.db`` files, reachable by every executor),
 ``table`` (``texts``, ``prompts`` or ``prompt_responses``), ``rows`` (row numbers per partition).
 
-Partitions are ranges of SQLite's row numbers, which every such store has; a store without ``id`` gives them as its ids. With
-``spark.sql.python.filterPushdown.enabled`` comparisons of ``id`` with a number reach SQLite, and partitions outside them are not made.
+Partitions are ranges of SQLite's row numbers, which every such store has; a store without ``id`` gives them as its ids. With the
+option ``push`` (Spark then wants ``spark.sql.python.filterPushdown.enabled``) comparisons of ``id`` with a number reach SQLite, and partitions outside them are not made.
 """
 
 from __future__ import annotations
@@ -60,14 +60,6 @@ class StoreReader(DataSourceReader):
         self.table = STORED.get(options["table"], options["table"])
         self.tests: list[tuple[str, int]] = []  # comparisons of the id
 
-    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
-        for test in filters:
-            sign = COMPARED.get(type(test))
-            if sign and test.attribute == ("id",) and isinstance(test.value, int):
-                self.tests.append((sign, test.value))
-            else:
-                yield test
-
     def _files(self) -> list[str]:
         path = self.options["path"]
         return sorted(glob.glob(os.path.join(path, "*.db"))) if os.path.isdir(path) else [path]
@@ -100,6 +92,16 @@ class StoreReader(DataSourceReader):
                 yield tuple(_value(v, f.dataType) for v, f in zip(row, self.schema.fields))
 
 
+class PushingReader(StoreReader):
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
+        for test in filters:
+            sign = COMPARED.get(type(test))
+            if sign and test.attribute == ("id",) and isinstance(test.value, int):
+                self.tests.append((sign, test.value))
+            else:
+                yield test
+
+
 class StoreSource(DataSource):
     SCHEMAS = TABLES
 
@@ -117,7 +119,8 @@ class StoreSource(DataSource):
         return table
 
     def reader(self, schema: StructType) -> StoreReader:
-        return StoreReader(schema, {**dict(self.options), "table": self._table()})
+        kind = PushingReader if str(self.options.get("push", "")).lower() == "true" else StoreReader
+        return kind(schema, {**dict(self.options), "table": self._table()})
 
 
 def register(spark: SparkSession) -> None:
