@@ -38,6 +38,7 @@ WIDTHS = (1, 2, 3)
 TRAIN_ROWS = 12_000  # labelled rows a model is fitted on, at most
 TRAIN_WORDS = 6_000_000  # words of those rows, at most; longer samples end before this row
 ROW_WORDS = TRAIN_WORDS // 100  # a longer row is left out of the fit, alone
+STEP_WORDS = 1 << 17  # words handled at once outside the batches
 PARTS = 3  # of the sample, each scored by a network fitted on the others
 BINS, STEP = 1024, 1 / 32  # log-odds of a score in steps from -16 to 16
 BATCH, EPOCHS, MORE = 64, 8, 100  # a network takes EPOCHS / BATCH steps a row and MORE steps
@@ -102,20 +103,35 @@ class Network:
         return best, at
 
     def odds(self, numbers: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        return self.pooled(self.vectors(numbers), bounds)[0].astype(np.float64) @ self.out + self.bias + self.shift
+        found = [np.zeros(0)]
+        for first, last in runs_of(bounds):
+            best = self.pooled(self.vectors(numbers[bounds[first] : bounds[last]]), bounds[first : last + 1] - bounds[first])[0]
+            found.append(best.astype(np.float64) @ self.out + self.bias + self.shift)
+        return np.concatenate(found)
 
     def scores(self, numbers: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.odds(numbers, bounds), -40, 40)))
 
 
+def runs_of(bounds: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Runs of texts (first, last + 1) of at most ``STEP_WORDS`` words, one text at least."""
+    first = 0
+    while first < len(bounds) - 1:
+        last = max(first + 1, int(np.searchsorted(bounds, bounds[first] + STEP_WORDS, "right")) - 1)
+        yield first, last
+        first = last
+
+
 def start_from_counts(net: Network, numbers: np.ndarray, bounds: np.ndarray, labels: np.ndarray) -> None:
     """Begin with one direction of the embedding that holds each bucket's smoothed log-odds over texts."""
-    rows = np.repeat(np.arange(len(labels)), np.diff(bounds))
     held = np.zeros((2, BUCKETS))
-    for column in range(3):
-        pairs = np.unique(rows * BUCKETS + numbers[:, column])
-        for label in (0, 1):
-            held[label] += np.bincount(pairs[labels[pairs // BUCKETS] == label] % BUCKETS, minlength=BUCKETS)
+    for first, last in runs_of(bounds):  # texts are counted apart, so a few of them at a time do
+        rows = np.repeat(np.arange(first, last), np.diff(bounds[first : last + 1]))
+        words = numbers[bounds[first] : bounds[last]]
+        for column in range(3):
+            pairs = np.unique(rows * BUCKETS + words[:, column])
+            for label in (0, 1):
+                held[label] += np.bincount(pairs[labels[pairs // BUCKETS] == label] % BUCKETS, minlength=BUCKETS)
     share = held.sum(0)
     rate = labels.mean()
     lift = np.log((held[1] + 2 * rate) / (share + 2) / rate) - np.log((held[0] + 2 * (1 - rate)) / (share + 2) / (1 - rate))
