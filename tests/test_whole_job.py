@@ -1,6 +1,7 @@
 """Registered queries on small tables of their own."""
 
 from textmill.catalog import files as file_queries
+from textmill.catalog import phrases as phrase_queries
 
 
 def test_every_turn_is_a_file_of_its_own(spark, tmp_path):
@@ -8,3 +9,18 @@ def test_every_turn_is_a_file_of_its_own(spark, tmp_path):
     spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
     found = file_queries.QUERIES["read_whole_files"](spark, str(tmp_path)).collect()
     assert sorted(map(tuple, found), key=repr) == sorted([(c, t, x) for c, t, _, x in rows], key=repr)
+
+
+def test_phrases_are_counted_without_sorting_them(spark, tmp_path):
+    rows = [(1, "b a b a c"), (1, "a z"), (2, "one"), (3, None), (4, "x y x y x y")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = phrase_queries.QUERIES["phrase_candidates"](spark, str(tmp_path))
+    assert "SortAggregate" not in found._jdf.queryExecution().sparkPlan().toString().split("Generate")[1].split("HashAggregate")[0]
+    counts = {}
+    for doc, text in rows:
+        words = (text or "").split()
+        grams = {" ".join(words[i : i + n]) for n in range(2, 11) for i in range(len(words) - n + 1)}
+        counts[doc] = counts.get(doc, []) + sorted(grams)
+    assert {r.doc_id: (r.n_phrases, r.n_chars, r.first_phrase, r.last_phrase) for r in found.collect()} == {
+        doc: (len(g), sum(map(len, g)), min(g), max(g)) for doc, g in counts.items() if g
+    }

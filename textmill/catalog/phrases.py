@@ -14,10 +14,14 @@ def _docs(spark, folder):
 
 
 def _phrase_summary(spark, folder):
+    """Strings kept by an aggregate make Spark sort its input, so all phrases but the edges of a text are counted under NULL first."""
     found = tfidf.phrase_candidates(_docs(spark, folder))
-    return found.groupBy("doc_id").agg(
-        F.count("*").alias("n_phrases"),
-        F.sum(F.length("ngram")).alias("n_chars"),
+    counted = found.groupBy("doc_id", F.when(F.col("edge"), F.col("ngram")).alias("ngram")).agg(
+        F.count("*").alias("n"), F.sum(F.length("ngram")).alias("chars")
+    )
+    return counted.groupBy("doc_id").agg(
+        F.sum("n").alias("n_phrases"),
+        F.sum("chars").alias("n_chars"),
         F.min("ngram").alias("first_phrase"),
         F.max("ngram").alias("last_phrase"),
     )

@@ -127,9 +127,16 @@ def tfidf_scores(
 def phrase_candidates(
     docs: DataFrame, min_ngrams: int = 2, max_ngrams: int = 10, doc: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """``(doc, ngram)``: every distinct white-space phrase of ``min_ngrams``..``max_ngrams`` words."""
-    phrases = phrase_array(F.col(text), min_ngrams, max_ngrams)
-    return spread(docs.select(doc, text)).select(doc, F.explode(phrases).alias("ngram"))
+    """``(doc, ngram, edge)``: every distinct white-space phrase of ``min_ngrams``..``max_ngrams`` words.
+
+    ``edge`` marks the first and the last phrase of a text in order: a smallest or largest phrase is one of them, so
+    extremes need not be kept for each row.
+    """
+    rows = spread(docs.select(doc, text)).select(doc, phrase_array(F.col(text), min_ngrams, max_ngrams).alias("_all"))
+    ends = rows.select(doc, "_all", F.array_min("_all").alias("_first"), F.array_max("_all").alias("_last"))
+    # Of a plain explode Spark infers a filter on the array, which it would build once more below the exchange for that.
+    found = ends.select(doc, "_first", "_last", F.explode_outer("_all").alias("ngram")).where(F.col("ngram").isNotNull())
+    return found.select(doc, "ngram", ((F.col("ngram") == F.col("_first")) | (F.col("ngram") == F.col("_last"))).alias("edge"))
 
 
 def merged_frequency(frequency: DataFrame | None, added: DataFrame, text: str = "text") -> DataFrame:
