@@ -1,5 +1,6 @@
 """Registered queries on small tables of their own."""
 
+from textmill.catalog import columns as column_queries
 from textmill.catalog import files as file_queries
 from textmill.catalog import phrases as phrase_queries
 
@@ -24,3 +25,17 @@ def test_phrases_are_counted_without_sorting_them(spark, tmp_path):
     assert {r.doc_id: (r.n_phrases, r.n_chars, r.first_phrase, r.last_phrase) for r in found.collect()} == {
         doc: (len(g), sum(map(len, g)), min(g), max(g)) for doc, g in counts.items() if g
     }
+
+
+def test_lateral_ngrams_are_grouped_by_text(spark, tmp_path):
+    rows = [(1, "b a b a b"), (1, "a b z"), (2, "one"), (3, None), (4, "x y x y x y"), (None, "n n"), (None, "n m")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = column_queries.QUERIES["ngrams_lateral"](spark, str(tmp_path))
+    assert "Join Inner" not in found._jdf.queryExecution().optimizedPlan().toString()  # no join on the text
+    grams = {}
+    for doc, text in rows:
+        words = (text or "").split()
+        grams.setdefault(doc, []).extend(" ".join(words[i : i + n]) for n in (1, 2, 3) for i in range(len(words) - n + 1))
+    assert {r.doc_id: (r.n_grams, r.n_distinct, r.first_gram, r.last_gram) for r in found.collect()} == {
+        doc: (len(g), len(set(g)), min(g), max(g)) for doc, g in grams.items() if g
+    }

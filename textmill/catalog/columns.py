@@ -80,11 +80,21 @@ WORDS = udf.tokenizer_count(lambda text: [x for x in text.split(" ") if x])
 
 
 def _lateral(spark, folder):
-    """The SQL table function over every text."""
+    """The SQL table function over every text.
+
+    Texts are not grouped by n-gram: only edges are, and all n-grams of an id that has several rows.
+    """
     udf.register(spark)
     return spark.sql(
-        """select doc_id, count(*) as n_grams, count(distinct ngram) as n_distinct, min(ngram) as first_gram, max(ngram) as last_gram
-           from {docs} d, lateral tm_ngrams(d.text, 1, 3) group by doc_id""",
+        """with d as (
+               select {docs}.doc_id, text, several is not null as several
+               from {docs} left join (select doc_id, true as several from {docs} group by doc_id having count(*) > 1) r on {docs}.doc_id <=> r.doc_id),
+           counted as (
+               select doc_id, several, case when several or is_edge then ngram end as gram, count(*) as n, count_if(is_first) as n_first
+               from (select doc_id, several, grams from d, lateral tm_ngram_rows(d.text, 1, 3)) lateral view outer inline(grams) g as ngram, is_first, is_edge
+               where ngram is not null group by 1, 2, 3)
+           select doc_id, sum(n) as n_grams, sum(if(several, 1L, n_first)) as n_distinct, min(gram) as first_gram, max(gram) as last_gram
+           from counted group by doc_id""",
         docs=_docs(spark, folder).select("doc_id", "text"),
     )
 

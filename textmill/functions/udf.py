@@ -57,8 +57,20 @@ return select explode(flatten(transform(
 from (select filter(split(content, r'(?U)[\s\x1c-\x1f]+', -1), x -> x <> '') as w)
 """
 
+# One row for a text, so that Spark takes it as a column of that text; the rows of ``tm_ngrams`` it joins back by the whole text.
+# N-grams come sorted, equal ones are neighbours: ``is_first`` marks one of each, ``is_edge`` the smallest and the largest.
+NGRAM_ROWS_SQL = r"""
+create or replace temporary function tm_ngram_rows(content string, low int, high int) returns table(grams array<struct<ngram string, is_first boolean, is_edge boolean>>)
+return select get(transform(array(filter(split(content, r'(?U)[\s\x1c-\x1f]+', -1), x -> x <> '')), w ->
+    get(transform(array(sort_array(flatten(transform(
+        filter(sequence(least(low, size(w)), least(high, size(w))), n -> n >= low and n > 0),
+        n -> transform(sequence(0, size(w) - n), i -> array_join(slice(w, i + 1, n), ' ')))))), s ->
+        transform(s, (g, i) -> struct(g as ngram, i = 0 or g <> get(s, i - 1) as is_first, i = 0 or i = size(s) - 1 as is_edge))), 0)), 0)
+"""
+
 
 def register(spark: SparkSession) -> None:
-    """SQL names: the codecs, and ``LATERAL tm_ngrams(text, low, high)`` for white-space n-grams."""
+    """SQL names: the codecs, and ``LATERAL tm_ngrams(text, low, high)`` for white-space n-grams, ``tm_ngram_rows`` for an array of them."""
     codec.register(spark)
     spark.sql(NGRAMS_SQL)
+    spark.sql(NGRAM_ROWS_SQL)
