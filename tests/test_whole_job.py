@@ -3,6 +3,7 @@
 from textmill.catalog import columns as column_queries
 from textmill.catalog import files as file_queries
 from textmill.catalog import phrases as phrase_queries
+from textmill.sources import files as sources
 
 
 def test_every_turn_is_a_file_of_its_own(spark, tmp_path):
@@ -39,3 +40,16 @@ def test_lateral_ngrams_are_grouped_by_text(spark, tmp_path):
     assert {r.doc_id: (r.n_grams, r.n_distinct, r.first_gram, r.last_gram) for r in found.collect()} == {
         doc: (len(g), len(set(g)), min(g), max(g)) for doc, g in grams.items() if g
     }
+
+
+def test_text_files_are_small_and_decoded_as_before(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(file_queries, "LINES_PER_FILE", 3)
+    spark.createDataFrame([(1, "a\nb\nc\nd"), (2, "\n\ne")], "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    path = file_queries._text_folder(spark, str(tmp_path))
+    assert sorted(r.text for r in sources.read_txt_dir(spark, path).collect()) == sorted(["a\nb\nc\n", "d\n\n\n", "e\n"])
+    raw = [b"a\r\nb\rc", b"\xff\xc3\xa9\r\n\xc3", b"\xed\xa0\x80x", "é\r\r\n".encode()]
+    (tmp_path / "raw").mkdir()
+    for i, data in enumerate(raw):
+        (tmp_path / "raw" / f"{i}.txt").write_bytes(data)
+    found = {r.path[-5]: r.text for r in sources.read_txt_dir(spark, str(tmp_path / "raw")).collect()}
+    assert found == {str(i): d.decode("utf-8", "ignore").replace("\r\n", "\n").replace("\r", "\n") for i, d in enumerate(raw)}
