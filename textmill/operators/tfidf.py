@@ -5,31 +5,43 @@ Terms are 1- to 3-word phrases of clean words. Weights are ``tf * idf`` with
 knows. Fitting splits lines normally; scoring first deletes newlines, which joins the
 words on both sides.
 
-Counts of a text are taken inside its row, so texts are not shuffled. What moves: document
-frequencies (combined per task first), one ``(text id, term, tf)`` row per distinct term for
-the join by term, and the same rows once more to norm and rank them by text.
+Texts are dealt into slices of about ``SLICE_TEXT`` bytes by a hash of their id (by ranges of it for a growing corpus). Each slice
+sends the hashes of its distinct terms with the number of its texts that hold each, dealt into buckets of hashes; a bucket adds them up
+and sends back one number for each, in the order they came. So a term moves once per slice as 6 to 8 bytes, never as text, however
+often it occurs, and no row of a text and a term is moved at all. A slice then norms and filters its texts and spells what is left.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from textmill.functions import grams
 from textmill.functions import text as tx
-from textmill.plans import block_of, global_rank, lookup_join, range_bounds, running_sum, spread
+from textmill.functions.grams import Words
+from textmill.plans import block_of, range_bounds, spread
 
 MAX_WORDS = 3
+# Bytes of text whose terms one group of a task holds.
+SLICE_TEXT = 4 << 20
+BUCKET_TEXT = 8 << 20
+# Bytes of text that one task goes through, slice by slice.
+TASK_TEXT = 32 << 20
+# Words of a corpus that is counted without being scored, held at once.
+BATCH_WORDS = 1 << 19
 
 
 def fit_terms(text: Column) -> Column:
     return tx.ngrams(tx.word_tokens(text), 1, MAX_WORDS)
 
 
-def scoring_terms(text: Column) -> Column:
-    return tx.ngrams(tx.lowered_tokens(tx.normalize_for_scoring(text)), 1, MAX_WORDS)
-
-
 def phrase_array(text: Column, low: int, high: int) -> Column:
     """Distinct white-space n-grams of the scoring text."""
     return F.array_distinct(tx.ngrams(tx.whitespace_words(tx.normalize_for_scoring(text)), low, high))
@@ -85,11 +97,183 @@ def term_frequency(docs: DataFrame, doc: str = "doc_id", text: str = "text") ->
     return rows.select(doc, "r.term", "r.tf")
 
 
+def _extent(frames: list[DataFrame], text: str) -> tuple[int, int]:
+    """Rows and bytes of the texts of all frames."""
+    found = [f.agg(F.count("*"), F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first() for f in frames]
+    return sum(r[0] for r in found), sum(r[1] for r in found)
+
+
+def _parts(size: int, each: int) -> int:
+    return max(1, -(-size // each))
+
+
+def _dealt(rows: DataFrame, slice_of: Column, size: int) -> DataFrame:
+    """``rows`` with their ``_slice``, all rows of a slice in one task. Made once for both passes over the texts."""
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, _parts(size, TASK_TEXT))
+    return rows.select("*", slice_of.alias("_slice")).repartition(tasks, "_slice")
+
+
+def _fit_words(text: str) -> Column:
+    return F.coalesce(tx.word_tokens(F.col(text)), F.array()).alias("_fit")
+
+
+def _score_words(text: str) -> Column:
+    return F.coalesce(tx.lowered_tokens(tx.normalize_for_scoring(F.col(text))), F.array()).alias("_score")
+
+
+class Slice:
+    """The distinct terms of a slice, in the order of their hashes, and where they occur."""
+
+    def __init__(self, table: pa.Table) -> None:
+        self.rows = table.num_rows
+        names = [name for name in ("_fit", "_score") if name in table.column_names]
+        self.words = {name: Words(table.column(name)) for name in names}
+        self.found = {name: self.words[name].grams(1, MAX_WORDS) for name in names}
+        self.hashes, back = np.unique(np.concatenate([self.found[name][0] for name in names]), return_inverse=True)
+        self.term = dict(zip(names, np.split(back, np.cumsum([len(self.found[name][0]) for name in names])[:-1])))
+
+    def pairs(self, name: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Term, row, count and first occurrence of each distinct term of each text."""
+        row = self.words[name].rows[self.found[name][1]]
+        held, first, times = np.unique(self.term[name] * self.rows + row, return_index=True, return_counts=True)
+        return held // self.rows, held % self.rows, times, first
+
+    def counts(self) -> np.ndarray:
+        """Number of texts that hold each term as fitted."""
+        if "_fit" not in self.words:
+            return np.zeros(len(self.hashes), np.int64)
+        return np.bincount(self.pairs("_fit")[0], minlength=len(self.hashes)).astype(np.int64)
+
+    def spelt(self, name: str, first: np.ndarray) -> pa.Array:
+        _, at, sizes = self.found[name]
+        return self.words[name].spelt(at[first], sizes[first])
+
+
+ASKED = "_slice int, _bucket int, _hashes binary, _values binary"
+TOLD = "_slice int, _bucket int, _found binary"
+
+
+def _by_bucket(number: int, hashes: np.ndarray, values: np.ndarray, buckets: int) -> pa.Table:
+    """One row for each bucket, ranges of rising hashes; ``number`` is that of the slice, -1 where nothing is asked."""
+    cuts = [(b << 64) // buckets for b in range(1, buckets)]
+    ends = [0, *np.searchsorted(hashes, np.array(cuts, np.uint64)), len(hashes)]
+    spans = [(b, slice(i, j)) for b, (i, j) in enumerate(zip(ends, ends[1:])) if j > i]
+    columns = {
+        "_slice": pa.array([number] * len(spans), pa.int32()),
+        "_bucket": pa.array([b for b, _ in spans], pa.int32()),
+        "_hashes": pa.array([grams.pack_sorted(hashes[at]) for _, at in spans], pa.binary()),
+        "_values": pa.array([grams.pack(values[at]) for _, at in spans], pa.binary()),
+    }
+    return pa.table(columns)
+
+
+def _asked(sliced: DataFrame, buckets: int) -> DataFrame:
+    """What each slice sends: its terms and the number of its texts that hold each."""
+
+    def ask(key: tuple, table: pa.Table) -> pa.Table:
+        own = Slice(table)
+        return _by_bucket(key[0].as_py(), own.hashes, own.counts(), buckets)
+
+    return sliced.groupBy("_slice").applyInArrow(ask, ASKED)
+
+
+def _counted(corpus: DataFrame, buckets: int, text: str) -> DataFrame:
+    """The terms of a corpus that is not scored itself, counted a few texts at a time."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ends = np.cumsum(pc.list_value_length(batch.column(0)).to_numpy(zero_copy_only=False))
+            start = 0
+            while start < batch.num_rows:
+                before = ends[start - 1] if start else 0
+                stop = max(start + 1, int(np.searchsorted(ends, before + BATCH_WORDS, "right")))
+                own = Slice(pa.table({"_fit": batch.column(0).slice(start, stop - start)}))
+                yield from _by_bucket(-1, own.hashes, own.counts(), buckets).to_batches()
+                start = stop
+
+    return spread(corpus.select(text)).select(_fit_words(text)).mapInArrow(count, ASKED)
+
+
+def _given(model: DataFrame, buckets: int) -> DataFrame:
+    """The terms of a model ``(term, idf)``; the values are the weights."""
+
+    def give(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = Words(batch.column(0))
+            whole, at, sizes = words.grams(1, MAX_WORDS)
+            own = sizes == words.lengths[words.rows[at]]
+            order = np.argsort(whole[own])
+            weights = batch.column(1).to_numpy(zero_copy_only=False)[words.rows[at][own]]
+            yield from _by_bucket(-1, whole[own][order], weights[order], buckets).to_batches()
+
+    return model.select(F.split("term", " ", -1).alias("_term"), F.col("idf").cast("double")).mapInArrow(give, ASKED)
+
+
+def _told(asked: DataFrame, how: str) -> DataFrame:
+    """One number for each term that a slice has sent.
+
+    ``total``: the texts that hold it; ``first``: the same, but 0 for all slices but the lowest that holds it;
+    ``before``: the texts of lower slices that hold it; ``given``: its weight in the model, 0 where there is none.
+    """
+    kind = np.float64 if how == "given" else np.int64
+
+    def tell(key: tuple, table: pa.Table) -> pa.Table:
+        table = table.sort_by("_slice")
+        slices = table.column("_slice").to_numpy()
+        parts = [grams.unpack_sorted(x, np.uint64) for x in table.column("_hashes").to_pylist()]
+        values = np.concatenate([grams.unpack(x, kind if s < 0 else np.int64) for s, x in zip(slices, table.column("_values").to_pylist())])
+        ends = np.cumsum([len(p) for p in parts])
+        hashes = np.concatenate(parts)
+        del parts
+        order = np.argsort(hashes, kind="stable")
+        rising = hashes[order]
+        heads = np.flatnonzero(np.concatenate([[True], rising[1:] != rising[:-1]]))
+        sizes = np.diff(np.append(heads, len(rising)))
+        sums = np.add.reduceat(values[order], heads)
+        if how == "before":
+            running = np.cumsum(values[order]) - values[order]
+            answer = running - np.repeat(running[heads], sizes)
+        elif how == "first":
+            counted = np.where(values[order] > 0, np.arange(len(order)), len(order))
+            answer = np.where(np.arange(len(order)) == np.repeat(np.minimum.reduceat(counted, heads), sizes), np.repeat(sums, sizes), 0)
+        else:
+            answer = np.repeat(sums, sizes)
+        found = np.empty(len(order), kind)
+        found[order] = answer
+        spans = [(k, i, j) for k, (i, j) in enumerate(zip([0, *ends[:-1]], ends)) if slices[k] >= 0]
+        columns = {
+            "_slice": pa.array([int(slices[k]) for k, _, _ in spans], pa.int32()),
+            "_bucket": pa.array([key[0].as_py()] * len(spans), pa.int32()),
+            "_found": pa.array([grams.pack(found[i:j]) for _, i, j in spans], pa.binary()),
+        }
+        return pa.table(columns)
+
+    return asked.groupBy("_bucket").applyInArrow(tell, TOLD)
+
+
+def _unpacked(told: pa.Table, kind: type) -> np.ndarray:
+    """The answers to a slice, in the order of its terms."""
+    parts = [grams.unpack(x, kind) for x in told.sort_by("_bucket").column("_found").to_pylist()]
+    return np.concatenate([np.zeros(0, kind), *parts])
+
+
 def document_frequency(corpus: DataFrame, text: str = "text") -> DataFrame:
-    """``(term, df)``: number of texts holding each term."""
-    terms = spread(corpus.select(text)).select(F.explode(F.array_distinct(fit_terms(F.col(text)))).alias("term"))
-    # The explicit test lets both branches of lookup_join share one shuffle.
-    return terms.where(F.col("term").isNotNull()).groupBy("term").agg(F.count("*").alias("df"))
+    """``(term, df)``: number of texts holding each term. Each is spelt by the lowest slice that holds it."""
+    _, size = _extent([corpus], text)
+    # Dealt by all plain columns, so that copies of a text under several ids do not meet.
+    plain = [f.name for f in corpus.schema.fields if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType))]
+    deal = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in plain]), F.lit(_parts(size, SLICE_TEXT))).cast("int")
+    sliced = _dealt(corpus.select(text, deal.alias("_deal")), F.col("_deal"), size).select("_slice", _fit_words(text))
+    told = _told(_asked(sliced, _parts(size, BUCKET_TEXT)), "first")
+
+    def spell(left: pa.Table, right: pa.Table) -> pa.Table:
+        own = Slice(left)
+        df = _unpacked(right, np.int64)
+        first = np.unique(own.term["_fit"], return_index=True)[1] if len(df) else np.zeros(0, np.int64)
+        kept = np.flatnonzero(df)
+        return pa.table({"term": own.spelt("_fit", first[kept]), "df": pa.array(df[kept])})
+
+    return sliced.groupBy("_slice").cogroup(told.groupBy("_slice")).applyInArrow(spell, "term string, df long")
 
 
 def idf(corpus: DataFrame, text: str = "text") -> DataFrame:
@@ -98,15 +282,77 @@ def idf(corpus: DataFrame, text: str = "text") -> DataFrame:
     return document_frequency(corpus, text).select("term", "df", idf_of(F.col("df"), n).alias("idf"))
 
 
-def _normalised(weighted: DataFrame, doc: str) -> DataFrame:
-    norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(W.partitionBy(doc)))
-    return weighted.withColumn("score", F.col("_w") / norm).drop("_w")
+def _groups(ids: pa.ChunkedArray) -> np.ndarray:
+    """A number for each row; rows with the same id have the same."""
+    return pc.dictionary_encode(ids.combine_chunks(), null_encoding="encode").indices.to_numpy()
 
 
-def _weights(terms: DataFrame, model: DataFrame, doc: str) -> DataFrame:
-    """Score ``(doc, term, tf, ...)`` against ``(term, df, idf)``."""
-    known = lookup_join(terms, model, key="term", weight="df", spread_by=doc)
-    return _normalised(known.withColumn("_w", F.col("tf") * F.col("idf")).drop("idf"), doc)
+def _normed(own: Slice, weights: np.ndarray, ids: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Term, row, score and first occurrence of each term of weight; ``weights`` are those of ``own.pairs("_score")``."""
+    term, row, _, first = own.pairs("_score")
+    known = weights > 0
+    group = _groups(ids)[row[known]]
+    norms = np.sqrt(np.bincount(group, weights[known] ** 2))
+    return term[known], row[known], weights[known] / norms[group], first[known]
+
+
+def _scored(
+    docs: DataFrame,
+    corpus: DataFrame | None,
+    model: DataFrame | None,
+    doc: str,
+    text: str,
+    corpus_text: str,
+    more: list[Column],
+    pick: Callable[[pa.Table, Slice, tuple], tuple[np.ndarray, pa.Array, np.ndarray]],
+    term: str = "term",
+) -> DataFrame:
+    """``(doc, term, score)`` of what ``pick`` takes from the scored terms of a slice, as rows, terms and scores."""
+    rows = docs.select(doc, text)
+    same = corpus is not None and docs.select(text).sameSemantics(corpus.select(corpus_text))
+    n, size = _extent([rows], text)
+    total = size
+    if corpus is not None and not same:
+        n, more_size = _extent([corpus], corpus_text)
+        total += more_size
+    buckets = _parts(total, BUCKET_TEXT)
+    dealt = _dealt(rows, F.pmod(F.xxhash64(doc), F.lit(_parts(size, SLICE_TEXT))).cast("int"), size)
+    asked = _asked(dealt.select("_slice", doc, _score_words(text), *([_fit_words(text)] if same else [])), buckets)
+    if model is not None:
+        asked = asked.unionByName(_given(model, buckets))
+    elif not same:
+        asked = asked.unionByName(_counted(corpus, buckets, corpus_text))
+    told = _told(asked, "total" if model is None else "given")
+
+    def tell(left: pa.Table, right: pa.Table) -> pa.Table:
+        own = Slice(left)
+        found = _unpacked(right, np.float64 if model_given else np.int64)
+        weight = found if model_given else np.where(found > 0, np.log((1.0 + n) / (1.0 + found)) + 1, 0.0)
+        of, _, times, _ = own.pairs("_score")
+        chosen, names, scores = pick(left, own, _normed(own, times * weight[of], left.column(doc)))
+        return pa.table({doc: left.column(doc).take(pa.array(chosen)), term: names, "score": pa.array(scores)})
+
+    model_given = model is not None
+    kind = docs.schema[doc].dataType.simpleString()
+    # The terms as fitted are needed again, as the answers stand in the order of all terms of the slice.
+    held = dealt.select("_slice", doc, _score_words(text), *([_fit_words(text)] if same else []), *more)
+    return held.groupBy("_slice").cogroup(told.groupBy("_slice")).applyInArrow(tell, f"`{doc}` {kind}, {term} string, score double")
+
+
+def _terms_above(min_score: float, top: int | None = None) -> Callable:
+    """Terms with more than ``min_score``; with ``top`` none that is below the ``top`` best of its text."""
+
+    def pick(table: pa.Table, own: Slice, scored: tuple) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+        _, row, score, first = scored
+        kept = np.flatnonzero(score > min_score)
+        if top is not None:
+            kept = kept[np.lexsort((-score[kept], row[kept]))]
+            starts = np.searchsorted(row[kept], row[kept])
+            last = np.minimum(starts + top, np.searchsorted(row[kept], row[kept], "right")) - 1
+            kept = kept[score[kept] >= score[kept][last]] if top > 0 else kept[:0]
+        return row[kept], own.spelt("_score", first[kept]), score[kept]
+
+    return pick
 
 
 def tfidf_scores(
@@ -118,10 +364,7 @@ def tfidf_scores(
     corpus_text: str = "text",
 ) -> DataFrame:
     """``(doc, term, score)`` with ``score > min_score``."""
-    rows = spread(docs.select(doc, text)).select(doc, F.explode(term_runs(scoring_terms(F.col(text)))).alias("r"))
-    counts = rows.select(doc, "r.term", "r.tf")
-    scored = _weights(counts, idf(corpus, corpus_text), doc)
-    return scored.where(F.col("score") > min_score).select(doc, "term", "score")
+    return _scored(docs, corpus, None, doc, text, corpus_text, [], _terms_above(min_score))
 
 
 def phrase_candidates(
@@ -166,40 +409,38 @@ def rank_phrases(
     """
     if min_ngrams < 1:
         raise ValueError("min_ngrams must be at least 1")
-    # Each projection is used several times by the next, so it is evaluated once.
-    rows = (
-        spread(docs.select(doc, text))
-        .select(doc, tx.normalize_for_scoring(F.col(text)).alias("_norm"))
-        .select(
-            doc,
-            tx.whitespace_words(F.col("_norm")).alias("_words"),
-            tx.ngrams(tx.lowered_tokens(F.col("_norm")), 1, MAX_WORDS).alias("_terms"),
-        )
-    )
-    words = F.col("_words")
-    scorable = tx.ngrams(words, min_ngrams, min(max_ngrams, MAX_WORDS))
-    everything = F.array_distinct(tx.ngrams(words, min_ngrams, max_ngrams))
-    # Sizes differ, so a text of 2 * min_ngrams words or more has at least min_ngrams phrases
-    # once the size range allows it; only other texts need their phrases counted.
-    plenty = F.lit(max_ngrams >= 2 * min_ngrams) & (F.size(words) >= 2 * min_ngrams)
-    rows = rows.withColumn("_few", F.when(plenty, False).otherwise(F.size(everything) < min_ngrams))
-    # Phrases without a score are wanted only where everything is kept.
-    phrases = F.when(F.col("_few") | F.lit(min_score <= 0), everything).otherwise(
-        F.array_intersect(scorable, F.col("_terms"))
-    )
-    terms = rows.select(doc, "_few", F.explode(term_runs(F.col("_terms"), phrases)).alias("r")).select(
-        doc, "_few", "r.term", "r.tf", F.col("r.mark").alias("phrase")
-    )
-    model = idf(corpus, corpus_text) if model is None else model
-    found = lookup_join(terms, model, key="term", weight="df", spread_by=doc, how="left")
-    weighted = found.withColumn("_w", F.coalesce(F.col("tf") * F.col("idf"), F.lit(0.0))).drop("idf")
-    norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(W.partitionBy(doc)))
-    raw = F.when(norm > 0, F.col("_w") / norm).otherwise(0.0)
-    scored = weighted.withColumn("_raw", raw).where("phrase")
-    score = F.when(F.col("_raw") > min_score, F.col("_raw")).otherwise(0.0)
-    kept = scored.withColumn("score", score).where((F.col("score") >= min_score) | F.col("_few"))
-    best = W.partitionBy(doc).orderBy(F.desc("score"), "term")
-    return kept.select(doc, F.col("term").alias("ngram"), "score", F.row_number().over(best).alias("rank"))
+    # Sizes differ, so a text of 2 * min_ngrams words or more has at least min_ngrams phrases once the size range allows it;
+    # only other texts need their phrases counted. Phrases without a score are wanted only where everything is kept.
+    enough = 2 * min_ngrams if max_ngrams >= 2 * min_ngrams else None
+
+    def pick(table: pa.Table, own: Slice, scored: tuple) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+        words = Words(table.column("_words"))
+        whole = np.ones(own.rows, bool) if enough is None or min_score <= 0 else words.lengths < enough
+        hashes, at, sizes = words.grams(min_ngrams, max_ngrams, whole, MAX_WORDS)
+        kinds, back = np.unique(hashes, return_inverse=True)
+        held, first = np.unique(words.rows[at] * max(1, len(kinds)) + back, return_index=True)
+        row, kind = held // max(1, len(kinds)), held % max(1, len(kinds))
+        few = whole & (np.bincount(row, minlength=own.rows) < min_ngrams)
+        if enough is not None:
+            few &= words.lengths < enough
+        term, of, score, _ = scored
+        # The terms that are phrases too, by their numbers among the phrases.
+        place = np.minimum(np.searchsorted(kinds, own.hashes), max(0, len(kinds) - 1))
+        spelt = kinds[place] == own.hashes if len(kinds) else np.zeros(len(own.hashes), bool)
+        own_phrase = spelt[term] & (score > min_score)
+        key = of[own_phrase] * max(1, len(kinds)) + place[term[own_phrase]]
+        spot = np.minimum(np.searchsorted(held, key), max(0, len(held) - 1))
+        there = held[spot] == key if len(held) else np.zeros(len(key), bool)
+        scores = np.zeros(len(held))
+        scores[spot[there]] = score[own_phrase][there]
+        kept = np.flatnonzero((scores >= min_score) | few[row])
+        return row[kept], words.spelt(at[first[kept]], sizes[first[kept]]), scores[kept]
+
+    split = tx.whitespace_words(tx.normalize_for_scoring(F.col(text)))
+    more = [F.coalesce(split, F.array()).alias("_words")]
+    kept = _scored(docs, corpus if model is None else None, model, doc, text, corpus_text, more, pick, "ngram")
+    best = W.partitionBy(doc).orderBy(F.desc("score"), "ngram")
+    return kept.withColumn("rank", F.row_number().over(best))
 
 
 def top_terms(
@@ -207,7 +448,7 @@ def top_terms(
 ) -> DataFrame:
     """The ``n`` best terms of each text."""
     best = W.partitionBy(doc).orderBy(F.desc("score"), "term")
-    scored = tfidf_scores(docs, corpus, 0.0, doc, text, corpus_text)
+    scored = _scored(docs, corpus, None, doc, text, corpus_text, [], _terms_above(0.0, n))
     return scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= n)
 
 
@@ -216,20 +457,32 @@ def tfidf_expanding(
 ) -> DataFrame:
     """Score each text against the corpus up to and including itself, in the order of ``doc``.
 
-    Replaces a refit per text: the document frequency seen by a text is a running count
-    per term. Counts are summed per range block first, so a stop word is no single task.
+    Replaces a refit per text: the document frequency seen by a text is a running count per term. Slices are ranges of
+    ``doc``; a bucket counts the texts of lower slices, the slice goes on from there.
     """
-    bounds = range_bounds(docs, doc)
-    ranks = global_rank(docs.select(doc), doc, "_n", bounds=bounds)
-    rows = spread(docs.select(doc, text, block_of(F.col(doc), bounds).alias("_block")))
-    fitted = F.array_distinct(fit_terms(F.col(text)))
-    terms = rows.select(doc, "_block", F.explode(term_runs(scoring_terms(F.col(text)), fitted)).alias("r")).select(
-        doc, "_block", "r.term", "r.tf", F.col("r.mark").cast("long").alias("fit")
-    )
-    counted = rows.select("_block", F.explode(fitted).alias("term"), F.lit(1).cast("long").alias("fit"))
-    seen = running_sum(
-        terms, "fit", doc, "df", partition=["term"], bounds=bounds, block="_block", counted=counted
-    )
-    known = seen.where((F.col("tf") > 0) & (F.col("df") > 0)).join(ranks, doc)
-    weighted = known.withColumn("_w", F.col("tf") * idf_of(F.col("df"), F.col("_n")))
-    return _normalised(weighted, doc).where(F.col("score") > min_score).select(doc, "term", "score")
+    rows, size = _extent([docs], text)
+    bounds = range_bounds(docs, doc, max(1, rows * SLICE_TEXT // max(1, size)))
+    place = block_of(F.col(doc), bounds).cast("int")
+    sizes = docs.groupBy(place.alias("b")).agg(F.count("*").alias("n")).collect()  # at most MOST_BLOCKS rows
+    before, passed = {}, 0
+    for r in sorted(sizes):
+        before[r["b"]], passed = passed, passed + r["n"]
+    sliced = _dealt(docs.select(doc, text), place, size).select("_slice", doc, _score_words(text), _fit_words(text))
+    told = _told(_asked(sliced, _parts(size, BUCKET_TEXT)), "before")
+    pick = _terms_above(min_score)
+
+    def tell(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        left = left.take(pc.sort_indices(left.column(doc).combine_chunks(), null_placement="at_start"))
+        own = Slice(left)
+        of, row, times, _ = own.pairs("_score")
+        fitted, at, _, _ = own.pairs("_fit")
+        inside = fitted * own.rows + at  # rising: term by term, row by row
+        here = np.searchsorted(inside, of * own.rows + row, "right") - np.searchsorted(inside, of * own.rows)
+        df = _unpacked(right, np.int64)[of] + here
+        n = before[key[0].as_py()] + row + 1
+        weights = np.where(df > 0, times * (np.log((1.0 + n) / (1.0 + df)) + 1), 0.0)
+        chosen, names, scores = pick(left, own, _normed(own, weights, left.column(doc)))
+        return pa.table({doc: left.column(doc).take(pa.array(chosen)), "term": names, "score": pa.array(scores)})
+
+    kind = docs.schema[doc].dataType.simpleString()
+    return sliced.groupBy("_slice").cogroup(told.groupBy("_slice")).applyInArrow(tell, f"`{doc}` {kind}, term string, score double")

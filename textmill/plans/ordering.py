@@ -22,15 +22,15 @@ MOST_BLOCKS = 1 << 14
 PROBES_PER_BLOCK = 16
 
 
-def range_bounds(df: DataFrame, order: str) -> list:
-    """Cut points that split ``order`` into about equal parts, one for each ``BLOCK_ROWS`` rows.
+def range_bounds(df: DataFrame, order: str, block_rows: int | None = None) -> list:
+    """Cut points that split ``order`` into about equal parts, one for each ``block_rows`` rows (``BLOCK_ROWS``).
 
     Probes the order column only: about ``PROBES_PER_BLOCK`` values per block, those whose
     hash falls below a limit. The choice affects balance, never results.
     """
     column = df.select(F.col(order).alias("v")).where(F.col("v").isNotNull())
     rows = column.count()
-    blocks = min(-(-rows // BLOCK_ROWS), MOST_BLOCKS)
+    blocks = min(-(-rows // (block_rows or BLOCK_ROWS)), MOST_BLOCKS)
     if blocks < 2:
         return []
     share = blocks * PROBES_PER_BLOCK / rows
