@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from textmill.catalog.common import r6, sql_fused, sql_grams, sql_tokens, sql_words, table
@@ -28,9 +31,15 @@ def _phrase_summary(spark, folder):
 
 
 def _idf_report(spark, folder):
-    return tfidf.idf(_docs(spark, folder)).groupBy("df").agg(
-        F.count("*").alias("n_terms"), r6(F.max("idf")).alias("idf"), F.min("term").alias("first_term")
-    )
+    """Strings kept by an aggregate make Spark sort its input, so each batch of terms is reduced to its frequencies first."""
+
+    def reduced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = pa.Table.from_batches([batch]).group_by("df").aggregate([("term", "count"), ("idf", "max"), ("term", "min")])
+            yield from found.select(["df", "term_count", "idf_max", "term_min"]).rename_columns(["df", "n", "idf", "term"]).to_batches()
+
+    found = tfidf.idf(_docs(spark, folder)).mapInArrow(reduced, "df long, n long, idf double, term string")
+    return found.groupBy("df").agg(F.sum("n").alias("n_terms"), r6(F.max("idf")).alias("idf"), F.min("term").alias("first_term"))
 
 
 def _ranked(spark, folder, sanitized=False, **args):
