@@ -12,8 +12,8 @@ words of the class + 0.1)``, the last 0.1 for all words never seen, so the proba
 
 What is gathered: the count of every word of every training text (a table, as large as the vocabulary), and the counts of class triples over
 all training texts, exact and at most ``CLASSES ** 3`` of them at any size. Training is noise-contrastive estimation in numpy on all of these
-triples, drawn by their counts: ``TRAINERS`` tasks take a share of the triples by hash and ``STEPS`` batches each, their weights are averaged, ``ROUNDS`` times.
-So a task holds at most ``CLASSES ** 3 / TRAINERS`` triples or so, whatever the corpus.
+triples by their counts, without drawing any: ``TRAINERS`` tasks take a share of the contexts by hash and whole passes of ``STEPS`` batches or more over them,
+their weights are averaged, ``ROUNDS`` times. So a task holds at most ``CLASSES ** 3 / TRAINERS`` triples or so, whatever the corpus.
 
 Scoring normalises exactly: batched matrix products give the logits of all classes for every context met, once per task. Counts
 of words with at least one in ``FREQUENT`` of all tokens (so at most ``FREQUENT`` words) are sent to all tasks; the others are joined by
@@ -42,7 +42,7 @@ HEADS, ENDINGS = 127, 128
 END_CLASS, CLASSES = HEADS, HEADS + 1 + ENDINGS
 TAIL = 3  # last bytes that name the class of a rarer word
 DIM = 24
-TRAINERS, ROUNDS, STEPS, BATCH, NOISE = 4, 2, 500, 1024, 64
+TRAINERS, ROUNDS, STEPS, CONTEXTS, NOISE = 4, 2, 500, 512, 64
 RATE = 0.02
 FREQUENT = 1 << 19
 ADD = 0.1
@@ -141,38 +141,48 @@ def unigram_of(cells: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 
 def train(model: Model, cells: np.ndarray, n: np.ndarray, unigram: np.ndarray, seed: int, steps: int = STEPS) -> Model:
-    """``steps`` batches of noise-contrastive estimation: triples drawn by their counts, each batch against common noise classes."""
+    """Noise-contrastive estimation with the exact sums over all triples and all noise classes, in whole passes of ``steps`` batches or more.
+
+    A batch holds the ``CONTEXTS`` commonest contexts and a part of the others, which the parts of one pass share out; a context comes
+    with all counts of all its triples, the part weighs as much as all parts do.
+    """
     rng = np.random.default_rng(seed)
-    share = np.cumsum(n, dtype=np.float64)
+    contexts, of = np.unique(cells // CLASSES, return_inverse=True)
+    mass = np.bincount(of, n)
+    falling = np.argsort(-mass, kind="stable")
+    common, others = falling[:CONTEXTS], rng.permutation(falling[CONTEXTS:])
+    batches = [common, *(others[i : i + CONTEXTS] for i in range(0, len(others), CONTEXTS))]
+    place, batch_of = np.empty(len(contexts), np.int64), np.empty(len(contexts), np.int64)
+    for k, own in enumerate(batches):
+        place[own], batch_of[own] = np.arange(len(own)), k
+    order = np.argsort(batch_of[of], kind="stable")
+    ends = np.searchsorted(batch_of[of][order], np.arange(len(batches) + 1))
     expected = np.log(NOISE * unigram).astype(np.float32)  # log-odds at which a class is as likely noise as not
     state = {name: (np.zeros_like(getattr(model, name)), np.zeros_like(getattr(model, name))) for name in Model.NAMES}
-    one_hot = np.zeros((BATCH, CLASSES), np.float32)
-    line = np.arange(BATCH)
-
-    def summed(places: np.ndarray, values: np.ndarray) -> np.ndarray:
-        one_hot[line, places] = 1
-        found = one_hot.T @ values
-        one_hot[line, places] = 0
-        return found
 
-    for step in range(1, steps + 1):
-        drawn = cells[np.searchsorted(share, rng.random(BATCH) * share[-1], "right").clip(0, len(cells) - 1)].astype(np.int64)
-        word, near, far = drawn % CLASSES, drawn // CLASSES % CLASSES, drawn // CLASSES**2
-        noise = rng.choice(CLASSES, NOISE, p=unigram)
+    def slopes(k: int, scale: float) -> dict[str, np.ndarray]:
+        """Slopes of the loss of a batch's contexts."""
+        own, held = batches[k], order[ends[k] : ends[k + 1]]
+        times = np.zeros((len(own), CLASSES), np.float32)
+        times[place[of[held]], cells[held] % CLASSES] = n[held] * scale
+        near, far = contexts[own] % CLASSES, contexts[own] // CLASSES
         e_near, e_far = model.embed[near], model.embed[far]
         predicted = e_near @ model.near + e_far @ model.far
-        true = (predicted * model.out[word]).sum(1) + model.bias[word] - expected[word]
-        false = predicted @ model.out[noise].T + model.bias[noise] - expected[noise]
-        pull = (1 / (1 + np.exp(-true)) - 1) / BATCH  # slopes of the loss
-        push = 1 / (1 + np.exp(-false)) / BATCH
-        back = pull[:, None] * model.out[word] + push @ model.out[noise]
-        grads = {name: np.zeros_like(getattr(model, name)) for name in ("out", "bias")}
-        np.add.at(grads["out"], noise, push.T @ predicted)
-        np.add.at(grads["bias"], noise, push.sum(0))
-        grads["out"] += summed(word, pull[:, None] * predicted)
-        grads["bias"] += np.bincount(word, pull, CLASSES).astype(np.float32)
-        grads["near"], grads["far"] = e_near.T @ back, e_far.T @ back
-        grads["embed"] = summed(near, back @ model.near.T) + summed(far, back @ model.far.T)
+        odds = 1 / (1 + np.exp(-np.clip(predicted @ model.out.T + model.bias - expected, -60, 60)))
+        push = times * (odds - 1) + times.sum(1, keepdims=True) * (NOISE * unigram).astype(np.float32) * odds
+        back = push @ model.out
+        embed = np.zeros_like(model.embed)
+        np.add.at(embed, near, back @ model.near.T)
+        np.add.at(embed, far, back @ model.far.T)
+        return {"embed": embed, "near": e_near.T @ back, "far": e_far.T @ back, "out": push.T @ predicted, "bias": push.sum(0)}
+
+    parts = max(1, len(batches) - 1)
+    steps = -(-steps // parts) * parts
+    for step in range(1, steps + 1):
+        grads = slopes(0, 1 / mass.sum())
+        if len(batches) > 1:
+            more = slopes(1 + step % parts, parts / mass.sum())
+            grads = {name: grad + more[name] for name, grad in grads.items()}
         rate = RATE * (1 - 0.9 * step / steps)
         for name, grad in grads.items():
             m, v = state[name]
@@ -203,7 +213,7 @@ def fit_network(cells: DataFrame) -> Model:
     if not len(own):
         model.out[:], model.bias[:] = 0, 0
         return model
-    dealt = cells.withColumn("part", F.pmod(F.xxhash64("cell"), F.lit(TRAINERS)))
+    dealt = cells.withColumn("part", F.pmod(F.xxhash64(F.floor(F.col("cell") / CLASSES)), F.lit(TRAINERS)))
     for turn in range(ROUNDS):
         task = trainer(cells.sparkSession.sparkContext.broadcast(pickle.dumps(model)), unigram, turn)
         made = sorted(dealt.groupBy("part").applyInPandas(task, "part int, n double, model binary").collect())  # TRAINERS models
