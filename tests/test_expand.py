@@ -104,3 +104,34 @@ def test_store_keeps_each_text_once(spark):
     gens = expand.expand_frontier(seeds, expand.table_responder(frame(spark, {"a": "t", "b": "t", "t": "u"})), max_depth=2)
     rows = expand.grow_store(gens, algo="zstd").select("word", decompress(F.col("data"), F.col("compression_algo")).alias("t"))
     assert sorted(rows.collect()) == [("a", "t"), ("a", "u")]
+
+
+def test_a_prompt_is_asked_once_for_all_levels(spark):
+    asked = []
+
+    def answer(prompts):
+        asked.extend(r.prompt for r in prompts.collect())
+        return frame(spark, {"a": "x", "x": "y", "b": "y", "y": "z"}).join(prompts, "prompt")
+
+    seeds = spark.createDataFrame([("a",), ("b",)], "word string")
+    found = expand.expand_frontier(seeds, answer, max_depth=4)
+    assert sorted((r.word, r.prompt, r.depth) for r in found.collect()) == [("a", "a", 0), ("a", "x", 1), ("a", "y", 2), ("b", "b", 0), ("b", "y", 1)]
+    assert sorted(p for p in asked if p in "abxy") == ["a", "b", "x", "y"]
+
+
+def test_answers_stay_where_they_lie(spark):
+    responder = expand.table_responder(frame(spark, {f"p{i}": f"p{i + 1}\np{i + 2}" for i in range(50)}))
+    told = responder(spark.createDataFrame([("p3",), ("p7",), ("none",)], "prompt string"))
+    plan = told._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.prompt, r.response) for r in told.collect()) == [("p3", "p4\np5"), ("p7", "p8\np9")]
+    moved = [line for line in plan.split("\n") if "Exchange" in line]
+    assert len(moved) == 1 and "Bucketed: true" in plan and "Sort " not in plan
+
+
+def test_stripped_prompts_meet_over_levels(spark):
+    answers = {"a": "q<think>1</think>\nr", "r": "<think>2</think>q\ns", "q": "end", "s": "t"}
+    seeds = spark.createDataFrame([("a",)], "word string")
+    found = expand.expand_frontier(seeds, expand.table_responder(frame(spark, answers)), max_depth=4, strip_think=True).collect()
+    assert sorted((r.prompt, r.depth, r.text) for r in found) == [
+        ("a", 0, answers["a"]), ("q", 1, "end"), ("q", 2, "end"), ("r", 1, answers["r"]), ("s", 2, "t")
+    ]
