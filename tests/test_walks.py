@@ -2,12 +2,13 @@
 
 import random
 import re
+from pathlib import Path
 
 import pytest
 
 from textmill.functions.bloom import bloom_indexes
 from textmill.operators import expand, walks
-from textmill.plans import skew
+from textmill.plans import scratch_dir, skew
 
 
 def frame(spark, answers):
@@ -86,3 +87,14 @@ def test_bloom_walk_feeds_one_filter_in_order(spark, power2):
     assert sorted((r.word, r.prompt, r.depth) for r in found) == sorted(wanted)
     alone = walks.expand_bloom(seeds, frame(spark, answers), max_depth=1, power2=power2, k=2).collect()
     assert sorted(r.prompt for r in alone) == roots
+
+
+@pytest.mark.parametrize("walk, label", [(walks.expand_depth_first, "walk"), (walks.expand_bloom, "fresh")])
+def test_walks_go_by_keys(spark, walk, label):
+    folder = Path(scratch_dir(spark).removeprefix("file:")) / "textmill"
+    before = set(folder.glob("*"))
+    seeds = spark.createDataFrame([("a",)], "word string")
+    found = walk(seeds, frame(spark, {"a": "b\nc", "b": "c", "c": "a"}), max_depth=3).collect()
+    assert {r.prompt for r in found} == {"a", "b", "c"}
+    written = [spark.read.parquet(str(p)).columns for p in set(folder.glob("*")) - before if label in p.name]
+    assert written and not any({"word", "prompt"} & set(columns) for columns in written)

@@ -144,13 +144,14 @@ def bloom_contains(
 
 
 def bloom_admit(
-    rows: DataFrame, bloom: DataFrame | None, item: str = "prompt", order: str = "ordinal", **filter_args
+    rows: DataFrame, bloom: DataFrame | None, item: str = "prompt", order: str = "ordinal", bits: str | None = None, **filter_args
 ) -> tuple[DataFrame, DataFrame]:
     """Rows that a filter already holding ``bloom`` lets through in ``order``, and the filter with their bits.
 
-    ``rows`` is read twice: pass a written table.
+    ``bits``: the column that holds the ``bloom_indexes`` of the item, where they are known already. ``rows`` is read twice: pass a written table.
     """
-    probes = rows.select(F.col(order).alias("_at"), F.explode(bloom_indexes(F.col(item), **filter_args)).alias("idx"))
+    found = F.col(bits) if bits else bloom_indexes(F.col(item), **filter_args)
+    probes = rows.select(F.col(order).alias("_at"), F.explode(found).alias("idx"))
     first = probes.groupBy("idx").agg(F.min("_at").alias("_first"))
     if bloom is not None:
         hits = first.join(bloom, F.bitmap_bucket_number("idx") == F.col("bucket"), "left")

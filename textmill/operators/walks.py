@@ -11,10 +11,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textmill.functions import text as tx
+from textmill.functions.bloom import bloom_indexes
 from textmill.operators import dedupe
-from textmill.operators.expand import Responder, prompt_candidates
-from textmill.plans import global_rank, hot_values, materialize, salted_join
+from textmill.operators.expand import Asked, Responder, numbered_roots
+from textmill.plans import Dealt, hot_values, materialize, salted_join
 
 STEP = 8  # hex digits of a child's number
 
@@ -23,23 +23,6 @@ def _step(number: Column, digits: int = STEP) -> Column:
     return F.lpad(F.hex(number), digits, "0")
 
 
-def _answered(prompts: DataFrame, responder: Responder, strip_think: bool, remove_prompt: bool) -> DataFrame:
-    """``(prompt, text, tok)`` of distinct prompts."""
-    asked = prompts.withColumn("_asked", tx.strip_think(F.col("prompt")) if strip_think else F.col("prompt"))
-    answers = responder(asked.select(F.col("_asked").alias("prompt")).distinct()).withColumnRenamed("prompt", "_asked")
-    text = tx.sanitize(F.col("response"))
-    if remove_prompt:
-        text = tx.remove_prompt(text, F.col("_asked"))
-    return asked.join(answers, "_asked").select("prompt", text.alias("text"), "tok")
-
-
-def _children(answered: DataFrame, prefixes: Sequence[str]) -> DataFrame:
-    """``(prompt, child, step)``: the distinct children of each prompt, by first appearance."""
-    rows = prompt_candidates(answered.withColumnRenamed("prompt", "parent"), prefixes, keep=("parent",))
-    first = rows.groupBy("parent", "prompt").agg(F.min("ordinal").alias("ordinal"))
-    return first.select(F.col("parent").alias("prompt"), F.col("prompt").alias("child"), _step(F.col("ordinal")).alias("step"))
-
-
 def expand_depth_first(
     seeds: DataFrame,
     responder: Responder,
@@ -59,33 +42,31 @@ def expand_depth_first(
     earliest parent by the places of the round before, until none moves. What a walker handles first is right after the first round, and with the
     first ``n`` right the next is right too, so the rounds end at the walker's order and nowhere else. A prompt is asked once for all roots and rounds.
     """
-    roots = seeds.select("word", F.col("word").alias("prompt"), F.lit("").alias("path"), F.lit(0).alias("depth"), F.lit(True).alias("root")).distinct()
-    nodes = materialize(roots, "walk")
-    known = visited.select(F.col("prompt").alias("child")).distinct() if visited is not None else None
-    told: DataFrame | None = None
-    edges: DataFrame | None = None
-    asked: DataFrame | None = None
+    roots = numbered_roots(seeds)
+    asked = Asked(seeds, responder, prefixes, visited, strip_think, remove_prompt)
+    start = roots.select("w", "p", F.lit("").alias("path"), F.lit(0).alias("depth"))
+    nodes: DataFrame | None = None
+    stock = roots.select("p", F.col("word").alias("prompt"))
     while True:
-        new = nodes.select("prompt").distinct()
-        new = materialize(new if asked is None else new.join(asked, "prompt", "left_anti"), "asked")
-        if not new.isEmpty():
-            answers = materialize(_answered(new, responder, strip_think, remove_prompt), "told")
-            kids = _children(answers, prefixes)
-            kids = materialize(kids if known is None else kids.join(known, "child", "left_anti"), "edges")
-            told = answers if told is None else told.unionByName(answers)
-            edges = kids if edges is None else edges.unionByName(kids)
-            asked = new if asked is None else asked.unionByName(new)
-        met = salted_join(nodes, edges, ["prompt"], hot_values(nodes, ["prompt"]), F.col("word"))
-        place = F.struct("path", "step", (F.col("depth") + 1).alias("depth"))
-        owned = met.groupBy("word", F.col("child").alias("prompt")).agg(F.min(place).alias("at")).where(F.col("at.depth") < max_depth)
-        moved = owned.select("word", "prompt", F.concat("at.path", "at.step").alias("path"), F.col("at.depth").alias("depth"), F.lit(False).alias("root"))
-        following = materialize(moved.unionByName(roots), "walk")
-        keys = ["word", "prompt", "path", "root"]
-        same = following.join(nodes, keys, "left_anti").isEmpty() and nodes.join(following, keys, "left_anti").isEmpty()
+        walked = start if nodes is None else start.unionByName(nodes)
+        asked.ask(walked, stock if nodes is None else None)
+        turns = asked.turns(walked)
+        met = salted_join(turns, asked.edges.rows(), ["p"], hot_values(turns, ["p"]), F.col("w"))
+        place = F.struct("path", _step(F.col("ordinal")).alias("step"), (F.col("depth") + 1).alias("depth"))
+        # Dealt by root and prompt once for each round, so that two rounds are compared where they lie.
+        settled = Dealt(seeds.sparkSession, "walk", ["w", "p"], asked.buckets)
+        met = settled.deal(met.select("w", F.col("child").alias("p"), place.alias("at")))
+        owned = met.groupBy("w", "p").agg(F.min("at").alias("at")).where(F.col("at.depth") < max_depth)
+        following = settled.add(owned.select("w", "p", F.concat("at.path", "at.step").alias("path"), F.col("at.depth").alias("depth")))
+        if nodes is None:
+            same = following.isEmpty()
+        else:
+            moved = following.join(nodes.select("w", "p", F.col("path").alias("_old")), ["w", "p"], "full_outer")
+            same = moved.where(~F.col("path").eqNullSafe(F.col("_old"))).isEmpty()
         nodes = following
         if same:
             break
-    found = salted_join(nodes, told, ["prompt"], hot_values(nodes, ["prompt"]), F.col("word"))
+    found = asked.spell(asked.turns(start.unionByName(nodes)), roots.select("w", "word"))
     return found.select("word", "prompt", "depth", "path", "text", "tok")
 
 
@@ -105,25 +86,27 @@ def expand_bloom(
     The filter is fed in the order of level, root, path, and keeps out what it holds, by mistake too. ``history(item)`` fills it
     first. Roots are not fed. Its bits are merged level by level as bitmaps, so memory is that of the filter, whatever was seen.
     """
-    roots = global_rank(seeds.select("word").distinct(), "word", "_rank")
-    frontier = materialize(roots.select("word", F.col("word").alias("prompt"), _step(F.col("_rank"), 2 * STEP).alias("path")), "frontier")
+    roots = numbered_roots(seeds)
+    marks = {"bits": lambda prompt: bloom_indexes(prompt, power2=power2, k=k)}
+    asked = Asked(seeds, responder, prefixes, None, strip_think, remove_prompt, marks)
+    frontier = materialize(roots.select("w", "p", _step(F.col("w"), 2 * STEP).alias("path")), "frontier")
+    stock = roots.select("p", F.col("word").alias("prompt"))
     bloom = None
     if history is not None:
         bloom = materialize(dedupe.bloom_build(history, "item", power2=power2, k=k), "bloom")
     found: DataFrame | None = None
     for depth in range(max_depth):
-        answers = materialize(_answered(frontier.select("prompt").distinct(), responder, strip_think, remove_prompt), "told")
-        hot = hot_values(frontier, ["prompt"])
-        level = salted_join(frontier, answers, ["prompt"], hot, F.col("word"))
-        level = level.select("word", "prompt", F.lit(depth).alias("depth"), "path", "text", "tok")
+        asked.ask(frontier, stock if depth == 0 else None)
+        turns = asked.turns(frontier)
+        level = turns.withColumn("depth", F.lit(depth))
         found = level if found is None else found.unionByName(level)
         if depth + 1 == max_depth:
             break
-        met = salted_join(frontier, materialize(_children(answers, prefixes), "edges"), ["prompt"], hot, F.col("word"))
-        rows = materialize(met.select("word", F.col("child").alias("prompt"), F.concat("path", "step").alias("path")), "fresh")
-        passed, bloom = dedupe.bloom_admit(rows, bloom, "prompt", "path", power2=power2, k=k)
-        frontier = materialize(passed, "frontier")
+        met = salted_join(turns, asked.edges.rows(), ["p"], hot_values(turns, ["p"]), F.col("w"))
+        rows = met.select("w", F.col("child").alias("p"), F.concat("path", _step(F.col("ordinal"))).alias("path"), "bits")
+        passed, bloom = dedupe.bloom_admit(materialize(rows, "fresh"), bloom, order="path", bits="bits")
+        frontier = materialize(passed.drop("bits"), "frontier")
         bloom = materialize(bloom, "bloom")
         if frontier.isEmpty():
             break
-    return found
+    return asked.spell(found, roots.select("w", "word")).select("word", "prompt", "depth", "path", "text", "tok")
