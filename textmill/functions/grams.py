@@ -84,13 +84,15 @@ class Words:
 
 
 def pack(values: np.ndarray) -> bytes:
-    """All first bytes of the numbers, then all second ones, and so on: bytes alike stand together for the codec of a shuffle."""
-    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T).tobytes()
+    """All first bytes of the numbers, then all second ones, and so on: bytes alike stand together for the codec. Led by their size."""
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T).tobytes()
+    return len(planes).to_bytes(8, "little") + pa.compress(planes, "zstd", asbytes=True)
 
 
 def unpack(data: bytes, dtype: type) -> np.ndarray:
     size = np.dtype(dtype).itemsize
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(dtype).ravel()
+    planes = pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(size, -1).T).view(dtype).ravel()
 
 
 def pack_sorted(values: np.ndarray) -> bytes:

@@ -9,6 +9,7 @@ Texts are dealt into slices of about ``SLICE_TEXT`` bytes by a hash of their id
 sends the hashes of its distinct terms with the number of its texts that hold each, dealt into buckets of hashes; a bucket adds them up
 and sends back one number for each, in the order they came. So a term moves once per slice as 6 to 8 bytes, never as text, however
 often it occurs, and no row of a text and a term is moved at all. A slice then norms and filters its texts and spells what is left.
+A task goes through a slice in steps of ``STEP_WORDS`` words; of the whole slice it holds the texts and two numbers for each distinct term.
 """
 
 from __future__ import annotations
@@ -30,10 +31,14 @@ from textmill.plans import block_of, range_bounds, spread
 
 MAX_WORDS = 3
 # Bytes of text whose terms one group of a task holds.
-SLICE_TEXT = 4 << 20
+SLICE_TEXT = 16 << 20
+# Smaller slices are made where there would be fewer than two for each core.
+LEAST_TEXT = 4 << 20
 BUCKET_TEXT = 8 << 20
 # Bytes of text that one task goes through, slice by slice.
 TASK_TEXT = 32 << 20
+# Words whose terms are held with their places at once.
+STEP_WORDS = 1 << 18
 # Words of a corpus that is counted without being scored, held at once.
 BATCH_WORDS = 1 << 19
 
@@ -107,6 +112,11 @@ def _parts(size: int, each: int) -> int:
     return max(1, -(-size // each))
 
 
+def _slices(rows: DataFrame, size: int) -> int:
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return max(_parts(size, SLICE_TEXT), min(2 * cores, _parts(size, LEAST_TEXT)))
+
+
 def _dealt(rows: DataFrame, slice_of: Column, size: int) -> DataFrame:
     """``rows`` with their ``_slice``, slice by slice. Shuffled once for both passes over the texts.
 
@@ -124,32 +134,105 @@ def _score_words(text: str) -> Column:
     return F.coalesce(tx.lowered_tokens(tx.normalize_for_scoring(F.col(text))), F.array()).alias("_score")
 
 
-class Slice:
-    """The distinct terms of a slice, in the order of their hashes, and where they occur."""
+class Step:
+    """Some texts and the terms in them."""
 
     def __init__(self, table: pa.Table) -> None:
         self.rows = table.num_rows
-        names = [name for name in ("_fit", "_score") if name in table.column_names]
-        self.words = {name: Words(table.column(name)) for name in names}
-        self.found = {name: self.words[name].grams(1, MAX_WORDS) for name in names}
-        self.hashes, back = np.unique(np.concatenate([self.found[name][0] for name in names]), return_inverse=True)
-        self.term = dict(zip(names, np.split(back, np.cumsum([len(self.found[name][0]) for name in names])[:-1])))
-
-    def pairs(self, name: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Term, row, count and first occurrence of each distinct term of each text."""
-        row = self.words[name].rows[self.found[name][1]]
-        held, first, times = np.unique(self.term[name] * self.rows + row, return_index=True, return_counts=True)
-        return held // self.rows, held % self.rows, times, first
-
-    def counts(self) -> np.ndarray:
-        """Number of texts that hold each term as fitted."""
-        if "_fit" not in self.words:
-            return np.zeros(len(self.hashes), np.int64)
-        return np.bincount(self.pairs("_fit")[0], minlength=len(self.hashes)).astype(np.int64)
-
-    def spelt(self, name: str, first: np.ndarray) -> pa.Array:
-        _, at, sizes = self.found[name]
-        return self.words[name].spelt(at[first], sizes[first])
+        self.words = {name: Words(table.column(name)) for name in ("_fit", "_score") if name in table.column_names}
+
+    def distinct(self) -> np.ndarray:
+        """Hashes of all terms, rising."""
+        return _rising(np.concatenate([words.grams(1, MAX_WORDS)[0] for words in self.words.values()]))
+
+    def pairs(self, name: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Hash, row, count, first word and size of each distinct term of each text, by hash and row."""
+        words = self.words[name]
+        hashes, at, sizes = words.grams(1, MAX_WORDS)
+        order = np.argsort(hashes, kind="stable")  # rows rise among equal ones
+        rising, row = hashes[order], words.rows[at[order]]
+        heads = np.flatnonzero(_changes(rising) | _changes(row))
+        first = order[heads]
+        return rising[heads], row[heads], np.diff(np.append(heads, len(order))), at[first], sizes[first]
+
+    def counts(self) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of all terms, rising, and the number of texts that hold each as fitted."""
+        found = []
+        if "_fit" in self.words:
+            hashes = self.pairs("_fit")[0]
+            heads = np.flatnonzero(_changes(hashes))
+            found.append((hashes[heads], np.diff(np.append(heads, len(hashes)))))
+        if "_score" in self.words:
+            hashes = _rising(self.words["_score"].grams(1, MAX_WORDS)[0])
+            found.append((hashes, np.zeros(len(hashes), np.int64)))
+        return found[0] if len(found) == 1 else _added(*found)
+
+
+def _changes(values: np.ndarray) -> np.ndarray:
+    """Whether each value differs from the one before it."""
+    return np.concatenate([np.ones(min(1, len(values)), bool), values[1:] != values[:-1]])
+
+
+def _rising(values: np.ndarray, kind: str | None = None) -> np.ndarray:
+    """The different values in order. Sorted, as ``np.unique`` hashes them first, which takes longer."""
+    values = np.sort(values, kind=kind)
+    return values[_changes(values)]
+
+
+def _added(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    hashes, counts = np.concatenate([a[0], b[0]]), np.concatenate([a[1], b[1]])
+    order = np.argsort(hashes, kind="stable")  # merges the two runs
+    rising = hashes[order]
+    heads = np.flatnonzero(_changes(rising))
+    return rising[heads], np.add.reduceat(counts[order], heads) if len(heads) else counts
+
+
+def _merged(found: Iterator, add: Callable) -> object:
+    """All of ``found`` added up, like sizes with like ones; an item is led by its size."""
+    parts: list = []
+    for item in found:
+        parts.append(item)
+        while len(parts) > 1 and parts[-2][0] <= 2 * parts[-1][0]:
+            parts[-2:] = [add(*parts[-2:])]
+    while len(parts) > 1:
+        parts[-2:] = [add(*parts[-2:])]
+    return parts[0][1]
+
+
+def _steps(table: pa.Table, groups: np.ndarray | None = None) -> Iterator[tuple[int, pa.Table]]:
+    """First row and rows of each step, of about ``STEP_WORDS`` words; equal neighbours in ``groups`` stay together."""
+    names = [name for name in ("_fit", "_score") if name in table.column_names]
+    ends = np.cumsum(sum(pc.fill_null(pc.list_value_length(table.column(name)), 0).to_numpy().astype(np.int64) for name in names))
+    cuts = np.arange(1, table.num_rows + 1) if groups is None else np.append(np.flatnonzero(groups[1:] != groups[:-1]) + 1, table.num_rows)
+    start = 0
+    while start < table.num_rows:
+        limit = int(np.searchsorted(ends, (ends[start - 1] if start else 0) + STEP_WORDS, "right"))
+        left = cuts[np.searchsorted(cuts, start, "right") :]
+        stop = int(left[max(0, int(np.searchsorted(left, limit, "right")) - 1)])
+        yield start, table.slice(start, stop - start)
+        start = stop
+
+
+def _counts(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of a slice's terms, rising, and the number of its texts that hold each as fitted."""
+
+    def add(a: tuple, b: tuple) -> tuple:
+        found = _added(a[1], b[1])
+        return len(found[0]), found
+
+    found = (Step(part).counts() for _, part in _steps(table))
+    return _merged(((len(c[0]), c) for c in found), add)
+
+
+def _hashes(table: pa.Table) -> np.ndarray:
+    """Hashes of a slice's terms, rising."""
+
+    def add(a: tuple, b: tuple) -> tuple:
+        found = _rising(np.concatenate([a[1], b[1]]), "stable")  # merges the two runs
+        return len(found), found
+
+    found = (Step(part).distinct() for _, part in _steps(table))
+    return _merged(((len(h), h) for h in found), add)
 
 
 ASKED = "_slice int, _bucket int, _hashes binary, _values binary"
@@ -174,8 +257,7 @@ def _asked(sliced: DataFrame, buckets: int) -> DataFrame:
     """What each slice sends: its terms and the number of its texts that hold each."""
 
     def ask(key: tuple, table: pa.Table) -> pa.Table:
-        own = Slice(table)
-        return _by_bucket(key[0].as_py(), own.hashes, own.counts(), buckets)
+        return _by_bucket(key[0].as_py(), *_counts(table), buckets)
 
     return sliced.groupBy("_slice").applyInArrow(ask, ASKED)
 
@@ -190,8 +272,8 @@ def _counted(corpus: DataFrame, buckets: int, text: str) -> DataFrame:
             while start < batch.num_rows:
                 before = ends[start - 1] if start else 0
                 stop = max(start + 1, int(np.searchsorted(ends, before + BATCH_WORDS, "right")))
-                own = Slice(pa.table({"_fit": batch.column(0).slice(start, stop - start)}))
-                yield from _by_bucket(-1, own.hashes, own.counts(), buckets).to_batches()
+                own = Step(pa.table({"_fit": batch.column(0).slice(start, stop - start)}))
+                yield from _by_bucket(-1, *own.counts(), buckets).to_batches()
                 start = stop
 
     return spread(corpus.select(text)).select(_fit_words(text)).mapInArrow(count, ASKED)
@@ -265,16 +347,23 @@ def document_frequency(corpus: DataFrame, text: str = "text") -> DataFrame:
     _, size = _extent([corpus], text)
     # Dealt by all plain columns, so that copies of a text under several ids do not meet.
     plain = [f.name for f in corpus.schema.fields if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType))]
-    deal = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in plain]), F.lit(_parts(size, SLICE_TEXT))).cast("int")
+    deal = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in plain]), F.lit(_slices(corpus, size))).cast("int")
     sliced = _dealt(corpus.select(text, deal.alias("_deal")), F.col("_deal"), size).select("_slice", _fit_words(text))
     told = _told(_asked(sliced, _parts(size, BUCKET_TEXT)), "first")
 
     def spell(left: pa.Table, right: pa.Table) -> pa.Table:
-        own = Slice(left)
-        df = _unpacked(right, np.int64)
-        first = np.unique(own.term["_fit"], return_index=True)[1] if len(df) else np.zeros(0, np.int64)
-        kept = np.flatnonzero(df)
-        return pa.table({"term": own.spelt("_fit", first[kept]), "df": pa.array(df[kept])})
+        hashes, df = _hashes(left), _unpacked(right, np.int64)
+        found = [pa.table({"term": pa.array([], pa.string()), "df": pa.array([], pa.int64())})]
+        for _, part in _steps(left):
+            step = Step(part)
+            term, _, _, at, sizes = step.pairs("_fit")
+            heads = np.flatnonzero(_changes(term))
+            place = np.searchsorted(hashes, term[heads])
+            heads, place = heads[df[place] > 0], place[df[place] > 0]
+            terms = step.words["_fit"].spelt(at[heads], sizes[heads])
+            found.append(pa.table({"term": terms, "df": pa.array(df[place])}))
+            df[place] = 0  # spelt once
+        return pa.concat_tables(found)
 
     return sliced.groupBy("_slice").cogroup(told.groupBy("_slice")).applyInArrow(spell, "term string, df long")
 
@@ -290,13 +379,13 @@ def _groups(ids: pa.ChunkedArray) -> np.ndarray:
     return pc.dictionary_encode(ids.combine_chunks(), null_encoding="encode").indices.to_numpy()
 
 
-def _normed(own: Slice, weights: np.ndarray, ids: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Term, row, score and first occurrence of each term of weight; ``weights`` are those of ``own.pairs("_score")``."""
-    term, row, _, first = own.pairs("_score")
+def _normed(pairs: tuple, weights: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Hash, row, score, first word and size of each term of weight; ``groups`` numbers the rows by their ids."""
+    term, row, _, at, sizes = pairs
     known = weights > 0
-    group = _groups(ids)[row[known]]
+    group = groups[row[known]]
     norms = np.sqrt(np.bincount(group, weights[known] ** 2))
-    return term[known], row[known], weights[known] / norms[group], first[known]
+    return term[known], row[known], weights[known] / norms[group], at[known], sizes[known]
 
 
 def _scored(
@@ -307,7 +396,7 @@ def _scored(
     text: str,
     corpus_text: str,
     more: list[Column],
-    pick: Callable[[pa.Table, Slice, tuple], tuple[np.ndarray, pa.Array, np.ndarray]],
+    pick: Callable[[pa.Table, Step, tuple], tuple[np.ndarray, pa.Array, np.ndarray]],
     term: str = "term",
 ) -> DataFrame:
     """``(doc, term, score)`` of what ``pick`` takes from the scored terms of a slice, as rows, terms and scores."""
@@ -319,7 +408,7 @@ def _scored(
         n, more_size = _extent([corpus], corpus_text)
         total += more_size
     buckets = _parts(total, BUCKET_TEXT)
-    dealt = _dealt(rows, F.pmod(F.xxhash64(doc), F.lit(_parts(size, SLICE_TEXT))).cast("int"), size)
+    dealt = _dealt(rows, F.pmod(F.xxhash64(doc), F.lit(_slices(rows, size))).cast("int"), size)
     asked = _asked(dealt.select("_slice", doc, _score_words(text), *([_fit_words(text)] if same else [])), buckets)
     if model is not None:
         asked = asked.unionByName(_given(model, buckets))
@@ -328,12 +417,20 @@ def _scored(
     told = _told(asked, "total" if model is None else "given")
 
     def tell(left: pa.Table, right: pa.Table) -> pa.Table:
-        own = Slice(left)
+        groups = _groups(left.column(doc))
+        order = np.argsort(groups, kind="stable")
+        left, groups = left.take(pa.array(order)), groups[order]
+        hashes = _hashes(left)
         found = _unpacked(right, np.float64 if model_given else np.int64)
         weight = found if model_given else np.where(found > 0, np.log((1.0 + n) / (1.0 + found)) + 1, 0.0)
-        of, _, times, _ = own.pairs("_score")
-        chosen, names, scores = pick(left, own, _normed(own, times * weight[of], left.column(doc)))
-        return pa.table({doc: left.column(doc).take(pa.array(chosen)), term: names, "score": pa.array(scores)})
+        told = [_result(left.slice(0, 0), doc, term, np.zeros(0, np.int64), pa.array([], pa.string()), np.zeros(0))]
+        for start, part in _steps(left, groups):
+            step = Step(part)
+            pairs = step.pairs("_score")
+            weights = pairs[2] * weight[np.searchsorted(hashes, pairs[0])]
+            own = groups[start : start + step.rows] - groups[start]
+            told.append(_result(part, doc, term, *pick(part, step, _normed(pairs, weights, own))))
+        return pa.concat_tables(told)
 
     model_given = model is not None
     kind = docs.schema[doc].dataType.simpleString()
@@ -342,18 +439,30 @@ def _scored(
     return held.groupBy("_slice").cogroup(told.groupBy("_slice")).applyInArrow(tell, f"`{doc}` {kind}, {term} string, score double")
 
 
+def _result(part: pa.Table, doc: str, term: str, rows: np.ndarray, names: pa.Array, scores: np.ndarray) -> pa.Table:
+    return pa.table({doc: part.column(doc).take(pa.array(rows)), term: names, "score": pa.array(scores)})
+
+
+def _best(row: np.ndarray, score: np.ndarray, top: int | None) -> np.ndarray:
+    """Which scores are not below the ``top`` best ones of their row; equal ones all stay."""
+    order = np.lexsort((-score, row))
+    if top is None:
+        return order
+    if top < 1:
+        return order[:0]
+    row, score = row[order], score[order]
+    last = np.minimum(np.searchsorted(row, row) + top, np.searchsorted(row, row, "right")) - 1
+    return order[score >= score[last]]
+
+
 def _terms_above(min_score: float, top: int | None = None) -> Callable:
     """Terms with more than ``min_score``; with ``top`` none that is below the ``top`` best of its text."""
 
-    def pick(table: pa.Table, own: Slice, scored: tuple) -> tuple[np.ndarray, pa.Array, np.ndarray]:
-        _, row, score, first = scored
+    def pick(table: pa.Table, own: Step, scored: tuple) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+        _, row, score, at, sizes = scored
         kept = np.flatnonzero(score > min_score)
-        if top is not None:
-            kept = kept[np.lexsort((-score[kept], row[kept]))]
-            starts = np.searchsorted(row[kept], row[kept])
-            last = np.minimum(starts + top, np.searchsorted(row[kept], row[kept], "right")) - 1
-            kept = kept[score[kept] >= score[kept][last]] if top > 0 else kept[:0]
-        return row[kept], own.spelt("_score", first[kept]), score[kept]
+        kept = kept[_best(row[kept], score[kept], top)]
+        return row[kept], own.words["_score"].spelt(at[kept], sizes[kept]), score[kept]
 
     return pick
 
@@ -401,8 +510,9 @@ def rank_phrases(
     text: str = "text",
     corpus_text: str = "text",
     model: DataFrame | None = None,
+    top: int | None = None,
 ) -> DataFrame:
-    """``(doc, ngram, score, rank)`` of the phrases with ``score >= min_score``.
+    """``(doc, ngram, score, rank)`` of the phrases with ``score >= min_score``, only ranks to ``top``.
 
     ``model``: the ``(term, df, idf)`` of a corpus, in place of the corpus.
 
@@ -416,7 +526,7 @@ def rank_phrases(
     # only other texts need their phrases counted. Phrases without a score are wanted only where everything is kept.
     enough = 2 * min_ngrams if max_ngrams >= 2 * min_ngrams else None
 
-    def pick(table: pa.Table, own: Slice, scored: tuple) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    def pick(table: pa.Table, own: Step, scored: tuple) -> tuple[np.ndarray, pa.Array, np.ndarray]:
         words = Words(table.column("_words"))
         whole = np.ones(own.rows, bool) if enough is None or min_score <= 0 else words.lengths < enough
         hashes, at, sizes = words.grams(min_ngrams, max_ngrams, whole, MAX_WORDS)
@@ -426,24 +536,27 @@ def rank_phrases(
         few = whole & (np.bincount(row, minlength=own.rows) < min_ngrams)
         if enough is not None:
             few &= words.lengths < enough
-        term, of, score, _ = scored
+        term, of, score, _, _ = scored
         # The terms that are phrases too, by their numbers among the phrases.
-        place = np.minimum(np.searchsorted(kinds, own.hashes), max(0, len(kinds) - 1))
-        spelt = kinds[place] == own.hashes if len(kinds) else np.zeros(len(own.hashes), bool)
-        own_phrase = spelt[term] & (score > min_score)
-        key = of[own_phrase] * max(1, len(kinds)) + place[term[own_phrase]]
+        above = score > min_score
+        term, of, score = term[above], of[above], score[above]
+        place = np.minimum(np.searchsorted(kinds, term), max(0, len(kinds) - 1))
+        spelt = kinds[place] == term if len(kinds) else np.zeros(len(term), bool)
+        key = of[spelt] * max(1, len(kinds)) + place[spelt]
         spot = np.minimum(np.searchsorted(held, key), max(0, len(held) - 1))
         there = held[spot] == key if len(held) else np.zeros(len(key), bool)
         scores = np.zeros(len(held))
-        scores[spot[there]] = score[own_phrase][there]
+        scores[spot[there]] = score[spelt][there]
         kept = np.flatnonzero((scores >= min_score) | few[row])
+        kept = kept[_best(row[kept], scores[kept], top)]
         return row[kept], words.spelt(at[first[kept]], sizes[first[kept]]), scores[kept]
 
     split = tx.whitespace_words(tx.normalize_for_scoring(F.col(text)))
     more = [F.coalesce(split, F.array()).alias("_words")]
     kept = _scored(docs, corpus if model is None else None, model, doc, text, corpus_text, more, pick, "ngram")
     best = W.partitionBy(doc).orderBy(F.desc("score"), "ngram")
-    return kept.withColumn("rank", F.row_number().over(best))
+    ranked = kept.withColumn("rank", F.row_number().over(best))
+    return ranked if top is None else ranked.where(F.col("rank") <= top)
 
 
 def top_terms(
@@ -464,7 +577,7 @@ def tfidf_expanding(
     ``doc``; a bucket counts the texts of lower slices, the slice goes on from there.
     """
     rows, size = _extent([docs], text)
-    bounds = range_bounds(docs, doc, max(1, rows * SLICE_TEXT // max(1, size)))
+    bounds = range_bounds(docs, doc, max(1, rows // _slices(docs, size)))
     place = block_of(F.col(doc), bounds).cast("int")
     sizes = docs.groupBy(place.alias("b")).agg(F.count("*").alias("n")).collect()  # at most MOST_BLOCKS rows
     before, passed = {}, 0
@@ -476,16 +589,23 @@ def tfidf_expanding(
 
     def tell(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         left = left.take(pc.sort_indices(left.column(doc).combine_chunks(), null_placement="at_start"))
-        own = Slice(left)
-        of, row, times, _ = own.pairs("_score")
-        fitted, at, _, _ = own.pairs("_fit")
-        inside = fitted * own.rows + at  # rising: term by term, row by row
-        here = np.searchsorted(inside, of * own.rows + row, "right") - np.searchsorted(inside, of * own.rows)
-        df = _unpacked(right, np.int64)[of] + here
-        n = before[key[0].as_py()] + row + 1
-        weights = np.where(df > 0, times * (np.log((1.0 + n) / (1.0 + df)) + 1), 0.0)
-        chosen, names, scores = pick(left, own, _normed(own, weights, left.column(doc)))
-        return pa.table({doc: left.column(doc).take(pa.array(chosen)), "term": names, "score": pa.array(scores)})
+        groups = _groups(left.column(doc))
+        hashes, df = _hashes(left), _unpacked(right, np.int64)  # the texts of lower slices, then of lower steps too
+        told = [_result(left.slice(0, 0), doc, "term", np.zeros(0, np.int64), pa.array([], pa.string()), np.zeros(0))]
+        for start, part in _steps(left, groups):
+            step = Step(part)
+            pairs, fitted = step.pairs("_score"), step.pairs("_fit")
+            of, known = np.searchsorted(hashes, pairs[0]), np.searchsorted(hashes, fitted[0])
+            inside, asked = known * step.rows + fitted[1], of * step.rows
+            here = np.searchsorted(inside, asked + pairs[1], "right") - np.searchsorted(inside, asked)
+            held = df[of] + here
+            n = before[key[0].as_py()] + start + pairs[1] + 1
+            weights = np.where(held > 0, pairs[2] * (np.log((1.0 + n) / (1.0 + held)) + 1), 0.0)
+            own = groups[start : start + step.rows] - groups[start : start + step.rows].min()
+            told.append(_result(part, doc, "term", *pick(part, step, _normed(pairs, weights, own))))
+            heads = np.flatnonzero(_changes(known))
+            df[known[heads]] += np.diff(np.append(heads, len(known)))
+        return pa.concat_tables(told)
 
     kind = docs.schema[doc].dataType.simpleString()
     return sliced.groupBy("_slice").cogroup(told.groupBy("_slice")).applyInArrow(tell, f"`{doc}` {kind}, term string, score double")
