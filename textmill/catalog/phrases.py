@@ -53,7 +53,7 @@ def _ranked(spark, folder, sanitized=False, **args):
 
 def top_phrases(spark, folder):
     """Sanitized texts, phrases of one to six words scoring 0.01 or more, the ten best of each."""
-    return _ranked(spark, folder, sanitized=True, min_score=0.01, min_ngrams=1, max_ngrams=6).where("rank <= 10")
+    return _ranked(spark, folder, sanitized=True, min_score=0.01, min_ngrams=1, max_ngrams=6, top=10)
 
 
 QUERIES = {
