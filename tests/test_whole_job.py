@@ -1,8 +1,11 @@
 """Registered queries on small tables of their own."""
 
+from pyspark.sql import functions as F
+
 from textmill.catalog import columns as column_queries
 from textmill.catalog import files as file_queries
 from textmill.catalog import phrases as phrase_queries
+from textmill.catalog import walks as walk_queries
 from textmill.sources import files as sources
 
 
@@ -53,3 +56,13 @@ def test_text_files_are_small_and_decoded_as_before(spark, tmp_path, monkeypatch
         (tmp_path / "raw" / f"{i}.txt").write_bytes(data)
     found = {r.path[-5]: r.text for r in sources.read_txt_dir(spark, str(tmp_path / "raw")).collect()}
     assert found == {str(i): d.decode("utf-8", "ignore").replace("\r\n", "\n").replace("\r", "\n") for i, d in enumerate(raw)}
+
+
+def test_bloom_walk_is_not_ended_by_a_full_filter(spark, tmp_path):
+    docs = [(d, "\n".join(f"line {d} {i}" for i in range(25))) for d in range(3)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    talk = spark.range(30_000).select("id", F.lit(0).cast("long"), F.lit("user"), F.concat(F.lit("said "), "id")).toDF("conv_id", "turn", "role", "text")
+    talk.write.parquet(f"{tmp_path}/conversations.parquet")
+    found = walk_queries.QUERIES["expand_bloom"](spark, str(tmp_path)).collect()
+    # A line is answered by the next two, so each level reaches two lines further.
+    assert sorted((r.word, r.prompt, r.depth) for r in found) == sorted((f"line {d} 0", f"line {d} {i}", (i + 1) // 2) for d in range(3) for i in range(19))
