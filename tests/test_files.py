@@ -1,5 +1,6 @@
 import json
 import mimetypes
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -142,3 +143,26 @@ def test_many_languages_against_definition(spark):
 
     found = language.detect(spark.createDataFrame(texts, "doc_id long, text string"), model).collect()
     assert {r.doc_id: r.lang for r in found} == {i: best(t) for i, t in texts}
+
+
+def test_languages_are_found_without_rows_of_trigrams(spark, monkeypatch):
+    rng = random.Random(3)
+    letters = "abcdeäßЖ語😀\0 İ\n"
+    known = [("".join(rng.choice(letters[i % 4 :]) for _ in range(rng.randint(0, 60))), f"l{i % 9}") for i in range(90)] + [(None, "l0"), ("abc", None), ("", "none")]
+    model = language.train(spark.createDataFrame(known, "text string, lang string").repartition(3))
+    counts = {}
+    for text, lang in known:
+        for i in range(len((text or "").lower()) - 2):
+            if lang is not None:
+                counts[(text.lower()[i : i + 3], lang)] = counts.get((text.lower()[i : i + 3], lang), 0) + 1
+    assert {(r.gram, r.c["lang"]): r.c["n"] for r in model.grams.select("gram", F.explode("counts").alias("c")).collect()} == counts
+    texts = [(i, "".join(rng.choice(letters) for _ in range(rng.randint(0, 40)))) for i in range(200)] + [(900, None), (901, "zzzz"), (902, "ab"), (903, "")]
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(language, "TEXT_BYTES", 50)
+    monkeypatch.setattr(language, "PAIRS", 30)
+    found = language.detect(df, model)
+    assert "Generate" not in found._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr(language, "BROADCAST_BYTES", 0)
+    joined = language.detect(df, model)
+    assert "Generate" in joined._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, joined.collect())) and found.count() == len(texts)

@@ -139,8 +139,11 @@ def language_sink(
     """``foreachBatch`` function: write each line to the folder of its language, per batch."""
 
     def write(batch: DataFrame, number: int) -> None:
-        rows = materialize(batch.select(line).withColumn("_order", F.monotonically_increasing_id()), "lang-batch")
-        labelled = rows.join(language.detect(rows, model, line, "_order"), "_order")
+        if model.judge:
+            labelled = batch.select(line, model.judge(F.lower(F.col(line))).alias("lang"))
+        else:
+            rows = materialize(batch.select(line).withColumn("_order", F.monotonically_increasing_id()), "lang-batch")
+            labelled = rows.join(language.detect(rows, model, line, "_order"), "_order")
         labelled.select("lang", F.col(line).alias("value")).write.mode("overwrite").partitionBy("lang").text(
             f"{path}/batch={number}"
         )
