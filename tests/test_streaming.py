@@ -1,4 +1,5 @@
 import os
+import random
 import time
 
 import pyarrow.parquet as pq
@@ -177,3 +178,22 @@ def test_keyed_sink_keeps_the_newest_row(spark, folder):
     run(sq.running_totals(rows), folder, sq.keyed_sink(str(folder / "totals")), mode="update", name="keyed")
     found = sq.latest_of(spark.read.parquet(str(folder / "totals")), "word")
     assert {r.word: (r.total_tokens, r.generations) for r in found.collect()} == {"a": (4, 2), "b": (4, 2), "c": (4, 2), "d": (2, 1), "the dog barks": (2, 1), "die Katze": (2, 1)}
+
+
+def test_responses_are_handled_by_part(spark, folder, monkeypatch):
+    """Few groups, however many responses; any order, repeats, NULL ids, ends that come late."""
+    monkeypatch.setattr(stateful, "GROUPS", 4)
+    rng = random.Random(5)
+    wanted, rows = {}, []
+    for i in [None, *range(60)]:
+        n = rng.randint(1, 9)
+        deltas = [rng.choice(["a ", "b", None, "語\n"]) for _ in range(n)]
+        wanted[i] = "".join(d or "" for d in deltas)
+        rows += [(i, s, d, s == n - 1) for s, d in enumerate(deltas)] + ([(i, 0, deltas[0], n == 1)] if i and i % 5 == 0 else [])
+    rng.shuffle(rows)
+    df = stateful.assemble_responses(arriving(spark, folder, "parts-in", PIECE, [rows[k::4] for k in range(4)]), 3_600_000)
+    plan = df._jdf.queryExecution().analyzed().toString()
+    assert "TransformWithStateInPySpark [part" in plan or "[part#" in plan.split("TransformWithState")[1].split("\n")[0]
+    found, sizes = told(spark, folder, df, "parts")
+    assert sorted(((r.response_id, r.text, r.complete) for r in found), key=repr) == sorted(((i, t, True) for i, t in wanted.items()), key=repr)
+    assert sizes[0] < len(rows) // 4  # no entry for each piece
