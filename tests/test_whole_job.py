@@ -1,11 +1,14 @@
 """Registered queries on small tables of their own."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from textmill.catalog import columns as column_queries
 from textmill.catalog import files as file_queries
+from textmill.catalog import frontier as frontier_queries
 from textmill.catalog import phrases as phrase_queries
 from textmill.catalog import walks as walk_queries
+from textmill.operators import expand
 from textmill.sources import files as sources
 
 
@@ -66,3 +69,35 @@ def test_bloom_walk_is_not_ended_by_a_full_filter(spark, tmp_path):
     found = walk_queries.QUERIES["expand_bloom"](spark, str(tmp_path)).collect()
     # A line is answered by the next two, so each level reaches two lines further.
     assert sorted((r.word, r.prompt, r.depth) for r in found) == sorted((f"line {d} 0", f"line {d} {i}", (i + 1) // 2) for d in range(3) for i in range(19))
+
+
+class Caught(Exception):
+    pass
+
+
+def answers_of(spark, folder, monkeypatch, query):
+    """The table that a walk's query answers from; the walk is not run."""
+
+    def caught(rows):
+        raise Caught(rows)
+
+    monkeypatch.setattr(expand, "table_responder", caught)
+    with pytest.raises(Caught) as found:
+        query(spark, folder)
+    return found.value.args[0]
+
+
+def test_answers_of_prefixed_lines_are_moved_once(spark, tmp_path, monkeypatch):
+    docs = [(1, "a\nb\nc\na\nMore about a\nx"), (0, "b\nq\n\nb"), (2, None), (3, "More about a\nz"), (4, "é\n语\né")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = answers_of(spark, str(tmp_path), monkeypatch, frontier_queries.QUERIES["expand_prefixed"])
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    plain = {}
+    for doc, text in sorted(docs):
+        lines = (text or "").split("\n")
+        for i, line in enumerate(lines[:-1]):
+            plain.setdefault(line, "\n".join(lines[i + 1 : i + 3]))
+    wanted = {}
+    for prompt, response in [*plain.items(), *((f"More about {p}", f"{r}\n{p}") for p, r in plain.items())]:
+        wanted[prompt] = min(wanted.get(prompt, response), response)
+    assert {r.prompt: r.response for r in found.collect()} == wanted
