@@ -1,5 +1,6 @@
 import random
 from collections import deque
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 from textmill.functions import udf
 from textmill.functions.codec import decompress
 from textmill.operators import expand
-from textmill.plans import skew
+from textmill.plans import scratch_dir, skew
 from tests.test_tfidf import brute_rank
 
 
@@ -135,3 +136,25 @@ def test_stripped_prompts_meet_over_levels(spark):
     assert sorted((r.prompt, r.depth, r.text) for r in found) == [
         ("a", 0, answers["a"]), ("q", 1, "end"), ("q", 2, "end"), ("r", 1, answers["r"]), ("s", 2, "t")
     ]
+
+
+def test_phrases_are_ranked_once_for_all_roots(spark):
+    """Roots that share prompts: a text counts for each of them, but moves once."""
+    answers = {f"r{i}": f"red fox {'runs' if i % 2 else 'sleeps'}" for i in range(6)}
+    answers |= {"red fox": "blue dog barks\nred fox", "fox runs": "blue dog", "blue dog": "green owl"}
+    folder = Path(scratch_dir(spark).removeprefix("file:")) / "textmill"
+    before = set(folder.glob("level-*"))
+    seeds = spark.createDataFrame([(f"r{i}",) for i in range(6)], "word string")
+    args = {"min_score": 0.2, "min_ngrams": 1, "max_ngrams": 2}
+    found = expand.expand_frontier(seeds, expand.table_responder(frame(spark, answers)), max_depth=3, phrases=args).collect()
+    wanted, level, past = set(), [(f"r{i}", f"r{i}") for i in range(6)], []
+    seen = set()
+    for depth in range(3):
+        level = [(w, p) for w, p in level if p in answers]
+        wanted |= {(w, p, depth) for w, p in level}
+        past += [answers[p] for _, p in level]
+        level = {(w, g) for w, p in level for g, _ in brute_rank(answers[p], past, 0.2, 1, 2)} - seen
+        seen |= level
+    assert {(r.word, r.prompt, r.depth) for r in found} == wanted and len(found) == len(wanted) > 12
+    levels = [spark.read.parquet(str(p)) for p in set(folder.glob("level-*")) - before]
+    assert levels and not any("word" in x.columns for x in levels) and sum(x.count() for x in levels) < len(found)
